@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HOME = "home"
 
@@ -65,22 +65,33 @@ def _shorten_pair(segment: Column) -> Column:
     return F.when(segment.contains("="), shortened).otherwise(segment)
 
 
-def page_category(referrer: Column, site: str) -> Column:
-    """The section of a page a visitor came from.
+def with_page_category(df: DataFrame, referrer: str, site: str, out: str = "page_category") -> DataFrame:
+    """Add the section of the page a visitor came from.
 
     The section is the first path level below ``site`` (the second one below
     ``account``); for foreign addresses the host counts as level zero. Whatever
     cannot be read that way belongs to the home page.
+
+    The steps are columns of their own, so that each is evaluated once and the
+    generated code stays small.
     """
-    url = F.coalesce(F.try_url_decode(referrer), referrer)
-    head = F.when(F.translate(url, "?", "") == "", F.lit(None)).otherwise(F.substring_index(url, "?", 1))
-    path = _last_piece(_last_piece(head, "//"), re.escape(site))
-    levels = F.split(F.rtrim(path, F.lit("/")), "/")
+    url, path, levels = F.col("_url"), F.col("_path"), F.col("_levels")
     first, second = F.get(levels, 1), F.get(levels, 2)
     section = (
-        F.when((path != "") & (F.rtrim(path, F.lit("/")) == ""), F.lit(None))
+        F.when((path != "") & (F.get(levels, 0) == "") & (F.size(levels) == 1), F.lit(None))
         .when(F.size(levels) == 1, F.get(levels, 0))
-        .when((first == "account") & (F.size(levels) > 2), _shorten_pair(second))
-        .otherwise(_shorten_pair(first))
+        .when((first == "account") & (F.size(levels) > 2), second)
+        .otherwise(first)
+    )
+    head = F.when(F.translate(url, "?", "") != "", F.substring_index(url, "?", 1))
+    category = F.when(F.size(levels) == 1, F.col("_section")).otherwise(_shorten_pair(F.col("_section")))
+    return (
+        df.withColumn("_url", F.coalesce(F.try_url_decode(F.col(referrer)), F.col(referrer)))
+        .withColumn("_head", head)
+        .withColumn("_address", _last_piece(F.col("_head"), "//"))
+        .withColumn("_path", _last_piece(F.col("_address"), re.escape(site)))
+        .withColumn("_levels", F.split(F.rtrim(path, F.lit("/")), "/"))
+        .withColumn("_section", section)
+        .withColumn(out, F.when(F.col(referrer) == "", F.lit(HOME)).otherwise(F.coalesce(category, F.lit(HOME))))
+        .drop("_url", "_head", "_address", "_path", "_levels", "_section")
     )
-    return F.when(referrer == "", F.lit(HOME)).otherwise(F.coalesce(section, F.lit(HOME)))

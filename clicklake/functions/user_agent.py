@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Names of the parsed attributes and the flat columns made from them.
 ATTRIBUTES = {
@@ -82,83 +82,117 @@ def last_token(c: Column) -> Column:
     return F.substring_index(F.rtrim(c), " ", -1)
 
 
-def app_fallback(ua: Column, app: AppNames) -> Column:
-    """Struct of OS and agent of the site's own apps; null fields for other agents or odd shapes."""
-    pieces = F.split(ua, ";")
+def _is_own(ua: Column, app: AppNames) -> Column:
+    return ua.startswith(app.wrapper) | ua.rlike(rf"\A(?:{app.in_app})")
+
+
+def with_app_fallback(df: DataFrame, user_agent: str, app: AppNames, out: str) -> DataFrame:
+    """Add a struct of OS and agent of the site's own apps; null fields for other agents or odd shapes."""
+    ua = F.col(user_agent)
     # Old native apps: "...; <x> <y> <os>/<version> ... <version> <name>" after the last semicolon.
-    tokens = F.split(F.rtrim(F.try_element_at(F.array_remove(pieces, ""), F.lit(-1))), " ")
-    system = F.split(F.get(tokens, 2), "/")
-    system_version = F.nullif(F.get(system, 1), F.lit(""))
-    system_name = F.get(system, 0)
+    last = F.try_element_at(F.array_remove(F.col("_pieces"), ""), F.lit(-1))
+    tokens, system = F.col("_tokens"), F.col("_system")
+    name = F.get(system, 0)
     spelled = (
-        F.when(F.lower(system_name) == "ios", F.lit("iOS"))
-        .when(F.lower(system_name) == "android", F.lit("Android"))
-        .otherwise(system_name)
+        F.when(F.lower(name) == "ios", F.lit("iOS")).when(F.lower(name) == "android", F.lit("Android")).otherwise(name)
     )
-    seven = F.size(tokens) == 7
+    native = F.col("_native") & (F.get(system, 1) != "")
+    named = native & (F.size(tokens) == 7)
     # Wrappers: "<prefix> (<x>; <y>; <os> <version>...", or "<os>/<version>)" in that place.
-    items = F.split(F.rtrim(F.trim(F.get(pieces, 2)), F.lit(")")), "[ /]")
-    native = ua.contains(app.product)
-    wrapped = ~native & (ua.startswith(app.wrapper) | ua.rlike(rf"\A(?:{app.in_app})"))
-    has_native, has_wrapped = native & system_version.isNotNull(), wrapped & F.get(items, 1).isNotNull()
-    return F.struct(
-        F.when(has_native, spelled).when(has_wrapped, F.get(items, 0)).alias("os_name"),
-        F.when(has_native, system_version).when(has_wrapped, F.get(items, 1)).alias("os_version"),
-        F.when(has_native & seven, F.substring_index(F.get(tokens, 6), "/", -1)).alias("agent_name"),
-        F.when(has_native & seven, F.substring_index(F.get(tokens, 5), "/", -1)).alias("agent_version"),
+    items = F.col("_items")
+    wrapped = ~F.col("_native") & F.get(items, 1).isNotNull() & _is_own(ua, app)
+    return (
+        df.withColumn("_pieces", F.split(ua, ";"))
+        .withColumns(
+            {
+                "_native": ua.contains(app.product),
+                "_tokens": F.split(F.rtrim(last), " "),
+                "_items": F.split(F.rtrim(F.trim(F.get(F.col("_pieces"), 2)), F.lit(")")), "[ /]"),
+            }
+        )
+        .withColumn("_system", F.split(F.get(tokens, 2), "/"))
+        .withColumn(
+            out,
+            F.struct(
+                F.when(native, spelled).when(wrapped, F.get(items, 0)).alias("os_name"),
+                F.when(native, F.get(system, 1)).when(wrapped, F.get(items, 1)).alias("os_version"),
+                F.when(named, F.substring_index(F.get(tokens, 6), "/", -1)).alias("agent_name"),
+                F.when(named, F.substring_index(F.get(tokens, 5), "/", -1)).alias("agent_version"),
+            ),
+        )
+        .drop("_pieces", "_native", "_tokens", "_items", "_system")
     )
 
 
-def parse_user_agent(ua: Column, app: AppNames) -> Column:
-    """Struct of the attributes in ``ATTRIBUTES``; null for an empty or null agent string."""
-    os_rule = _first_rule(ua, SYSTEMS)
-    agent_rule = _first_rule(ua, AGENTS)
-    brand = _first_rule(ua, BRANDS)
-    fallback = app_fallback(ua, app)
-    known = os_rule.isNotNull()
+def with_agent(df: DataFrame, user_agent: str, app: AppNames, out: str) -> DataFrame:
+    """Add a struct of the attributes in ``ATTRIBUTES``; null for an empty or null agent string.
+
+    The rules run in steps that are columns of their own, so that each pattern
+    is tried once per row and the generated code stays small.
+    """
+    ua, os_rule, agent_rule = F.col(user_agent), F.col("_os_rule"), F.col("_agent_rule")
+    os_name, brand, apple, model = F.col("_os_name"), F.col("_brand"), F.col("_apple"), F.col("_model")
 
     def own_app(field: str) -> Column:
         # App values only stand in where the rules see no operating system.
-        return F.when(~known, fallback[field])
-
-    os_name = F.coalesce(own_app("os_name"), os_rule)
-    own = ua.contains(app.product) | ua.startswith(app.wrapper) | ua.rlike(rf"\A(?:{app.in_app})")
-    robot, webview = ua.rlike(ROBOT), ua.rlike(WEBVIEW)
+        return F.when(os_rule.isNull(), F.col(f"_app.{field}"))
+
+    steps = with_app_fallback(df, user_agent, app, "_app").withColumns(
+        {
+            "_os_rule": _first_rule(ua, SYSTEMS),
+            "_agent_rule": _first_rule(ua, AGENTS),
+            "_brand": _first_rule(ua, BRANDS),
+            "_robot": ua.rlike(ROBOT),
+            "_apple": F.regexp_extract(ua, r"\((iPhone|iPad|iPod|Macintosh)", 1),
+            "_model": F.regexp_extract(
+                ua, r"Android [\d.]+; (?:SAMSUNG |HTC )?([^;)]+?)(?: Build/[^;)]*)?[;)]", 1
+            ),
+        }
+    )
+    steps = steps.withColumns(
+        {
+            "_os_name": F.coalesce(own_app("os_name"), os_rule),
+            "_os_version": F.coalesce(own_app("os_version"), last_token(_version(ua, os_rule, SYSTEMS))),
+            "_agent_version": F.coalesce(own_app("agent_version"), last_token(_version(ua, agent_rule, AGENTS))),
+        }
+    )
     desktop = os_name.isin("Windows NT", "Mac OS", "Chrome OS", "Linux", "Ubuntu")
     tablet = ua.contains("iPad") | ((os_name == "Android") & ~ua.contains("Mobile"))
-    phone = os_name.isin("iOS", "Android")
     device_class = (
-        F.when(robot, F.lit("Robot"))
+        F.when(F.col("_robot"), F.lit("Robot"))
         .when(tablet, F.lit("Tablet"))
-        .when(phone, F.lit("Phone"))
+        .when(os_name.isin("iOS", "Android"), F.lit("Phone"))
         .when(desktop, F.lit("Desktop"))
     )
-    model = F.regexp_extract(ua, r"Android [\d.]+; (?:SAMSUNG |HTC )?([^;)]+?)(?: Build/[^;)]*)?[;)]", 1)
-    apple = F.regexp_extract(ua, r"\((iPhone|iPad|iPod|Macintosh)", 1)
     device_name = (
         F.when(apple != "", F.concat(F.lit("Apple "), apple))
         .when(model != "", F.concat_ws(" ", brand, model))
-        .when(desktop, F.concat_ws(" ", F.when(os_name.isin("Linux", "Ubuntu"), F.lit("Linux")), F.lit("Desktop")))
+        .when(os_name.isin("Linux", "Ubuntu"), F.lit("Linux Desktop"))
+        .when(desktop, F.lit("Desktop"))
     )
     agent_class = (
-        F.when(robot, F.lit("Robot"))
-        .when(own, F.lit("Mobile App"))
-        .when(webview, F.lit("Browser Webview"))
+        F.when(F.col("_robot"), F.lit("Robot"))
+        .when(ua.contains(app.product) | _is_own(ua, app), F.lit("Mobile App"))
+        .when(ua.rlike(WEBVIEW), F.lit("Browser Webview"))
         .when(agent_rule.isNotNull(), F.lit("Browser"))
     )
     values = {
         "DeviceClass": device_class,
         "AgentClass": agent_class,
         "OperatingSystemName": os_name,
-        "OperatingSystemVersion": F.coalesce(own_app("os_version"), last_token(_version(ua, os_rule, SYSTEMS))),
+        "OperatingSystemVersion": F.col("_os_version"),
         "AgentName": F.coalesce(own_app("agent_name"), agent_rule),
-        "AgentVersion": F.coalesce(own_app("agent_version"), last_token(_version(ua, agent_rule, AGENTS))),
+        "AgentVersion": F.col("_agent_version"),
         "DeviceBrand": brand,
         "DeviceName": device_name,
     }
-    return F.when(F.length(ua) > 0, F.struct(*[v.alias(n) for n, v in values.items()]))
+    parsed = F.when(F.length(ua) > 0, F.struct(*[v.alias(n) for n, v in values.items()]))
+    return steps.withColumn(out, parsed).drop(
+        "_app", "_os_rule", "_agent_rule", "_brand", "_robot", "_apple", "_model", "_os_name", "_os_version",
+        "_agent_version",
+    )
 
 
-def user_agent_json(ua: Column, app: AppNames) -> Column:
-    """The attributes as JSON text, without the unknown ones; null for an empty agent string."""
-    return F.to_json(parse_user_agent(ua, app))
+def with_agent_json(df: DataFrame, user_agent: str, app: AppNames, out: str) -> DataFrame:
+    """Add the attributes as JSON text, without the unknown ones; null for an empty agent string."""
+    return with_agent(df, user_agent, app, out).withColumn(out, F.to_json(out))

@@ -6,9 +6,9 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from clicklake.functions.text import has_query_param, page_category, session_key, strip_quotes
+from clicklake.functions.text import has_query_param, session_key, strip_quotes, with_page_category
 from clicklake.functions.times import time_slice
-from clicklake.functions.user_agent import ATTRIBUTES, AppNames, parse_user_agent
+from clicklake.functions.user_agent import ATTRIBUTES, AppNames, with_agent
 from clicklake.operators.aggregates import count_by, distinct_values
 from clicklake.operators.windows import lag_by_key
 
@@ -20,12 +20,8 @@ def site_visits(df: DataFrame, ts: str, referrer: str, site: str) -> DataFrame:
 
 def with_source(df: DataFrame, referrer: str, params: str, site: str, param: str = "source") -> DataFrame:
     """Visits with the category of the referring page and a 0/1 flag for a source parameter."""
-    return df.withColumns(
-        {
-            "page_category": page_category(F.col(referrer), site),
-            "has_source_param": has_query_param(F.col(params), param).cast("int"),
-        }
-    )
+    flagged = df.withColumn("has_source_param", has_query_param(F.col(params), param).cast("int"))
+    return with_page_category(flagged, referrer, site)
 
 
 def source_counts(df: DataFrame, ts: str, referrer: str, params: str, site: str) -> DataFrame:
@@ -56,7 +52,7 @@ def back_navigation(
 
 def enrich_agents(df: DataFrame, user_agent: str, app: AppNames) -> DataFrame:
     """Flat device, system and agent columns behind the others."""
-    parsed = df.withColumn("_agent", parse_user_agent(F.col(user_agent), app))
+    parsed = with_agent(df, user_agent, app, "_agent")
     flat = {flat: F.col(f"_agent.{name}") for name, flat in ATTRIBUTES.items()}
     return parsed.withColumns(flat).drop("_agent")
 
