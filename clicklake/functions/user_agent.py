@@ -1,14 +1,16 @@
 """User-agent attributes by rule.
 
-A handful of native regular expressions per row cover the main browser
-families. They run inside the scan's own stage: nothing is shuffled, so an agent
+A few regular expressions per row cover the main browser families. They run inside the scan's own stage: nothing is shuffled, so an agent
 string that a third of all rows share costs no more than any other. The rules
 are not a full user-agent grammar; what they do not know stays null.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,35 +26,42 @@ ATTRIBUTES = {
     "DeviceName": "device_name",
 }
 
-# (name, pattern that recognises it, pattern whose first group is the version)
-SYSTEMS = [
-    ("Windows NT", "Windows NT", r"Windows NT ([0-9.]+)"),
-    ("iOS", r"\((iPhone|iPad|iPod).* OS \d", r" OS (\d+(?:[_.]\d+)*)"),
-    ("Android", "Android", r"Android[ /-]?(\d+(?:\.\d+)*)"),
-    ("Chrome OS", "CrOS", r"CrOS \S+ (\d+(?:\.\d+)*)"),
-    ("Mac OS", "Mac OS X", r"Mac OS X (\d+(?:[_.]\d+)*)"),
-    ("Ubuntu", "Ubuntu", r"Ubuntu[ /](\d+(?:\.\d+)*)"),
-    ("Linux", "Linux", ""),
-]
-AGENTS = [
-    ("Edge", r"\bEdg(e|A|iOS)?/", r"\bEdg(?:e|A|iOS)?/([\d.]+)"),
-    ("Opera", r"\bOPR/", r"\bOPR/([\d.]+)"),
-    ("SamsungBrowser", r"\bSamsungBrowser/", r"\bSamsungBrowser/([\d.]+)"),
-    ("Silk", r"\bSilk/", r"\bSilk/([\d.]+)"),
-    ("GSA", r"\bGSA/", r"\bGSA/([\d.]+)"),
-    ("Firefox", r"\b(Firefox|FxiOS)/", r"\b(?:Firefox|FxiOS)/([\d.]+)"),
-    ("Chrome", r"\b(Chrome|CriOS)/", r"\b(?:Chrome|CriOS)/([\d.]+)"),
-    ("Safari", r"\bVersion/[\d.]+.* Safari/", r"\bVersion/([\d.]+)"),
-]
-BRANDS = [
-    ("Apple", r"\((iPhone|iPad|iPod|Macintosh)", ""),
-    ("Samsung", r"\b(SAMSUNG|SM-[A-Z]\d)", ""),
-    ("Google", r"\b(Pixel|Nexus)\b", ""),
-    ("Motorola", r"; moto ", ""),
-    ("HTC", r"; HTC ", ""),
-]
-ROBOT = r"(?i)(bot\b|crawler|spider)"
-WEBVIEW = r"; wv\)|FBAN/|\((iPhone|iPad|iPod)(?!.* Safari/)(?=.* Mobile/)"
+# Name of an operating system, agent or maker by the token that announces it.
+SYSTEMS = {
+    "Windows NT": "Windows NT",
+    "iPhone OS": "iOS",
+    "CPU OS": "iOS",
+    "Android": "Android",
+    "CrOS": "Chrome OS",
+    "Mac OS X": "Mac OS",
+    "Ubuntu": "Ubuntu",
+}
+AGENTS = {
+    "Edge": "Edge",
+    "Edg": "Edge",
+    "EdgA": "Edge",
+    "EdgiOS": "Edge",
+    "OPR": "Opera",
+    "SamsungBrowser": "SamsungBrowser",
+    "Silk": "Silk",
+    "GSA": "GSA",
+    "Firefox": "Firefox",
+    "FxiOS": "Firefox",
+    "Chrome": "Chrome",
+    "CriOS": "Chrome",
+    "Version": "Safari",
+}
+ENGINES = ["Chrome", "CriOS"]  # also part of the strings of other agents
+OTHERS = [a for a in AGENTS if a not in [*ENGINES, "Version"]]
+SYSTEM = rf"(?:{"|".join(SYSTEMS)})(?:(?<=CrOS) \S+)?[ /-]?[\d._]*"
+OTHER_AGENT = rf"\b({'|'.join(OTHERS)})/[\d.]+"
+ENGINE = rf"\b({'|'.join(ENGINES)})/[\d.]+"
+SAFARI = r"\bVersion/[\d.]+"
+APPLE = r"\((iPhone|iPad|iPod|Macintosh)"
+MODEL = r"Android [\d.]+; ([^;)]+?)(?: Build/[^;)]*)?[;)]"
+MAKERS = {"SAMSUNG": "Samsung", "SM-": "Samsung", "Pixel": "Google", "Nexus": "Google", "moto": "Motorola", "HTC": "HTC"}
+MAKER = rf"\A({'|'.join(MAKERS)})"
+ROBOTS, ROBOT = ["bot", "crawler", "spider"], r"bot\b|crawler|spider"
 
 
 @dataclass(frozen=True)
@@ -64,135 +73,160 @@ class AppNames:
     in_app: str  # pattern that starts an in-app agent string
 
 
-def _first_rule(ua: Column, rules) -> Column:
-    return F.coalesce(*[F.when(ua.rlike(pattern), F.lit(name)) for name, pattern, _ in rules])
+def _bind(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """Name intermediate values: each is evaluated once, however often ``body`` uses it.
 
+    Written out, the repeated parts would outgrow what the JVM compiles.
+    """
+    named = F.struct(*[value.alias(name) for name, value in values.items()])
+    return F.get(F.transform(F.array(named), body), 0)
 
-def _version(ua: Column, name: Column, rules) -> Column:
-    # The first pattern that belongs to the recognised name, evaluated for that name alone.
-    version = F.lit(None).cast("string")
-    for rule_name, _, pattern in reversed(rules):
-        if pattern:
-            version = F.when(name == rule_name, F.regexp_extract(ua, pattern, 1)).otherwise(version)
-    return F.nullif(F.replace(version, F.lit("_"), F.lit(".")), F.lit(""))
 
+def _name_of(token: Column, names: dict[str, str]) -> Column:
+    pairs = [F.lit(text) for pair in names.items() for text in pair]
+    return F.try_element_at(F.create_map(*pairs), token)
 
-def last_token(c: Column) -> Column:
-    """The last blank-separated token."""
-    return F.substring_index(F.rtrim(c), " ", -1)
 
+def _version_of(text: Column) -> Column:
+    # Only the last blank-separated token is a version, and only if it starts with a digit.
+    last = F.translate(F.substring_index(F.rtrim(text), " ", -1), "_", ".")
+    return _bind({"last": last}, lambda v: F.when(v["last"].rlike(r"\A\d"), v["last"]))
 
-def _is_own(ua: Column, app: AppNames) -> Column:
+
+def _is_wrapper(ua: Column, app: AppNames) -> Column:
     return ua.startswith(app.wrapper) | ua.rlike(rf"\A(?:{app.in_app})")
 
 
-def with_app_fallback(df: DataFrame, user_agent: str, app: AppNames, out: str) -> DataFrame:
-    """Add a struct of OS and agent of the site's own apps; null fields for other agents or odd shapes."""
-    ua = F.col(user_agent)
-    # Old native apps: "...; <x> <y> <os>/<version> ... <version> <name>" after the last semicolon.
-    last = F.try_element_at(F.array_remove(F.col("_pieces"), ""), F.lit(-1))
-    tokens, system = F.col("_tokens"), F.col("_system")
-    name = F.get(system, 0)
-    spelled = (
-        F.when(F.lower(name) == "ios", F.lit("iOS")).when(F.lower(name) == "android", F.lit("Android")).otherwise(name)
+def app_fallback(ua: Column, app: AppNames) -> Column:
+    """Struct of OS and agent of the site's own apps; null fields for other agents or odd shapes."""
+
+    def fields(os_name: Column, os_version: Column, agent_name: Column, agent_version: Column) -> Column:
+        return F.struct(
+            os_name.alias("os_name"), os_version.alias("os_version"),
+            agent_name.alias("agent_name"), agent_version.alias("agent_version"),
+        )
+
+    nothing = F.lit(None).cast("string")
+
+    def native(v: Column) -> Column:
+        # Old native apps: "...; <x> <y> <os>/<version> ... <version> <name>" after the last semicolon.
+        tokens, os_name, os_version = v["tokens"], F.get(v["system"], 0), F.get(v["system"], 1)
+        spelled = F.when(F.lower(os_name) == "ios", F.lit("iOS")).when(
+            F.lower(os_name) == "android", F.lit("Android")
+        ).otherwise(os_name)
+        whole, seven = os_version != "", F.size(tokens) == 7
+        return fields(
+            F.when(whole, spelled),
+            F.when(whole, os_version),
+            F.when(whole & seven, F.substring_index(F.get(tokens, 6), "/", -1)),
+            F.when(whole & seven, F.substring_index(F.get(tokens, 5), "/", -1)),
+        )
+
+    def wrapped(v: Column) -> Column:
+        # Wrappers: "<prefix> (<x>; <y>; <os> <version>...", or "<os>/<version>)" in that place.
+        whole = F.get(v["items"], 1).isNotNull()
+        return fields(F.when(whole, F.get(v["items"], 0)), F.get(v["items"], 1), nothing, nothing)
+
+    last = F.try_element_at(F.array_remove(F.split(ua, ";"), ""), F.lit(-1))
+    tokens = F.split(F.rtrim(last), " ")
+    third = F.rtrim(F.trim(F.get(F.split(ua, ";"), 2)), F.lit(")"))
+    return (
+        F.when(
+            ua.contains(app.product),
+            _bind({"tokens": tokens, "system": F.split(F.get(tokens, 2), "/")}, native),
+        )
+        .when(_is_wrapper(ua, app), _bind({"items": F.split(third, "[ /]")}, wrapped))
+        .otherwise(fields(nothing, nothing, nothing, nothing))
     )
-    native = F.col("_native") & (F.get(system, 1) != "")
-    named = native & (F.size(tokens) == 7)
-    # Wrappers: "<prefix> (<x>; <y>; <os> <version>...", or "<os>/<version>)" in that place.
-    items = F.col("_items")
-    wrapped = ~F.col("_native") & F.get(items, 1).isNotNull() & _is_own(ua, app)
+
+
+def _announces(ua: Column, tokens: list[str]) -> Column:
+    # Plain searches are an order of magnitude cheaper than a pattern that finds nothing.
+    return reduce(or_, [ua.contains(f"{token}/") for token in tokens])
+
+
+def agent_class(ua: Column, app: AppNames) -> Column:
+    """Kind of agent: robot, own app, embedded or plain browser; null for what is none of these."""
+    lower = F.lower(ua)
+    robot = reduce(or_, [lower.contains(text) for text in ROBOTS]) & lower.rlike(ROBOT)
+    embedded = ua.contains("; wv)") | ua.contains("FBAN/") | (ua.contains(" Mobile/") & ~ua.contains(" Safari/"))
     return (
-        df.withColumn("_pieces", F.split(ua, ";"))
+        F.when(robot, F.lit("Robot"))
+        .when(ua.contains(app.product) | _is_wrapper(ua, app), F.lit("Mobile App"))
+        .when(embedded, F.lit("Browser Webview"))
+        .when(ua.contains(" Safari/") | _announces(ua, [*ENGINES, *OTHERS]), F.lit("Browser"))
+    )
+
+
+def with_agent_columns(df: DataFrame, user_agent: str, app: AppNames) -> DataFrame:
+    """Add the flat columns of ``ATTRIBUTES``; null for an empty or null agent string.
+
+    The steps are columns of their own, so that each pattern runs once per row
+    and the generated code stays small enough for the JVM to compile.
+    """
+    ua, os_name, model, apple = F.col("_ua"), F.col("os_name"), F.col("_model"), F.col("_apple")
+    token, system = F.col("_token"), F.col("_system")
+    tokens = (
+        df.withColumn("_ua", F.nullif(F.col(user_agent), F.lit("")))
         .withColumns(
             {
-                "_native": ua.contains(app.product),
-                "_tokens": F.split(F.rtrim(last), " "),
-                "_items": F.split(F.rtrim(F.trim(F.get(F.col("_pieces"), 2)), F.lit(")")), "[ /]"),
+                "agent_class": agent_class(ua, app),
+                "_other": F.when(_announces(ua, OTHERS), F.regexp_extract("_ua", OTHER_AGENT, 0)),
+                "_system": F.regexp_extract("_ua", SYSTEM, 0),
+                "_apple": F.regexp_extract("_ua", APPLE, 1),
             }
         )
-        .withColumn("_system", F.split(F.get(tokens, 2), "/"))
         .withColumn(
-            out,
-            F.struct(
-                F.when(native, spelled).when(wrapped, F.get(items, 0)).alias("os_name"),
-                F.when(native, F.get(system, 1)).when(wrapped, F.get(items, 1)).alias("os_version"),
-                F.when(named, F.substring_index(F.get(tokens, 6), "/", -1)).alias("agent_name"),
-                F.when(named, F.substring_index(F.get(tokens, 5), "/", -1)).alias("agent_version"),
-            ),
+            "_token",
+            F.when(F.col("_other") != "", F.col("_other"))
+            .when(_announces(ua, ENGINES), F.regexp_extract("_ua", ENGINE, 0))
+            .when(ua.contains(" Safari/"), F.regexp_extract("_ua", SAFARI, 0)),
+        )
+        .withColumns(
+            {
+                "_os_rule": F.coalesce(
+                    _name_of(F.regexp_extract(system, r"\A[A-Za-z ]*[A-Za-z]", 0), SYSTEMS),
+                    F.when(ua.contains("Linux"), F.lit("Linux")),
+                ),
+                "_model": F.when(system.startswith("Android"), F.regexp_extract("_ua", MODEL, 1)),
+            }
         )
-        .drop("_pieces", "_native", "_tokens", "_items", "_system")
-    )
-
-
-def with_agent(df: DataFrame, user_agent: str, app: AppNames, out: str) -> DataFrame:
-    """Add a struct of the attributes in ``ATTRIBUTES``; null for an empty or null agent string.
-
-    The rules run in steps that are columns of their own, so that each pattern
-    is tried once per row and the generated code stays small.
-    """
-    ua, os_rule, agent_rule = F.col(user_agent), F.col("_os_rule"), F.col("_agent_rule")
-    os_name, brand, apple, model = F.col("_os_name"), F.col("_brand"), F.col("_apple"), F.col("_model")
-
-    def own_app(field: str) -> Column:
         # App values only stand in where the rules see no operating system.
-        return F.when(os_rule.isNull(), F.col(f"_app.{field}"))
-
-    steps = with_app_fallback(df, user_agent, app, "_app").withColumns(
+        .withColumn("_app", F.when(F.col("_os_rule").isNull(), app_fallback(ua, app)))
+    )
+    named = tokens.withColumns(
         {
-            "_os_rule": _first_rule(ua, SYSTEMS),
-            "_agent_rule": _first_rule(ua, AGENTS),
-            "_brand": _first_rule(ua, BRANDS),
-            "_robot": ua.rlike(ROBOT),
-            "_apple": F.regexp_extract(ua, r"\((iPhone|iPad|iPod|Macintosh)", 1),
-            "_model": F.regexp_extract(
-                ua, r"Android [\d.]+; (?:SAMSUNG |HTC )?([^;)]+?)(?: Build/[^;)]*)?[;)]", 1
+            "os_name": F.coalesce("_os_rule", "_app.os_name"),
+            "os_version": F.coalesce("_app.os_version", _version_of(system)),
+            "agent_name": F.coalesce("_app.agent_name", _name_of(F.substring_index(token, "/", 1), AGENTS)),
+            "agent_version": F.coalesce("_app.agent_version", _version_of(F.substring_index(token, "/", -1))),
+            "device_brand": F.when(apple != "", F.lit("Apple")).otherwise(
+                _name_of(F.regexp_extract(model, MAKER, 1), MAKERS)
             ),
         }
     )
-    steps = steps.withColumns(
+    desktop = os_name.isin("Windows NT", "Mac OS", "Chrome OS", "Linux", "Ubuntu")
+    tablet = (apple == "iPad") | ((os_name == "Android") & ~ua.contains("Mobile"))
+    # The maker stands in front of the model once.
+    device = F.concat_ws(" ", F.col("device_brand"), F.regexp_replace(model, r"\A(SAMSUNG|HTC) ", ""))
+    described = named.withColumns(
         {
-            "_os_name": F.coalesce(own_app("os_name"), os_rule),
-            "_os_version": F.coalesce(own_app("os_version"), last_token(_version(ua, os_rule, SYSTEMS))),
-            "_agent_version": F.coalesce(own_app("agent_version"), last_token(_version(ua, agent_rule, AGENTS))),
+            "device_class": F.when(F.col("agent_class") == "Robot", F.lit("Robot"))
+            .when(tablet, F.lit("Tablet"))
+            .when(os_name.isin("iOS", "Android"), F.lit("Phone"))
+            .when(desktop, F.lit("Desktop")),
+            "device_name": F.when(apple != "", F.concat(F.lit("Apple "), apple))
+            .when(model != "", device)
+            .when(os_name.isin("Linux", "Ubuntu"), F.lit("Linux Desktop"))
+            .when(desktop, F.lit("Desktop")),
         }
     )
-    desktop = os_name.isin("Windows NT", "Mac OS", "Chrome OS", "Linux", "Ubuntu")
-    tablet = ua.contains("iPad") | ((os_name == "Android") & ~ua.contains("Mobile"))
-    device_class = (
-        F.when(F.col("_robot"), F.lit("Robot"))
-        .when(tablet, F.lit("Tablet"))
-        .when(os_name.isin("iOS", "Android"), F.lit("Phone"))
-        .when(desktop, F.lit("Desktop"))
-    )
-    device_name = (
-        F.when(apple != "", F.concat(F.lit("Apple "), apple))
-        .when(model != "", F.concat_ws(" ", brand, model))
-        .when(os_name.isin("Linux", "Ubuntu"), F.lit("Linux Desktop"))
-        .when(desktop, F.lit("Desktop"))
-    )
-    agent_class = (
-        F.when(F.col("_robot"), F.lit("Robot"))
-        .when(ua.contains(app.product) | _is_own(ua, app), F.lit("Mobile App"))
-        .when(ua.rlike(WEBVIEW), F.lit("Browser Webview"))
-        .when(agent_rule.isNotNull(), F.lit("Browser"))
-    )
-    values = {
-        "DeviceClass": device_class,
-        "AgentClass": agent_class,
-        "OperatingSystemName": os_name,
-        "OperatingSystemVersion": F.col("_os_version"),
-        "AgentName": F.coalesce(own_app("agent_name"), agent_rule),
-        "AgentVersion": F.col("_agent_version"),
-        "DeviceBrand": brand,
-        "DeviceName": device_name,
-    }
-    parsed = F.when(F.length(ua) > 0, F.struct(*[v.alias(n) for n, v in values.items()]))
-    return steps.withColumn(out, parsed).drop(
-        "_app", "_os_rule", "_agent_rule", "_brand", "_robot", "_apple", "_model", "_os_name", "_os_version",
-        "_agent_version",
-    )
+    given = [c for c in df.columns if c not in ATTRIBUTES.values()]
+    return described.select(*given, *ATTRIBUTES.values())
 
 
 def with_agent_json(df: DataFrame, user_agent: str, app: AppNames, out: str) -> DataFrame:
     """Add the attributes as JSON text, without the unknown ones; null for an empty agent string."""
-    return with_agent(df, user_agent, app, out).withColumn(out, F.to_json(out))
+    attributes = F.to_json(F.struct(*[F.col(flat).alias(name) for name, flat in ATTRIBUTES.items()]))
+    parsed = with_agent_columns(df, user_agent, app)
+    return parsed.withColumn(out, F.when(F.length(user_agent) > 0, attributes)).drop(*ATTRIBUTES.values())

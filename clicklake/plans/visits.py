@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.functions import text
-from clicklake.functions.user_agent import with_agent_json, with_app_fallback
+from clicklake.functions.user_agent import app_fallback, with_agent_json
 from clicklake.operators import visits as ops
 from clicklake.plans import query
 from clicklake.plans.inputs import (
     AGENT_SQL, APP, CATEGORY_SQL, SITE, VISITS_SQL, events_with_agent, table, visits,
 )
+from clicklake.sources.files import read_csv, shared_dir, write_csv
+from clicklake.sources.schemas import REGISTRATIONS
 
 _HAS_SOURCE = "coalesce(list_contains([split_part(x, '=', 1) FOR x IN str_split(replace(trim(url_params), '?', ''), '&')], 'source'), false)"
 _FLAT = "device_class, agent_class, os_name, os_version, agent_name, agent_version, device_brand, device_name"
@@ -79,7 +81,7 @@ def ua_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM agent"""
 )
 def ua_app_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    agents = with_app_fallback(events_with_agent(spark, sf_dir), "user_agent", APP, "app")
+    agents = events_with_agent(spark, sf_dir).withColumn("app", app_fallback(F.col("user_agent"), APP))
     return agents.select("event_id", "app.*")
 
 
@@ -112,6 +114,7 @@ SELECT user_id, user_id || '@mail' || event_id AS email, 'mail' || event_id AS e
 FROM agent WHERE agent_class <> 'Browser Webview'"""
 )
 def registration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a CSV file of registrations."""
     event = F.col("event_id").cast("string")
     domain = F.concat(F.lit("mail"), event)
     registrations = events_with_agent(spark, sf_dir).select(
@@ -127,4 +130,6 @@ def registration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("page_type"),
         event.alias("client_id"),
     )
-    return ops.registration_report(registrations, APP)
+    path = shared_dir(spark)
+    write_csv(registrations, path)
+    return ops.registration_report(read_csv(spark, path, REGISTRATIONS), APP)
