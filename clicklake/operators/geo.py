@@ -37,18 +37,18 @@ def overlapping_ranges(ranges: DataFrame) -> DataFrame:
     return _pieces(ranges).withColumn("next_start", following).where(F.col("end") >= F.col("next_start"))
 
 
-def range_lookup(df: DataFrame, ip: str, ranges: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
+def range_lookup(df: DataFrame, ip: str, ranges: DataFrame, max_broadcast_rows: int = 200_000) -> DataFrame:
     """All rows with the ``geo`` of the range their address lies in, null for a miss.
 
-    A range table up to ``max_broadcast_rows`` (looked up, not assumed) goes to
-    every executor, and the rows are not shuffled. Beyond that each distinct
+    Up to ``max_broadcast_rows`` pieces (counted, not assumed) go to every
+    executor, and the rows are not shuffled. Beyond that each distinct
     address is resolved once, by one sorted pass per bucket over addresses and
     range starts, neither of which can exceed the bucket; the rows then join by
     address, where Spark can split a hot one.
     """
     rows = df.withColumn("_ip", ip_to_long(F.col(ip)))
     pieces = _pieces(ranges)
-    if is_small(ranges, max_broadcast_rows):
+    if is_small(pieces, max_broadcast_rows):
         within = (F.floor(F.col("_ip") / BUCKET) == F.col("bucket")) & F.col("_ip").between(
             F.col("start"), F.col("end")
         )

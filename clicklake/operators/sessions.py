@@ -40,9 +40,16 @@ def session_fragments(
     )
 
 
-def number_cells(fragments: DataFrame, user: str, gap: timedelta) -> DataFrame:
+def event_spans(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
+    """Events as spans of no length, for ``number_cells``."""
+    return df.select(
+        user, time_slice(df, ts, gap).alias(CELL), F.col(ts).alias("first_ts"), F.col(ts).alias("last_ts")
+    )
+
+
+def number_cells(spans: DataFrame, user: str, gap: timedelta) -> DataFrame:
     """One row per user and cell with its session number, counted from 0."""
-    cells = fragments.groupBy(user, CELL).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+    cells = spans.groupBy(user, CELL).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
     by_user = Window.partitionBy(user).orderBy(CELL)
     breaks = F.col("first_ts") > F.lag("last_ts").over(by_user) + F.lit(gap)
     return (
@@ -52,10 +59,16 @@ def number_cells(fragments: DataFrame, user: str, gap: timedelta) -> DataFrame:
     )
 
 
-def sessions_from_fragments(fragments: DataFrame, user: str, page: str, gap: timedelta) -> DataFrame:
-    """(user, session_no, session_min, session_max) of fragments from a batch or a stream."""
+def sessions_from_fragments(
+    fragments: DataFrame, user: str, page: str, gap: timedelta, spans: DataFrame | None = None
+) -> DataFrame:
+    """(user, session_no, session_min, session_max) of fragments from a batch or a stream.
+
+    ``spans`` may give a cheaper way to the cells than the fragments themselves.
+    """
+    numbers = number_cells(fragments if spans is None else spans, user, gap)
     pages = (
-        null_safe_join(fragments, number_cells(fragments, user, gap), [user, CELL])
+        null_safe_join(fragments, numbers, [user, CELL])
         .groupBy(user, "session_no", page)
         .agg(F.sum("views").alias("views"), F.max("last_ts").alias("last_ts"), F.min("began").alias("began"))
     )
@@ -68,15 +81,20 @@ def sessions_from_fragments(fragments: DataFrame, user: str, page: str, gap: tim
 def sessionize(
     df: DataFrame, user: str, ts: str, page: str, gap: timedelta, prev_min: str | None = None
 ) -> DataFrame:
-    """Sessions of all users; ``prev_min`` names the carried start of a session that was still open."""
-    return sessions_from_fragments(session_fragments(df, user, ts, page, gap, prev_min), user, page, gap)
+    """Sessions of all users; ``prev_min`` names the carried start of a session that was still open.
+
+    Reads the events twice, by their time for the cells and in full for the
+    fragments; both passes combine what they read before it is shuffled.
+    """
+    fragments = session_fragments(df, user, ts, page, gap, prev_min)
+    return sessions_from_fragments(fragments, user, page, gap, event_spans(df, user, ts, gap))
 
 
 def gap_sessions(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
     """Sessions by the gap rule alone: they end one gap after their last event."""
     cells = session_fragments(df, user, ts, None, gap)
     return (
-        null_safe_join(cells, number_cells(cells, user, gap), [user, CELL])
+        null_safe_join(cells, number_cells(event_spans(df, user, ts, gap), user, gap), [user, CELL])
         .groupBy(user, "session_no")
         .agg(
             F.min("first_ts").alias("session_start"),
@@ -88,9 +106,8 @@ def gap_sessions(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame
 
 def label_sessions(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
     """Every event with its ``session_no``."""
-    cells = session_fragments(df, user, ts, None, gap)
     labelled = df.withColumn(CELL, time_slice(df, ts, gap))
-    return null_safe_join(labelled, number_cells(cells, user, gap), [user, CELL]).drop(CELL)
+    return null_safe_join(labelled, number_cells(event_spans(df, user, ts, gap), user, gap), [user, CELL]).drop(CELL)
 
 
 def open_sessions(

@@ -7,7 +7,7 @@ slices of a key, and one small row per slice carries over what the next needs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -42,10 +42,13 @@ def lag_by_key(
     )
 
 
-def with_group_totals(df: DataFrame, keys: Sequence[str], totals: Sequence[Column]) -> DataFrame:
-    """Aggregates over the whole key next to every row.
+def with_group_totals(df: DataFrame, totals: Mapping[tuple[str, ...], Sequence[Column]]) -> DataFrame:
+    """Aggregates over whole groups next to every row: ``{group columns: aggregates}``.
 
-    The aggregate is combined before its shuffle, and the join back can split a
-    hot key, which a window over the key could not.
+    Each aggregate is combined before its shuffle, and the join back can split a
+    hot group, which a window over the group could not.
     """
-    return null_safe_join(df, df.groupBy(*keys).agg(*totals), keys)
+    result = df
+    for keys, aggregates in totals.items():
+        result = null_safe_join(result, df.groupBy(*keys).agg(*aggregates), keys)
+    return result

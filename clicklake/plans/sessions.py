@@ -11,7 +11,7 @@ from clicklake.operators.windows import lag_by_key, with_group_totals
 from clicklake.functions.times import time_slice
 from clicklake.plans import query
 from clicklake.plans.inputs import table
-from clicklake.sources.files import shared_dir
+from clicklake.sources.files import read_parquet, shared_dir, write_parquet
 from clicklake.streaming.sessions import start_fragments, stream_fragments, streamed_sessions
 
 GAP = timedelta(hours=12)
@@ -65,8 +65,11 @@ def session_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
 ), {_sessions_sql("nxt", "following")} SELECT * FROM nxt"""
 )
 def session_next_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The carry rows are a stored table, as they are between two runs of an hourly job."""
+    carry = shared_dir(spark)
+    write_parquet(session_carry(spark, sf_dir), carry)
     following = table(spark, sf_dir, "events").where(F.col("ts") >= F.lit(BOUNDARY).cast("timestamp_ntz"))
-    return ops.sessionize_next(following, session_carry(spark, sf_dir), **COLUMNS)
+    return ops.sessionize_next(following, read_parquet(spark, carry), **COLUMNS)
 
 
 @query(
@@ -88,17 +91,26 @@ def gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
 WITH plain AS (SELECT *, NULL::TIMESTAMP AS prev_min FROM events), {_sessions_sql("s", "plain")}
-SELECT event_id, user_id, event_type, session_no, max(ts) OVER (PARTITION BY user_id, session_no) AS session_last,
-       count(event_type) OVER (PARTITION BY user_id, session_no, event_type) AS page_count
-FROM s_numbered"""
+SELECT event_id, session_no FROM s_numbered"""
+)
+def label_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return ops.label_sessions(events, "user_id", "ts", GAP).select("event_id", "session_no")
+
+
+@query(
+    """
+SELECT event_id, user_id, event_type, max(ts) OVER (PARTITION BY user_id) AS user_last,
+       count(event_type) OVER (PARTITION BY user_id, event_type) AS page_count
+FROM events"""
 )
 def window_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = ops.label_sessions(table(spark, sf_dir, "events"), "user_id", "ts", GAP).select(
-        "event_id", "user_id", "event_type", "session_no", "ts"
-    )
-    lasting = with_group_totals(labelled, ["user_id", "session_no"], [F.max("ts").alias("session_last")])
-    counted = [F.count("event_type").alias("page_count")]
-    return with_group_totals(lasting, ["user_id", "session_no", "event_type"], counted).drop("ts")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    totals = {
+        ("user_id",): [F.max("ts").alias("user_last")],
+        ("user_id", "event_type"): [F.count("event_type").alias("page_count")],
+    }
+    return with_group_totals(events, totals).drop("ts")
 
 
 @query("SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS lag_ts FROM events")

@@ -69,9 +69,15 @@ def read_partition_leafs(spark: SparkSession, root: str, leafs: Sequence[str]) -
 # -- sinks -------------------------------------------------------------------
 
 
-def _writer(df: DataFrame, single_file: bool):
+def _writer(df: DataFrame, single_file: bool = False, partition_by: Sequence[str] = ()):
     # One file means one task for the last stage: only for results known to be small.
-    return (df.coalesce(1) if single_file else df).write.mode("overwrite")
+    # Rebalancing gives each partition few files of even size: Spark splits partitions
+    # that got too much (a hot hour) and merges the small ones.
+    if single_file:
+        df = df.coalesce(1)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
+    return df.write.mode("overwrite").partitionBy(*partition_by)
 
 
 def write_csv(
@@ -82,20 +88,16 @@ def write_csv(
 
 
 def write_json(df: DataFrame, path: str, compression: str = "gzip", partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("overwrite").options(compression=compression, **TIME_FORMATS).partitionBy(*partition_by).json(path)
+    _writer(df, False, partition_by).options(compression=compression, **TIME_FORMATS).json(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), single_file: bool = False) -> None:
-    _writer(df, single_file).partitionBy(*partition_by).parquet(path)
+    _writer(df, single_file, partition_by).parquet(path)
 
 
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str], path: str | None = None) -> None:
-    """Replace a partitioned table.
-
-    Rebalancing first gives each partition few files of even size: Spark splits
-    the partitions that got too much (a hot hour) and merges the small ones.
-    """
-    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    """Replace a partitioned table."""
+    writer = _writer(df, False, partition_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
