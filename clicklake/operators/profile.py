@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clicklake.functions.times import is_weekday
+from clicklake.sources.files import settled
 
 # Metric names in the metrics table.
 METRICS = ["ApproxQuantile-0.5", "Mean", "StandardDeviation", "Maximum", "Minimum"]
@@ -59,13 +60,12 @@ def profile_column(
 def profile_histogram(
     df: DataFrame, column: str, type_: str = "default", day: date | None = None, date_col: str = "date_"
 ) -> DataFrame:
-    """How many bins a column has, and the count and share of each."""
-    data = _of_day(df, day, date_col)
-    bins = data.groupBy(_bin(column)).agg(F.count("*").alias("n"))
-    total = data.agg(F.count("*")).scalar()
+    """How many bins a column has, and the count and share of each, from one pass over the data."""
+    bins = settled(_of_day(df, day, date_col).groupBy(_bin(column)).agg(F.count("*").alias("n")))
     number = _metric_rows(
         bins.agg(F.count("*").cast("double").alias("n")), F.lit(type_), F.lit(BINS), F.col("n"), day
     )
+    total = bins.agg(F.sum("n")).scalar()
     return number.unionByName(_histogram_rows(bins.withColumn("total", total), F.lit(type_), day))
 
 
@@ -80,7 +80,7 @@ def profile_by_day_type(
 ) -> DataFrame:
     """Profiles of weekdays and weekends, each over all values and over those up to ``cap``.
 
-    Two aggregations replace eight: the capped metrics are conditional
+    Two passes over the data replace eight: the capped metrics are conditional
     aggregates next to the others, and capped bins are a subset of all bins.
     """
     data = df.withColumn("_weekday", is_weekday(F.col(date_col))).where(F.col("_weekday").isNotNull())
@@ -95,7 +95,7 @@ def profile_by_day_type(
     type_ = F.concat_ws("_", F.lit(label), days, F.substring_index("key", "|", -1))
     moments = _metric_rows(rows, type_, F.substring_index("key", "|", 1), F.col("value"), None)
 
-    bins = data.groupBy("_weekday", c.alias("_value")).agg(F.count("*").alias("n"))
+    bins = settled(data.groupBy("_weekday", c.alias("_value")).agg(F.count("*").alias("n")))
     both = bins.withColumn(
         "_variant",
         F.explode(F.when(F.col("_value") <= cap, F.array(*map(F.lit, variants))).otherwise(F.array(F.lit("total")))),
@@ -104,5 +104,6 @@ def profile_by_day_type(
     totals = both.groupBy(*group).agg(F.sum("n").alias("total"), F.count("*").alias("bins"))
     type_ = F.concat_ws("_", F.lit(label), days, "_variant")
     number = _metric_rows(totals, type_, F.lit(BINS), F.col("bins").cast("double"), None)
-    shares = _histogram_rows(both.join(totals, group), type_, None)
+    # Two day types in two variants: the totals are four rows at most.
+    shares = _histogram_rows(both.join(F.broadcast(totals), group), type_, None)
     return moments.unionByName(number).unionByName(shares)

@@ -8,10 +8,7 @@ from clicklake.operators import profile as ops
 from clicklake.operators.aggregates import distinct_per_column as count_distinct_per_column
 from clicklake.plans import query
 from clicklake.plans.inputs import table
-from clicklake.sources.files import append_metrics, shared_dir
-
-# Exact up to this many rows, with a sketch of bounded size beyond.
-ACCURACY = 1_000_000
+from clicklake.sources.files import append_metrics, settled, shared_dir
 
 
 def _rounded(metrics: DataFrame) -> DataFrame:
@@ -44,7 +41,7 @@ UNION ALL {head} 'Histogram.ratio.' || bin AS name, round(n / (SELECT count(*) F
 
 @query(_moments_sql("events", "value", "value"))
 def profile_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(ops.profile_column(table(spark, sf_dir, "events"), "value", "value", accuracy=ACCURACY))
+    return _rounded(ops.profile_column(table(spark, sf_dir, "events"), "value", "value"))
 
 
 @query(_histogram_sql("part", "size", "p_size"))
@@ -73,8 +70,8 @@ _DAY_TYPES = {
 )
 def profile_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    daily = events.groupBy("user_id", F.to_date("ts").alias("date_")).agg(F.count("*").alias("views"))
-    return _rounded(ops.profile_by_day_type(daily, "views", "date_", "views", 3, accuracy=ACCURACY))
+    daily = settled(events.groupBy("user_id", F.to_date("ts").alias("date_")).agg(F.count("*").alias("views")))
+    return _rounded(ops.profile_by_day_type(daily, "views", "date_", "views", 3))
 
 
 @query(
@@ -85,8 +82,8 @@ def profile_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of two tables, appended to a metrics table and read back."""
     target = f"{shared_dir(spark)}/metrics"
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
-    append_metrics(ops.profile(part, "p_size", "size", accuracy=ACCURACY), target)
-    append_metrics(ops.profile_column(supplier, "s_acctbal", "balance", accuracy=ACCURACY), target)
+    append_metrics(ops.profile(part, "p_size", "size"), target)
+    append_metrics(ops.profile_column(supplier, "s_acctbal", "balance"), target)
     return _rounded(spark.read.parquet(target))
 
 

@@ -29,6 +29,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/clicklake-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows computed once and kept as a table in the shared folder, for results that several steps read."""
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # -- sources -----------------------------------------------------------------
 
 
