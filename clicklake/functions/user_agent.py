@@ -185,7 +185,7 @@ def with_agent_columns(df: DataFrame, user_agent: str, app: AppNames) -> DataFra
         .withColumns(
             {
                 "_os_rule": F.coalesce(
-                    _name_of(F.regexp_extract(system, r"\A[A-Za-z ]*[A-Za-z]", 0), SYSTEMS),
+                    _name_of(F.regexp_extract(system, rf"\A({'|'.join(SYSTEMS)})", 1), SYSTEMS),
                     F.when(ua.contains("Linux"), F.lit("Linux")),
                 ),
                 "_model": F.when(system.startswith("Android"), F.regexp_extract("_ua", MODEL, 1)),
