@@ -4,12 +4,14 @@ A user's next session starts at an event more than ``gap`` after the one before.
 A page seen once in a session is a bounce and lasts no time; any other page
 lasts ``gap`` beyond its last event. A session ends with its last page.
 
-No step here sorts or windows raw events. The time line is cut into cells one
-gap wide. Two events in the same cell are less than a gap apart, so a cell never
-spans two sessions, and plain aggregation can shrink the events to one fragment
-per user, cell and page before the first shuffle. Session borders then follow
-from one row per user and cell: a user with a third of all events has no more of
-those than the time span has cells.
+Ordinary users are windowed: one shuffle by user serves the window and all
+aggregates behind it. Users with more events than a task should sort take
+another way, in which no step sorts or windows events. The time line is cut into
+cells one gap wide. Two events in the same cell are less than a gap apart, so a
+cell never spans two sessions, and plain aggregation can shrink the events to
+one fragment per user, cell and page before the first shuffle. Session borders
+then follow from one row per user and cell: a user with a third of all events
+has no more of those than the time span has cells.
 """
 
 from __future__ import annotations
@@ -20,26 +22,45 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clicklake.functions.times import time_slice
 from clicklake.operators.joins import null_safe_join
+from clicklake.operators.skew import HOT_ROWS, split_hot, together
 
 CELL = "_cell"
 
 
-def session_fragments(
-    df: DataFrame, user: str, ts: str, page: str | None, gap: timedelta, prev_min: str | None = None
-) -> DataFrame:
-    """Events combined per user, gap-wide cell and page."""
-    began = F.coalesce(prev_min, ts) if prev_min else F.col(ts)
-    keys = [F.col(user), time_slice(df, ts, gap).alias(CELL)]
-    if page:
-        keys.append(F.col(page))
+def _number_events(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
+    # Events at the same time share the number, as the default window frame has it.
+    by_user = Window.partitionBy(user).orderBy(ts)
+    breaks = F.col(ts) > F.lag(ts).over(by_user) + F.lit(gap)
+    return (
+        df.withColumn("_breaks", breaks)
+        .withColumn("session_no", F.count(F.when(F.col("_breaks"), 1)).over(by_user))
+        .drop("_breaks")
+    )
+
+
+def _page_views(df: DataFrame, keys: list[Column | str], ts: str, page: str | None, prev_min: str | None) -> DataFrame:
     return df.groupBy(*keys).agg(
         F.count(page or ts).alias("views"),
         F.min(ts).alias("first_ts"),
         F.max(ts).alias("last_ts"),
-        F.min(began).alias("began"),
+        F.min(F.coalesce(prev_min, ts) if prev_min else ts).alias("began"),
     )
 
 
+def _close_sessions(pages: DataFrame, user: str, gap: timedelta) -> DataFrame:
+    lasts_until = F.when(F.col("views") == 1, F.col("last_ts")).otherwise(F.col("last_ts") + F.lit(gap))
+    return pages.groupBy(user, "session_no").agg(
+        F.min("began").alias("session_min"), F.max(lasts_until).alias("session_max")
+    )
+
+
+def session_fragments(
+    df: DataFrame, user: str, ts: str, page: str, gap: timedelta, prev_min: str | None = None
+) -> DataFrame:
+    """Events combined per user, gap-wide cell and page."""
+    return _page_views(df, [user, time_slice(df, ts, gap).alias(CELL), page], ts, page, prev_min)
+
+
 def event_spans(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
     """Events as spans of no length, for ``number_cells``."""
     return df.select(
@@ -72,42 +93,58 @@ def sessions_from_fragments(
         .groupBy(user, "session_no", page)
         .agg(F.sum("views").alias("views"), F.max("last_ts").alias("last_ts"), F.min("began").alias("began"))
     )
-    lasts_until = F.when(F.col("views") == 1, F.col("last_ts")).otherwise(F.col("last_ts") + F.lit(gap))
-    return pages.groupBy(user, "session_no").agg(
-        F.min("began").alias("session_min"), F.max(lasts_until).alias("session_max")
-    )
+    return _close_sessions(pages, user, gap)
 
 
 def sessionize(
-    df: DataFrame, user: str, ts: str, page: str, gap: timedelta, prev_min: str | None = None
+    df: DataFrame, user: str, ts: str, page: str, gap: timedelta, prev_min: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Sessions of all users; ``prev_min`` names the carried start of a session that was still open.
 
-    Reads the events twice, by their time for the cells and in full for the
-    fragments; both passes combine what they read before it is shuffled.
+    For hot users the events are read twice, by their time for the cells and in
+    full for the fragments; both passes combine what they read before it is
+    shuffled.
     """
-    fragments = session_fragments(df, user, ts, page, gap, prev_min)
-    return sessions_from_fragments(fragments, user, page, gap, event_spans(df, user, ts, gap))
+    ordinary, hot = split_hot(df, [user], hot_rows)
+    if ordinary is not None:
+        numbered = _number_events(ordinary, user, ts, gap)
+        ordinary = _close_sessions(_page_views(numbered, [user, "session_no", page], ts, page, prev_min), user, gap)
+    if hot is not None:
+        fragments = session_fragments(hot, user, ts, page, gap, prev_min)
+        hot = sessions_from_fragments(fragments, user, page, gap, event_spans(hot, user, ts, gap))
+    return together(ordinary, hot)
 
 
-def gap_sessions(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
+def gap_sessions(df: DataFrame, user: str, ts: str, gap: timedelta, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sessions by the gap rule alone: they end one gap after their last event."""
-    cells = session_fragments(df, user, ts, None, gap)
-    return (
-        null_safe_join(cells, number_cells(event_spans(df, user, ts, gap), user, gap), [user, CELL])
-        .groupBy(user, "session_no")
-        .agg(
+
+    def merged(events: DataFrame) -> DataFrame:
+        return events.groupBy(user, "session_no").agg(
             F.min("first_ts").alias("session_start"),
             (F.max("last_ts") + F.lit(gap)).alias("session_end"),
             F.sum("views").alias("events"),
         )
-    )
+
+    ordinary, hot = split_hot(df, [user], hot_rows)
+    if ordinary is not None:
+        numbered = _number_events(ordinary, user, ts, gap)
+        ordinary = merged(_page_views(numbered, [user, "session_no"], ts, None, None))
+    if hot is not None:
+        cells = _page_views(hot, [user, time_slice(hot, ts, gap).alias(CELL)], ts, None, None)
+        hot = merged(null_safe_join(cells, number_cells(event_spans(hot, user, ts, gap), user, gap), [user, CELL]))
+    return together(ordinary, hot)
 
 
-def label_sessions(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
+def label_sessions(df: DataFrame, user: str, ts: str, gap: timedelta, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every event with its ``session_no``."""
-    labelled = df.withColumn(CELL, time_slice(df, ts, gap))
-    return null_safe_join(labelled, number_cells(event_spans(df, user, ts, gap), user, gap), [user, CELL]).drop(CELL)
+    ordinary, hot = split_hot(df, [user], hot_rows)
+    if ordinary is not None:
+        ordinary = _number_events(ordinary, user, ts, gap)
+    if hot is not None:
+        numbers = number_cells(event_spans(hot, user, ts, gap), user, gap)
+        hot = null_safe_join(hot.withColumn(CELL, time_slice(hot, ts, gap)), numbers, [user, CELL]).drop(CELL)
+    return together(ordinary, hot)
 
 
 def open_sessions(
@@ -126,8 +163,9 @@ def open_sessions(
 
 
 def sessionize_next(
-    events: DataFrame, carry: DataFrame, user: str, ts: str, page: str, gap: timedelta, prev_min: str = "prev_min"
+    events: DataFrame, carry: DataFrame, user: str, ts: str, page: str, gap: timedelta, prev_min: str = "prev_min",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Sessions of a further batch of events that continues the carried ones."""
     both = events.select(user, ts, page).unionByName(carry, allowMissingColumns=True)
-    return sessionize(both, user, ts, page, gap, prev_min)
+    return sessionize(both, user, ts, page, gap, prev_min, hot_rows)

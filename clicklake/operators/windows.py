@@ -1,8 +1,8 @@
-"""Window results without whole-key windows.
+"""Window results that survive hot keys.
 
 A window over a key puts all rows of that key into one task. Keys such as a null
-cookie or a robot may hold a third of a table, so rows are windowed within
-slices of a key, and one small row per slice carries over what the next needs.
+cookie or a robot may hold a third of a table; the rows of such a key are
+windowed in slices, and one small row per slice carries over what the next needs.
 """
 
 from __future__ import annotations
@@ -12,18 +12,35 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clicklake.operators.joins import null_safe_join
+from clicklake.operators.skew import HOT_ROWS, split_hot, together
 
 
 def lag_by_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, slice_: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, slice_: Column,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``lag(value)`` per key, in ``order``.
 
-    ``slice_`` must not decrease along ``order``. The last value of a slice
-    enters the key's next slice as an extra first row, so the rows themselves
-    are shuffled once, by key and slice. The slices of a key alone meet in one
-    task: their number depends on the span of the order column, not on the rows.
-    ``order`` should be unique per key; ties are cut arbitrarily, as in any lag.
+    Keys with more than ``hot_rows`` rows are windowed in slices. ``slice_``
+    must not decrease along ``order``. ``order`` should be unique per key; ties
+    are cut arbitrarily, as in any lag.
+    """
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    if ordinary is not None:
+        ordinary = ordinary.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
+    if hot is not None:
+        hot = _lag_in_slices(hot, keys, order, value, out, slice_)
+    return together(ordinary, hot)
+
+
+def _lag_in_slices(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, slice_: Column
+) -> DataFrame:
+    """The last value of a slice enters the key's next slice as an extra first row.
+
+    The rows themselves are shuffled once, by key and slice. The slices of a
+    key alone meet in one task: their number depends on the span of the order
+    column, not on the rows.
     """
     rows = df.withColumns({"_slice": slice_, "_carried": F.lit(False)})
     last = rows.groupBy(*keys, "_slice").agg(F.max_by(value, F.struct(*order)).alias(value))

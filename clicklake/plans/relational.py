@@ -9,6 +9,7 @@ from clicklake.operators import aggregates, joins, outliers
 from clicklake.operators.templates import fill_templates
 from clicklake.plans import query
 from clicklake.plans.inputs import table
+from clicklake.sources.files import settled
 
 _BY_CUSTOMER = [("o_custkey", "c_custkey")]
 
@@ -129,8 +130,7 @@ def outlier_sigma_centered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outliers(spark, sf_dir, k=2.0, center=True)
 
 
-@query(
-    """
+_GROWTH_SQL = """
 WITH daily AS (
   SELECT user_id, CAST(ts AS DATE) - DATE '2024-01-06' AS datediff, count(*) AS n FROM events GROUP BY 1, 2
 ), lagged AS (
@@ -138,14 +138,26 @@ WITH daily AS (
 )
 SELECT CAST(datediff AS INTEGER) AS datediff, round(avg(coalesce((n - prev)::DOUBLE / prev, 0.0)), 6) AS avg_pct
 FROM lagged WHERE datediff >= 0 GROUP BY 1"""
-)
-def lag_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+def _growth(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     day = F.date_diff(F.to_date("ts"), F.lit("2024-01-06").cast("date"))
     daily = table(spark, sf_dir, "events").groupBy("user_id", day.alias("datediff")).agg(F.count("*").alias("n"))
-    curve = outliers.growth_curve(daily, "user_id", "datediff", "n", span=8)
+    curve = outliers.growth_curve(settled(daily), "user_id", "datediff", "n", span=8, **options)
     return curve.withColumn("avg_pct", F.round("avg_pct", 6))
 
 
+@query(_GROWTH_SQL)
+def lag_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _growth(spark, sf_dir)
+
+
+@query(_GROWTH_SQL)
+def lag_growth_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _growth(spark, sf_dir, hot_rows=0)
+
+
+
 def _disclosures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One to four key/value rows per customer; some values are empty."""
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")

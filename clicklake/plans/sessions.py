@@ -47,11 +47,20 @@ carry AS (
 )"""
 
 
-@query(f"WITH plain AS ({_PLAIN}), {_sessions_sql('s', 'plain')} SELECT * FROM s")
+_SESSIONS_SQL = f"WITH plain AS ({_PLAIN}), {_sessions_sql('s', 'plain')} SELECT * FROM s"
+
+
+@query(_SESSIONS_SQL)
 def sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.sessionize(table(spark, sf_dir, "events"), **COLUMNS)
 
 
+@query(_SESSIONS_SQL)
+def sessionize_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way of users with too many events for one task."""
+    return ops.sessionize(table(spark, sf_dir, "events"), **COLUMNS, hot_rows=0)
+
+
 @query(f"{_CARRY_SQL} SELECT * FROM carry")
 def session_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     boundary = F.lit(BOUNDARY).cast("timestamp_ntz")
@@ -72,8 +81,7 @@ def session_next_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.sessionize_next(following, read_parquet(spark, carry), **COLUMNS)
 
 
-@query(
-    """
+_GAP_SQL = """
 WITH flagged AS (
   SELECT *, CASE WHEN ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR THEN 1 ELSE 0 END AS b
   FROM events
@@ -83,19 +91,36 @@ WITH flagged AS (
 SELECT user_id, CAST(session_no AS BIGINT) AS session_no, min(ts) AS session_start,
        max(ts) + INTERVAL 12 HOUR AS session_end, count(*) AS events
 FROM numbered GROUP BY user_id, session_no"""
-)
+
+
+@query(_GAP_SQL)
 def gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.gap_sessions(table(spark, sf_dir, "events"), "user_id", "ts", GAP)
 
 
-@query(
-    f"""
+@query(_GAP_SQL)
+def gap_sessions_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.gap_sessions(table(spark, sf_dir, "events"), "user_id", "ts", GAP, hot_rows=0)
+
+
+_LABEL_SQL = f"""
 WITH plain AS (SELECT *, NULL::TIMESTAMP AS prev_min FROM events), {_sessions_sql("s", "plain")}
 SELECT event_id, session_no FROM s_numbered"""
-)
-def label_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+def _labels(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return ops.label_sessions(events, "user_id", "ts", GAP).select("event_id", "session_no")
+    return ops.label_sessions(events, "user_id", "ts", GAP, **options).select("event_id", "session_no")
+
+
+@query(_LABEL_SQL)
+def label_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labels(spark, sf_dir)
+
+
+@query(_LABEL_SQL)
+def label_sessions_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labels(spark, sf_dir, hot_rows=0)
 
 
 @query(
@@ -113,11 +138,24 @@ def window_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_group_totals(events, totals).drop("ts")
 
 
-@query("SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS lag_ts FROM events")
-def lag_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+_LAG_SQL = """
+SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS lag_ts FROM events"""
+
+
+def _lagged(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     hour = time_slice(events, "ts", timedelta(hours=1))
-    return lag_by_key(events, ["user_id"], ["ts", "event_id"], "ts", "lag_ts", hour)
+    return lag_by_key(events, ["user_id"], ["ts", "event_id"], "ts", "lag_ts", hour, **options)
+
+
+@query(_LAG_SQL)
+def lag_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lagged(spark, sf_dir)
+
+
+@query(_LAG_SQL)
+def lag_timestamp_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lagged(spark, sf_dir, hot_rows=0)
 
 
 @query(

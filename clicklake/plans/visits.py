@@ -38,8 +38,7 @@ def count_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.source_counts(visits(spark, sf_dir), "ts", "referrer", "url_params", SITE)
 
 
-@query(
-    f"""WITH {VISITS_SQL}, lagged AS (
+_BACK_SQL = f"""WITH {VISITS_SQL}, lagged AS (
   SELECT *, split_part(session_cookie, '.', 1) AS session_key,
          lag(referrer) OVER (PARTITION BY split_part(session_cookie, '.', 1) ORDER BY ts, event_id)
            AS previous_referrer
@@ -49,13 +48,25 @@ SELECT ts, event_id, session_key, referrer, url, url_params, previous_referrer,
        CASE WHEN contains(url, previous_referrer) THEN 1 ELSE 0 END AS is_back,
        CAST({_HAS_SOURCE} AS INTEGER) AS has_source_param
 FROM lagged"""
-)
-def back_navigation(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+def _back(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return ops.back_navigation(
-        visits(spark, sf_dir), "session_cookie", "ts", "event_id", "referrer", "url", "url_params", SITE
+        visits(spark, sf_dir), "session_cookie", "ts", "event_id", "referrer", "url", "url_params", SITE, **options
     )
 
 
+@query(_BACK_SQL)
+def back_navigation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _back(spark, sf_dir)
+
+
+@query(_BACK_SQL)
+def back_navigation_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _back(spark, sf_dir, hot_rows=0)
+
+
+
 @query(
     r"""
 SELECT page_id, coalesce(nullif(regexp_extract(url, '^https?://([^/]+\.com)/', 1), ''), substr(url, 1, 16)) AS referrer_

@@ -201,11 +201,12 @@ def test_outliers_need_two_days(spark):
     assert outliers.sigma_outliers(df, "day", "key", k=3.0).count() == 0
 
 
-def test_growth_curve(spark):
+@pytest.mark.parametrize("hot_rows", [0, 10**6])
+def test_growth_curve(spark, hot_rows):
     data = [(1, -1, 4), (1, 0, 6), (1, 70, 3), (2, 0, 0), (2, 70, 5), (None, 70, 1)]
     df = spark.createDataFrame(data, "c int, datediff int, n int")
     # 0: (6-4)/4 and 0 for a first row; 70: (3-6)/6, 100.0 after a zero, and 0 for a first row.
-    assert rows(outliers.growth_curve(df, "c", "datediff", "n")) == [(0, 0.25), (70, pytest.approx(99.5 / 3))]
+    assert rows(outliers.growth_curve(df, "c", "datediff", "n", hot_rows=hot_rows)) == [(0, 0.25), (70, pytest.approx(99.5 / 3))]
 
 
 def test_templates(spark):

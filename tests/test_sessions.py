@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clicklake.functions.times import time_slice
 from clicklake.operators import sessions as ops
+from clicklake.operators.skew import split_hot
 from clicklake.operators.windows import lag_by_key, with_group_totals
 
 GAP = timedelta(seconds=30)
@@ -88,10 +89,10 @@ def brute_force(rows, gap):
     return sorted(result, key=repr)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_against_brute_force_with_a_hot_user(spark, seed):
-    """A third of the rows belongs to nobody, another large share to one user; ties and lost times occur."""
-    rng, rows = random.Random(seed), []
+@pytest.mark.parametrize("hot_rows", [0, 500, 10**6])
+def test_against_brute_force_with_a_hot_user(spark, hot_rows):
+    """A third of the rows belongs to nobody, another third to one user; ties and lost times occur."""
+    rng, rows = random.Random(hot_rows), []
     start = datetime(2024, 1, 1)
     for _ in range(3000):
         user = rng.choice([None, 7, rng.randrange(60)])
@@ -99,27 +100,43 @@ def test_against_brute_force_with_a_hot_user(spark, seed):
         page = rng.choice([None, *"abcdefgh"])
         rows.append((user, None if rng.random() < 0.01 else ts, page, ts - GAP if rng.random() < 0.02 else None))
     df = spark.createDataFrame(rows, "user_id int, ts timestamp, page_key string, prev_min timestamp")
-    got = ops.sessionize(df, prev_min="prev_min", **NAMES).collect()
+    got = ops.sessionize(df, prev_min="prev_min", hot_rows=hot_rows, **NAMES).collect()
     assert sorted((tuple(r) for r in got), key=repr) == brute_force(rows, GAP)
 
 
-def test_labels_and_gap_sessions_cover_all_events(spark):
+@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
+def test_labels_and_gap_sessions_cover_all_events(spark, hot_rows):
     rng = random.Random(5)
-    rows = [(rng.choice([None, 1, 2]), at("00:00") + timedelta(seconds=rng.randrange(4000)), "p") for _ in range(500)]
+    rows = [(rng.choice([None, 1, rng.randrange(9)]), at("00:00") + timedelta(seconds=rng.randrange(4000)), "p") for _ in range(500)]
     df = spark.createDataFrame(rows, SCHEMA)
-    labelled = ops.label_sessions(df, "user_id", "ts", GAP)
+    labelled = ops.label_sessions(df, "user_id", "ts", GAP, hot_rows)
     by_label = labelled.groupBy("user_id", "session_no").agg(
         F.min("ts").alias("a"), (F.max("ts") + F.lit(GAP)).alias("b"), F.count("*").alias("n")
     )
-    sessions = ops.gap_sessions(df, "user_id", "ts", GAP)
+    sessions = ops.gap_sessions(df, "user_id", "ts", GAP, hot_rows)
     assert sorted(map(tuple, sessions.collect()), key=repr) == sorted(map(tuple, by_label.collect()), key=repr)
     assert sessions.agg(F.sum("events")).first()[0] == len(rows)
 
 
-def test_no_window_sees_raw_events(spark, no_broadcast):
-    """Windows run over one row per user and cell; everything is combined before its first shuffle."""
+def test_ordinary_users_take_one_shuffle(spark, no_broadcast):
     df = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     text = plan(ops.sessionize(df, "user_id", "ts", "event_type", GAP))
+    assert text.count("Exchange") == 1 and "Join" not in text
+
+
+def test_only_hot_users_are_split(spark):
+    rows = [(u, at("00:00"), "p") for u in [None] * 50 + [1] * 20 + list(range(2, 30))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    ordinary, hot = split_hot(df, ["user_id"], 20)
+    assert ordinary.count() == 48 and hot.count() == 50 and hot.where("user_id is not null").isEmpty()
+    everything, nothing = split_hot(df, ["user_id"], 50)
+    assert nothing is None and everything.count() == len(rows)
+
+
+def test_no_window_sees_events_of_hot_users(spark, no_broadcast):
+    """Windows run over one row per user and cell; everything is combined before its first shuffle."""
+    df = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    text = plan(ops.sessionize(df, "user_id", "ts", "event_type", GAP, hot_rows=0))
     lines = [line.strip(" :+-*()0123456789") for line in text.splitlines()]
     for window in [i for i, line in enumerate(lines) if line.startswith("Window")]:
         below = [line for line in lines[window:] if line.startswith(("HashAggregate", "FileScan"))]
@@ -130,7 +147,8 @@ def test_no_window_sees_raw_events(spark, no_broadcast):
         assert any("partial_" in line for line in lines[nearest:scan])
 
 
-def test_lag_by_key_equals_a_plain_lag(spark):
+@pytest.mark.parametrize("hot_rows", [0, 500, 10**6])
+def test_lag_by_key_equals_a_plain_lag(spark, hot_rows):
     rng = random.Random(1)
     rows = [
         (rng.choice([None, "hot", "hot", f"k{rng.randrange(50)}"]), at("00:00") + timedelta(seconds=rng.randrange(9000)),
@@ -138,15 +156,16 @@ def test_lag_by_key_equals_a_plain_lag(spark):
         for i in range(3000)
     ]
     df = spark.createDataFrame(rows, "k string, ts timestamp, id int, v string")
-    got = lag_by_key(df, ["k"], ["ts", "id"], "v", "before", time_slice(df, "ts", timedelta(minutes=3)))
+    got = lag_by_key(df, ["k"], ["ts", "id"], "v", "before", time_slice(df, "ts", timedelta(minutes=3)), hot_rows)
     plain = df.selectExpr("*", "lag(v) over (partition by k order by ts, id) as before")
     assert got.columns == plain.columns
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
 
 
-def test_lag_shuffles_rows_by_slice(spark, no_broadcast):
+def test_lag_shuffles_hot_rows_by_slice(spark, no_broadcast):
     df = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
-    text = plan(lag_by_key(df, ["user_id"], ["ts"], "value", "before", time_slice(df, "ts", timedelta(hours=1))))
+    hour = time_slice(df, "ts", timedelta(hours=1))
+    text = plan(lag_by_key(df, ["user_id"], ["ts"], "value", "before", hour, hot_rows=0))
     assert "hashpartitioning(user_id#" in text and "_slice" in text
     assert text.count("Window [lag") == 1 and "Join" not in text
 
