@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.functions.numbers import floor_mod
 from clicklake.operators import aggregates, joins, outliers
+from clicklake.operators.projection import values_table
 from clicklake.operators.templates import fill_templates
 from clicklake.plans import query
 from clicklake.plans.inputs import table
@@ -103,6 +104,26 @@ def join_using(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.join_using(orders, orders.groupBy(*keys).agg(F.count("*").alias("n")), keys)
 
 
+_TITLES = [("click", "Clicks And What's Next"), ("view", "A View Is A Discount"), ("purchase", "May Soon End")]
+
+
+@query(
+    """
+WITH titles(event_type, title) AS (
+  VALUES ('click', 'Clicks And What''s Next'), ('view', 'A View Is A Discount'), ('purchase', 'May Soon End')
+)
+SELECT strftime(ts, '%Y-%m-%d') AS date_, title, count(*) AS page_views
+FROM events JOIN titles USING (event_type) GROUP BY 1, 2"""
+)
+def join_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the titles of a literal dimension table."""
+    titles = values_table(spark, _TITLES, "event_type string, title string")
+    events = table(spark, sf_dir, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("date_"))
+    return joins.join_using(events, titles, ["event_type"]).groupBy("date_", "title").agg(
+        F.count("*").alias("page_views")
+    )
+
+
 _OUTLIER_SQL = """
 WITH views AS (
   SELECT event_type, strftime(ts, '%Y-%m-%d') AS date_, count(*) AS page_views FROM events GROUP BY 1, 2
