@@ -21,11 +21,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from clicklake.plans import load  # noqa: E402
 
 HEADLINES = [
-    "sessionize", "session_next_window", "gap_sessions", "window_totals", "lag_timestamp", "back_navigation",
-    "count_by_category", "page_category", "geo_range_join", "geo_range_join_large", "geo_mobility", "geo_breakdown",
-    "client_time", "ua_enrich", "distinct_ua", "registration_report", "profile_column", "profile_histogram",
-    "profile_weekday", "distinct_per_column", "outlier_sigma", "lag_growth", "template_fill", "join_left",
-    "join_full", "join_semi", "pivot_mod", "sorted_export",
+    "sessionize", "sessionize_hot", "session_next_window", "gap_sessions", "label_sessions", "window_totals",
+    "lag_timestamp", "lag_timestamp_hot", "back_navigation", "count_by_category", "page_category", "geo_range_join",
+    "geo_range_join_large", "geo_mobility", "geo_breakdown", "client_time", "ua_enrich", "distinct_ua",
+    "registration_report", "profile_column", "profile_histogram", "profile_weekday", "distinct_per_column",
+    "outlier_sigma", "lag_growth", "template_fill", "join_left", "join_full", "join_semi", "pivot_mod",
+    "sorted_export", "stream_sessionize",
 ]
 
 
