@@ -49,7 +49,7 @@ def is_weekday(d: Column) -> Column:
     return F.dayofweek(d).between(2, 6).cast("int")
 
 
-def local_time(ts: Column, zone: Column, stored_zone: str = "UTC") -> Column:
+def local_time(ts: Column, zone: Column, stored_zone: Column) -> Column:
     """Wall clock in ``zone`` of a time stored in ``stored_zone``; as stored when the zone is unknown."""
     stored = ts.cast("timestamp_ntz")
-    return F.when(zone.isNotNull(), F.convert_timezone(F.lit(stored_zone), zone, stored)).otherwise(stored)
+    return F.when(zone.isNotNull(), F.convert_timezone(stored_zone, zone, stored)).otherwise(stored)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from clicklake.functions.numbers import ip_to_long
 from clicklake.functions.text import json_field
@@ -75,12 +75,18 @@ def geo_json(df: DataFrame) -> DataFrame:
     return df.withColumn("geo_json", F.coalesce(F.to_json("geo"), F.lit(""))).drop("geo")
 
 
-def client_time(df: DataFrame, ts: str, ip: str, ranges: DataFrame, stored_zone: str = "UTC", **options) -> DataFrame:
-    """Rows with the visitor's zone (or the default) and wall clock (or the stored time)."""
+def client_time(
+    df: DataFrame, ts: str, ip: str, ranges: DataFrame, stored_zone: str = "UTC", **options
+) -> DataFrame:
+    """Rows with the visitor's zone (or the default) and wall clock (or the stored time).
+
+    ``stored_zone`` is the zone of a zone-free ``ts``; a ``timestamp`` is an instant and needs none.
+    """
+    is_instant = isinstance(df.schema[ts].dataType, T.TimestampType)
     zone = F.col("geo.timezone")
     return (
         range_lookup(df, ip, ranges, **options)
-        .withColumn("client_time", local_time(F.col(ts), zone, stored_zone))
+        .withColumn("client_time", local_time(F.col(ts), zone, F.current_timezone() if is_instant else F.lit(stored_zone)))
         .withColumn("timezone", F.coalesce(zone, F.lit(DEFAULT_ZONE)))
         .drop("geo")
     )

@@ -16,24 +16,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 Pairs = Sequence[tuple[str, str]]
 
 
-def _condition(left: DataFrame, right: DataFrame, on: Pairs) -> list[Column]:
-    return [left[a] == right[b] for a, b in on]
+def _matches(on: Pairs) -> list[Column]:
+    # By name, so that both sides may come from the same table; names must differ between the sides.
+    return [F.col(a) == F.col(b) for a, b in on]
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: Pairs) -> DataFrame:
-    return left.join(right, _condition(left, right, on), "inner")
+    return left.join(right, _matches(on), "inner")
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: Pairs) -> DataFrame:
     """Left rows with a match. Only the distinct keys of the right side travel."""
     keys = right.select([b for _, b in on]).distinct()
-    return left.join(keys, _condition(left, keys, on), "left_semi")
+    return left.join(keys, _matches(on), "left_semi")
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: Pairs) -> DataFrame:
     """Left rows without a match, null keys included. Only the distinct keys of the right side travel."""
     keys = right.select([b for _, b in on]).distinct()
-    return left.join(keys, _condition(left, keys, on), "left_anti")
+    return left.join(keys, _matches(on), "left_anti")
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Pairs, hot_right: bool = False) -> DataFrame:
@@ -43,7 +44,7 @@ def left_join(left: DataFrame, right: DataFrame, on: Pairs, hot_right: bool = Fa
     ``hot_right`` runs the matches as an inner join and adds the rest.
     """
     if not hot_right:
-        return left.join(right, _condition(left, right, on), "left")
+        return left.join(right, _matches(on), "left")
     rest = anti_join(left, right, on)
     return inner_join(left, right, on).unionByName(rest, allowMissingColumns=True)
 

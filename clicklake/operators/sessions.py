@@ -7,7 +7,7 @@ lasts ``gap`` beyond its last event. A session ends with its last page.
 Ordinary users are windowed: one shuffle by user serves the window and all
 aggregates behind it. Users with more events than a task should sort take
 another way, in which no step sorts or windows events. The time line is cut into
-cells one gap wide. Two events in the same cell are less than a gap apart, so a
+cells no wider than a gap. Two events in the same cell are less than a gap apart, so a
 cell never spans two sessions, and plain aggregation can shrink the events to
 one fragment per user, cell and page before the first shuffle. Session borders
 then follow from one row per user and cell: a user with a third of all events
@@ -27,6 +27,11 @@ from clicklake.operators.skew import HOT_ROWS, split_hot, together
 CELL = "_cell"
 
 
+def cell_width(gap: timedelta) -> timedelta:
+    """Width of the cells: the gap, or half of it where a day may be shorter than 24 hours."""
+    return gap if gap < timedelta(days=1) else gap / 2
+
+
 def _number_events(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
     # Events at the same time share the number, as the default window frame has it.
     by_user = Window.partitionBy(user).orderBy(ts)
@@ -57,14 +62,14 @@ def _close_sessions(pages: DataFrame, user: str, gap: timedelta) -> DataFrame:
 def session_fragments(
     df: DataFrame, user: str, ts: str, page: str, gap: timedelta, prev_min: str | None = None
 ) -> DataFrame:
-    """Events combined per user, gap-wide cell and page."""
-    return _page_views(df, [user, time_slice(df, ts, gap).alias(CELL), page], ts, page, prev_min)
+    """Events combined per user, cell and page."""
+    return _page_views(df, [user, time_slice(df, ts, cell_width(gap)).alias(CELL), page], ts, page, prev_min)
 
 
 def event_spans(df: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
     """Events as spans of no length, for ``number_cells``."""
     return df.select(
-        user, time_slice(df, ts, gap).alias(CELL), F.col(ts).alias("first_ts"), F.col(ts).alias("last_ts")
+        user, time_slice(df, ts, cell_width(gap)).alias(CELL), F.col(ts).alias("first_ts"), F.col(ts).alias("last_ts")
     )
 
 
@@ -131,7 +136,7 @@ def gap_sessions(df: DataFrame, user: str, ts: str, gap: timedelta, hot_rows: in
         numbered = _number_events(ordinary, user, ts, gap)
         ordinary = merged(_page_views(numbered, [user, "session_no"], ts, None, None))
     if hot is not None:
-        cells = _page_views(hot, [user, time_slice(hot, ts, gap).alias(CELL)], ts, None, None)
+        cells = _page_views(hot, [user, time_slice(hot, ts, cell_width(gap)).alias(CELL)], ts, None, None)
         hot = merged(null_safe_join(cells, number_cells(event_spans(hot, user, ts, gap), user, gap), [user, CELL]))
     return together(ordinary, hot)
 
@@ -143,7 +148,7 @@ def label_sessions(df: DataFrame, user: str, ts: str, gap: timedelta, hot_rows:
         ordinary = _number_events(ordinary, user, ts, gap)
     if hot is not None:
         numbers = number_cells(event_spans(hot, user, ts, gap), user, gap)
-        hot = null_safe_join(hot.withColumn(CELL, time_slice(hot, ts, gap)), numbers, [user, CELL]).drop(CELL)
+        hot = null_safe_join(hot.withColumn(CELL, time_slice(hot, ts, cell_width(gap))), numbers, [user, CELL]).drop(CELL)
     return together(ordinary, hot)
 
 
@@ -167,5 +172,6 @@ def sessionize_next(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Sessions of a further batch of events that continues the carried ones."""
+    carry = carry.withColumn(page, F.col(page).cast(events.schema[page].dataType))
     both = events.select(user, ts, page).unionByName(carry, allowMissingColumns=True)
     return sessionize(both, user, ts, page, gap, prev_min, hot_rows)

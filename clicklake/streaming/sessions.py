@@ -1,7 +1,7 @@
 """Sessions over a stream.
 
 The stream only keeps what can be kept in bounded state: one fragment per user,
-gap-wide cell and page, combined before the shuffle, so that a user with a third
+cell and page, combined before the shuffle, so that a user with a third
 of the stream is one small row per cell and page and batch. A finished fragment
 is appended to a table. The batch operator turns that table into sessions, the
 same way it does for events, so nothing ever collects a session's events.
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clicklake.functions.times import MICROSECOND
-from clicklake.operators.sessions import CELL, sessions_from_fragments
+from clicklake.operators.sessions import CELL, cell_width, sessions_from_fragments
 
 
 def stream_fragments(stream: DataFrame, user: str, ts: str, page: str, gap: timedelta, delay: timedelta) -> DataFrame:
@@ -23,7 +23,7 @@ def stream_fragments(stream: DataFrame, user: str, ts: str, page: str, gap: time
 
     ``ts`` must be a ``timestamp``. Events more than ``delay`` late may be dropped.
     """
-    cell = F.window(ts, f"{gap // MICROSECOND} microseconds")
+    cell = F.window(ts, f"{cell_width(gap) // MICROSECOND} microseconds")
     return (
         stream.withWatermark(ts, f"{delay // MICROSECOND} microseconds")
         .groupBy(user, cell.alias("_window"), page)

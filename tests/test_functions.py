@@ -148,7 +148,7 @@ def test_times(spark):
     assert one(spark, times.parse_second(F.col("a")), a=(s, "2012-03-04 03:04:05")) == datetime(2012, 3, 4, 3, 4, 5)
     assert one(spark, times.parse_second(F.col("a")), a=(s, "x")) is None
     summer = datetime(2024, 7, 1, 12)
-    local = times.local_time(F.col("t"), F.col("z"))
+    local = times.local_time(F.col("t"), F.col("z"), F.lit("UTC"))
     assert one(spark, local, t=("timestamp_ntz", summer), z=(s, "Europe/Paris")) == datetime(2024, 7, 1, 14)
     assert one(spark, local, t=("timestamp_ntz", summer), z=(s, None)) == summer
     ts = datetime(2024, 1, 6, 23, 59)

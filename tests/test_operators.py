@@ -152,6 +152,16 @@ def test_client_time_falls_back(spark):
     assert got == {"0.0.0.0": ("Asia/Tokyo", noon + timedelta(hours=9)), "0.0.0.1": default, "9.9.9.9": default, None: default}
 
 
+def test_client_time_of_instants_in_any_session_zone(spark):
+    ranges = spark.createDataFrame([(0, 0, ("A", None, "Asia/Tokyo"))], GEO)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    df = spark.sql("select timestamp_seconds(0) as ts, '0.0.0.0' as ip")
+    local = geo.client_time(df, "ts", "ip", ranges).select(F.col("client_time").cast("string")).first()[0]
+    spark.conf.set("spark.sql.session.timeZone", before)
+    assert local == "1970-01-01 09:00:00"
+
+
 # -- aggregates and profiles -----------------------------------------------------
 
 

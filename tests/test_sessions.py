@@ -67,6 +67,27 @@ def test_exactly_one_gap_apart_is_one_session(spark):
     ])
 
 
+def test_gap_of_a_day_where_clocks_change(spark):
+    """The day before the clocks go forward has 23 hours; both ways agree on what a day later means."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    df = spark.sql("""
+        select 1 as user_id, 'p' as page_key, timestamp_seconds(1711753200 + col * 1380) as ts
+        from (select explode(sequence(0, 400, 7)) as col) union all
+        select 2, 'q', timestamp_seconds(1711753200 + 3600 * col) from (select explode(array(0, 23, 46, 70)) as col)""")
+    names = {**NAMES, "gap": timedelta(days=1)}
+    ways = [sorted(map(tuple, ops.sessionize(df, hot_rows=n, **names).collect())) for n in (0, 10**6)]
+    spark.conf.set("spark.sql.session.timeZone", before)
+    assert ways[0] == ways[1]
+
+
+def test_pages_may_be_numbers(spark):
+    df = spark.createDataFrame([(1, at("00:00"), 5), (1, at("00:10"), 5)], "user_id int, ts timestamp, page_key int")
+    carry = ops.open_sessions(ops.sessionize(df, **NAMES), boundary=F.lit(at("00:41")), **NAMES)
+    later = spark.createDataFrame([(1, at("01:05"), 6)], "user_id int, ts timestamp, page_key int")
+    assert found(ops.sessionize_next(later, carry, **NAMES)) == expected([(1, 0, "00:00", "01:10")])
+
+
 def brute_force(rows, gap):
     """The rules, read row by row: rows are (user, ts, page, prev_min)."""
     by_user = defaultdict(list)
