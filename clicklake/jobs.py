@@ -6,7 +6,7 @@ Each job takes the paths it reads and writes. Results that are small by nature
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -166,12 +166,10 @@ def pivot_by_remainder(df: DataFrame, key: str, divisor: int) -> DataFrame:
 # -- templates, agents, registrations, exports --------------------------------------
 
 
-def disclosures(spark: SparkSession, key_values: str, out: str, out_csv: str) -> None:
+def disclosures(spark: SparkSession, key_values: str, post: str, template_id: str, out: str, out_csv: str) -> None:
     """Filled disclosure texts per post, as parquet and as CSV."""
-    filled = fill_templates(
-        files.read_parquet(spark, key_values), ["instablog_post_id", "disclosure_template_id"],
-        ["instablog_post_id"], "template", "rownum", "key", "value",
-    )
+    read = files.read_parquet(spark, key_values)
+    filled = fill_templates(read, [post, template_id], [post], "template", "rownum", "key", "value")
     files.write_parquet(filled.withColumnRenamed("filled", "disclosure"), out)
     files.write_csv(files.read_parquet(spark, out), out_csv, header=False)
 
@@ -224,8 +222,3 @@ def identities(spark: SparkSession, logs: Mapping[int, str], out: str, latest: b
         else:
             pairs = distinct_values(read, "user_id", "email")
         files.write_csv(pairs, f"{out}/{year}", header=False)
-
-
-def partition_leafs(spark: SparkSession, table: str, leafs: Sequence[str]) -> DataFrame:
-    """Some partitions of a table's folder, read by path."""
-    return files.read_partition_leafs(spark, table, leafs)

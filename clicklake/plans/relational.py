@@ -104,13 +104,13 @@ def join_using(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.join_using(orders, orders.groupBy(*keys).agg(F.count("*").alias("n")), keys)
 
 
-_TITLES = [("click", "Clicks And What's Next"), ("view", "A View Is A Discount"), ("purchase", "May Soon End")]
+_TITLES = [("click", "Clicking around"), ("view", "A closer look"), ("purchase", "Off to the till")]
 
 
 @query(
     """
 WITH titles(event_type, title) AS (
-  VALUES ('click', 'Clicks And What''s Next'), ('view', 'A View Is A Discount'), ('purchase', 'May Soon End')
+  VALUES ('click', 'Clicking around'), ('view', 'A closer look'), ('purchase', 'Off to the till')
 )
 SELECT strftime(ts, '%Y-%m-%d') AS date_, title, count(*) AS page_views
 FROM events JOIN titles USING (event_type) GROUP BY 1, 2"""

@@ -9,10 +9,12 @@ import pytest
 
 from clicklake import jobs
 from clicklake.functions.user_agent import AppNames
+from clicklake.sources import schemas
+from clicklake.sources.files import read_partition_leafs, write_csv
 
 APP = AppNames(product="NewsReader", wrapper="com.newsreader.webwrapper", in_app="nr-.*-wrapper")
 CHROME = "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/80.0.1 Safari/537.36"
-WEBVIEW = "Mozilla/5.0 (Linux; Android 9; moto x4; wv) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/80.0.2 Mobile Safari/537.36"
+WEBVIEW = "Mozilla/5.0 (Linux; Android 9; moto g71; wv) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/80.0.2 Mobile Safari/537.36"
 NATIVE = "(x; y; NewsReader/5 ios/12.1 a b v/5.0 app/NewsReader"
 SITE = "s.example"
 
@@ -77,7 +79,7 @@ def test_hourly_table(spark, posts, at):
     hours = {("2020-12-27", h): f"{posts}/2020/12/27/{h}" for h in ("08", "09")}
     jobs.hourly_table(spark, hours, "hourly_posts", at("hourly"))
     assert spark.sql("SELECT count(1) FROM hourly_posts WHERE hour = '08'").first()[0] == 2
-    leafs = jobs.partition_leafs(spark, at("hourly"), ["date_=2020-12-27/hour=08", "date_=2020-12-27/hour=09"])
+    leafs = read_partition_leafs(spark, at("hourly"), ["date_=2020-12-27/hour=08", "date_=2020-12-27/hour=09"])
     assert leafs.count() == 4 and {"date_", "hour"} < set(leafs.columns)
 
 
@@ -138,12 +140,8 @@ def test_view_outliers(spark, at):
     data = [(datetime(2024, 1, d, 10, 5), 7, CHROME, None, "https://long.example/path", 1) for d in (1, 2) for _ in range(9 if d == 1 else 8)]
     data.append((datetime(2024, 1, 1), 7, CHROME, "d.example", "u", 99))
     schema = "ts timestamp, user_id int, user_agent string, referrer_domain string, url string, content_id int"
-    from clicklake.sources import schemas
-
     wide = spark.createDataFrame(data, schema).unionByName(spark.createDataFrame([], schemas.FRAUD_PAGE_VIEWS), allowMissingColumns=True)
     columns = spark.createDataFrame([], schemas.FRAUD_PAGE_VIEWS).columns
-    from clicklake.sources.files import write_csv
-
     write_csv(wide.select(columns), at("views"))
     jobs.view_outliers(spark, at("views"), {1: "One"}, APP, at("facts"), at("outliers"))
     facts = spark.read.parquet(at("facts")).select("date_", "hour_", "minute_", "referrer_", "os_name", "title").distinct()
@@ -156,9 +154,9 @@ def test_growth_templates_pivot(spark, at):
     jobs.growth_by_age(spark, at("c"), at("growth"))
     assert csv_rows(spark, at("growth")) == [("0", "0.0"), ("1", "0.5")]
     pairs = [(1, 2, 1, "{a} {b}", "{a}", "x"), (1, 2, 2, "{a} {b}", "{b}", "y"), (3, 2, 1, "{a}", "{a}", None)]
-    schema = "instablog_post_id int, disclosure_template_id int, rownum int, template string, key string, value string"
+    schema = "post_id int, template_id int, rownum int, template string, key string, value string"
     spark.createDataFrame(pairs, schema).write.parquet(at("kv"))
-    jobs.disclosures(spark, at("kv"), at("d"), at("d_csv"))
+    jobs.disclosures(spark, at("kv"), "post_id", "template_id", at("d"), at("d_csv"))
     assert rows(spark.read.parquet(at("d"))) == [(1, "x y"), (3, "{a}")]
     assert csv_rows(spark, at("d_csv"), header=False) == [("1", "x y"), ("3", "{a}")]
     pivoted = jobs.pivot_by_remainder(spark.range(1, 8).toDF("c1"), "c1", 4)
@@ -166,8 +164,6 @@ def test_growth_templates_pivot(spark, at):
 
 
 def test_registrations(spark, at):
-    from clicklake.sources import schemas
-    from clicklake.sources.files import write_csv
 
     data = [(2, "b@x", date(2024, 1, 2), 5, CHROME), (1, "a@x", date(2024, 1, 2), 5, NATIVE), (3, "c@x", date(2024, 1, 1), 9, WEBVIEW),
             (4, "d@x", date(2024, 1, 1), 9, None), (5, "e@x", date(2024, 1, 1), 23, CHROME)]
@@ -197,8 +193,6 @@ def test_log_jobs(spark, at):
     assert csv_rows(spark, at("distinct/*"), header=False) == [("7", "e"), ("8", "g")]
 
     timings = [(datetime(2024, 1, 1, 0, 0, s), u, f"p{s}") for s, u in ((9, 2), (3, 2), (5, 1), (1, None))]
-    from clicklake.sources import schemas
-    from clicklake.sources.files import write_csv
 
     empty = spark.createDataFrame([], schemas.PAGE_TIMING)
     wide = spark.createDataFrame(timings, "ts timestamp, user_id int, page_key string").unionByName(empty, allowMissingColumns=True)
