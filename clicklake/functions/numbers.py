@@ -17,9 +17,14 @@ def floor_mod(x: Column, y: Column) -> Column:
     return F.when((rest != 0) & ((rest < 0) != (y < 0)), rest + y).otherwise(rest)
 
 
+IPV4 = r"\A(?:(?:25[0-5]|2[0-4]\d|[01]?\d{1,2})(?:\.(?!\z)|\z)){4}\z"
+
+
 def ip_to_long(ip: Column) -> Column:
-    """Dotted IPv4 address as a number; null when malformed."""
-    octets = F.split(F.when(ip.rlike(r"\A\d{1,3}(\.\d{1,3}){3}\z"), ip), r"\.")
-    parts = [F.get(octets, i).cast("bigint") for i in range(4)]
-    number = ((parts[0] * 256 + parts[1]) * 256 + parts[2]) * 256 + parts[3]
-    return F.when(F.greatest(*parts) <= 255, number)
+    """Dotted IPv4 address as a number; null when malformed.
+
+    The address occurs twice in the expression and its pieces once, which keeps
+    it cheap where Catalyst copies it into a filter.
+    """
+    number = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("bigint"), lambda n, octet: n * 256 + octet.cast("bigint"))
+    return F.when(ip.rlike(IPV4), number)

@@ -54,7 +54,8 @@ def range_lookup(df: DataFrame, ip: str, ranges: DataFrame, max_broadcast_rows:
         )
         return rows.join(F.broadcast(pieces), within, "left").drop("_ip", "bucket", "start", "end")
 
-    addresses = rows.select("_ip").where("_ip is not null").distinct()
+    # No filter on the parsed address: Catalyst would parse it once more to push the filter below.
+    addresses = rows.select("_ip").distinct()
     probes = addresses.select(F.floor(F.col("_ip") / BUCKET).alias("bucket"), F.col("_ip"), F.col("_ip").alias("pos"))
     starts = pieces.select(
         "bucket", F.col("start").alias("pos"), F.struct(F.col("end").alias("until"), "geo").alias("_range")
