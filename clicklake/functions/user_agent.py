@@ -1,8 +1,9 @@
 """User-agent attributes by rule.
 
-A few regular expressions per row cover the main browser families. They run inside the scan's own stage: nothing is shuffled, so an agent
-string that a third of all rows share costs no more than any other. The rules
-are not a full user-agent grammar; what they do not know stays null.
+A few regular expressions per row cover the main browser families. They run
+inside the scan's own stage: nothing is shuffled, so an agent string that a
+third of all rows share costs no more than any other. The rules are not a full
+user-agent grammar; what they do not know stays null.
 """
 
 from __future__ import annotations
@@ -53,13 +54,20 @@ AGENTS = {
 }
 ENGINES = ["Chrome", "CriOS"]  # also part of the strings of other agents
 OTHERS = [a for a in AGENTS if a not in [*ENGINES, "Version"]]
-SYSTEM = rf"(?:{"|".join(SYSTEMS)})(?:(?<=CrOS) \S+)?[ /-]?[\d._]*"
+SYSTEM = rf"(?:{'|'.join(SYSTEMS)})(?:(?<=CrOS) \S+)?[ /-]?[\d._]*"
 OTHER_AGENT = rf"\b({'|'.join(OTHERS)})/[\d.]+"
 ENGINE = rf"\b({'|'.join(ENGINES)})/[\d.]+"
 SAFARI = r"\bVersion/[\d.]+"
 APPLE = r"\((iPhone|iPad|iPod|Macintosh)"
 MODEL = r"Android [\d.]+; ([^;)]+?)(?: Build/[^;)]*)?[;)]"
-MAKERS = {"SAMSUNG": "Samsung", "SM-": "Samsung", "Pixel": "Google", "Nexus": "Google", "moto": "Motorola", "HTC": "HTC"}
+MAKERS = {
+    "SAMSUNG": "Samsung",
+    "SM-": "Samsung",
+    "Pixel": "Google",
+    "Nexus": "Google",
+    "moto": "Motorola",
+    "HTC": "HTC",
+}
 MAKER = rf"\A({'|'.join(MAKERS)})"
 ROBOTS, ROBOT = ["bot", "crawler", "spider"], r"bot\b|crawler|spider"
 

@@ -99,15 +99,15 @@ def user_places(spark: SparkSession, addresses: str, ranges: str, out: str, out_
     country, territory = F.col("geo.countryName"), F.col("geo.region")
     located = located.withColumns({"country_geo": country, "territory_geo": territory})
     files.write_parquet(geo.geo_json(located), out)
-    per_day = geo.geo_mobility(files.read_parquet(spark, out), "date_", "user_id")
+    per_day = geo.geo_mobility(files.read_parquet(spark, out), "date_", "user_id", geo="geo_json")
     files.write_parquet(per_day.withColumnRenamed("places", "geo_id"), out_per_day)
 
 
 def user_breakdown(spark: SparkSession, views: str, ranges: str, user_id: int, out: str) -> DataFrame:
     """One user's page views by place, as a report; returns how many devices, addresses and pages there were."""
     own = files.read_parquet(spark, views).where(F.col("user_id") == user_id)
-    located = geo.geo_json(geo.range_lookup(own, "machine_ip", files.read_parquet(spark, ranges)))
-    files.write_csv(geo.geo_breakdown(located, PLACE_FIELDS), out, single_file=True)
+    located = geo.range_lookup(own, "machine_ip", files.read_parquet(spark, ranges))
+    files.write_csv(geo.geo_breakdown(geo.geo_json(located), PLACE_FIELDS, geo="geo_json"), out, single_file=True)
     return distinct_per_column(own, VISITOR_FIELDS)
 
 
@@ -181,7 +181,8 @@ def registrations(spark: SparkSession, source: str, app: AppNames, out: str) ->
 
 def app_agents(spark: SparkSession, agents: str, app: AppNames, out: str) -> None:
     """Systems and versions of the site's own apps, from a CSV file of agent strings."""
-    read = files.read_csv(spark, agents, schemas.USER_AGENTS).select(strip_quotes(F.col("user_agent")).alias("user_agent"))
+    read = files.read_csv(spark, agents, schemas.USER_AGENTS)
+    read = read.withColumn("user_agent", strip_quotes(F.col("user_agent")))
     own = visits.enrich_agents(read.where(F.col("user_agent").contains(app.product)), "user_agent", app)
     files.write_csv(own.select(AGENT_FIELDS), out, single_file=True)
 

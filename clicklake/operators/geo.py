@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from clicklake.functions.numbers import ip_to_long
 from clicklake.functions.text import json_field
@@ -84,26 +84,32 @@ def client_time(
     ``stored_zone`` is the zone of a zone-free ``ts``; a ``timestamp`` is an instant and needs none.
     """
     is_instant = isinstance(df.schema[ts].dataType, T.TimestampType)
+    stored = F.current_timezone() if is_instant else F.lit(stored_zone)
     zone = F.col("geo.timezone")
     return (
         range_lookup(df, ip, ranges, **options)
-        .withColumn("client_time", local_time(F.col(ts), zone, F.current_timezone() if is_instant else F.lit(stored_zone)))
+        .withColumn("client_time", local_time(F.col(ts), zone, stored))
         .withColumn("timezone", F.coalesce(zone, F.lit(DEFAULT_ZONE)))
         .drop("geo")
     )
 
 
-def geo_mobility(df: DataFrame, day: str, user: str, geo: str = "geo_json") -> DataFrame:
-    """Distinct places (country and region, from JSON) per user and day; an unknown place counts as one."""
-    place = F.struct(
-        json_field(F.col(geo), "$.countryName").alias("country"), json_field(F.col(geo), "$.region").alias("region")
-    )
+def _geo_field(df: DataFrame, geo: str, field: str) -> Column:
+    """A field of ``geo``, which is the struct of a lookup or its JSON text."""
+    if isinstance(df.schema[geo].dataType, T.StructType):
+        return F.col(f"{geo}.{field}")
+    return json_field(F.col(geo), f"$.{field}")
+
+
+def geo_mobility(df: DataFrame, day: str, user: str, geo: str = "geo") -> DataFrame:
+    """Distinct places (country and region) per user and day; an unknown place counts as one."""
+    place = F.struct(*[_geo_field(df, geo, field).alias(field) for field in ("countryName", "region")])
     return df.select(day, user, place.alias("place")).groupBy(day, user).agg(
         F.count_distinct("place").alias("places")
     )
 
 
-def geo_breakdown(df: DataFrame, fields: Sequence[str], by: Sequence[str] = (), geo: str = "geo_json") -> DataFrame:
+def geo_breakdown(df: DataFrame, fields: Sequence[str], by: Sequence[str] = (), geo: str = "geo") -> DataFrame:
     """Rows per combination of geo fields (and ``by``), most frequent first."""
-    extracted = {f: json_field(F.col(geo), f"$.{f}") for f in fields}
+    extracted = {field: _geo_field(df, geo, field) for field in fields}
     return count_by(df.withColumns(extracted), *by, *fields)

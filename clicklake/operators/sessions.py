@@ -7,11 +7,11 @@ lasts ``gap`` beyond its last event. A session ends with its last page.
 Ordinary users are windowed: one shuffle by user serves the window and all
 aggregates behind it. Users with more events than a task should sort take
 another way, in which no step sorts or windows events. The time line is cut into
-cells no wider than a gap. Two events in the same cell are less than a gap apart, so a
-cell never spans two sessions, and plain aggregation can shrink the events to
-one fragment per user, cell and page before the first shuffle. Session borders
-then follow from one row per user and cell: a user with a third of all events
-has no more of those than the time span has cells.
+cells no wider than a gap. Two events in the same cell are less than a gap
+apart, so a cell never spans two sessions, and plain aggregation can shrink the
+events to one fragment per user, cell and page before the first shuffle. Session
+borders then follow from one row per user and cell: a user with a third of all
+events has no more of those than the time span has cells.
 """
 
 from __future__ import annotations
@@ -121,23 +121,30 @@ def sessionize(
     return together(ordinary, hot)
 
 
-def gap_sessions(df: DataFrame, user: str, ts: str, gap: timedelta, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Sessions by the gap rule alone: they end one gap after their last event."""
+def _merge_spans(spans: DataFrame, user: str, gap: timedelta, events: str) -> DataFrame:
+    return spans.groupBy(user, "session_no").agg(
+        F.min("first_ts").alias("session_start"),
+        (F.max("last_ts") + F.lit(gap)).alias("session_end"),
+        F.sum(events).alias("events"),
+    )
+
 
-    def merged(events: DataFrame) -> DataFrame:
-        return events.groupBy(user, "session_no").agg(
-            F.min("first_ts").alias("session_start"),
-            (F.max("last_ts") + F.lit(gap)).alias("session_end"),
-            F.sum("views").alias("events"),
-        )
+def gap_sessions_from_fragments(fragments: DataFrame, user: str, gap: timedelta) -> DataFrame:
+    """Sessions by the gap rule alone, of fragments with their number of ``events``."""
+    numbered = null_safe_join(fragments, number_cells(fragments, user, gap), [user, CELL])
+    return _merge_spans(numbered, user, gap, "events")
 
+
+def gap_sessions(df: DataFrame, user: str, ts: str, gap: timedelta, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Sessions by the gap rule alone: they end one gap after their last event."""
     ordinary, hot = split_hot(df, [user], hot_rows)
     if ordinary is not None:
         numbered = _number_events(ordinary, user, ts, gap)
-        ordinary = merged(_page_views(numbered, [user, "session_no"], ts, None, None))
+        ordinary = _merge_spans(_page_views(numbered, [user, "session_no"], ts, None, None), user, gap, "views")
     if hot is not None:
         cells = _page_views(hot, [user, time_slice(hot, ts, cell_width(gap)).alias(CELL)], ts, None, None)
-        hot = merged(null_safe_join(cells, number_cells(event_spans(hot, user, ts, gap), user, gap), [user, CELL]))
+        numbers = number_cells(event_spans(hot, user, ts, gap), user, gap)
+        hot = _merge_spans(null_safe_join(cells, numbers, [user, CELL]), user, gap, "views")
     return together(ordinary, hot)
 
 
@@ -148,7 +155,8 @@ def label_sessions(df: DataFrame, user: str, ts: str, gap: timedelta, hot_rows:
         ordinary = _number_events(ordinary, user, ts, gap)
     if hot is not None:
         numbers = number_cells(event_spans(hot, user, ts, gap), user, gap)
-        hot = null_safe_join(hot.withColumn(CELL, time_slice(hot, ts, cell_width(gap))), numbers, [user, CELL]).drop(CELL)
+        in_cells = hot.withColumn(CELL, time_slice(hot, ts, cell_width(gap)))
+        hot = null_safe_join(in_cells, numbers, [user, CELL]).drop(CELL)
     return together(ordinary, hot)
 
 

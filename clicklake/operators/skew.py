@@ -18,7 +18,9 @@ from clicklake.sources.files import settled
 HOT_ROWS = 1_000_000
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame | None, DataFrame | None]:
+def split_hot(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame | None, DataFrame | None]:
     """(rows of ordinary groups, rows of groups with more than ``hot_rows`` rows); None for a part without groups.
 
     There can be no more hot groups than the table has multiples of

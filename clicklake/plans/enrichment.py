@@ -31,15 +31,14 @@ def geo_range_join_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _with_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = events_with_ip(spark, sf_dir)
-    return geo.geo_json(geo.range_lookup(events, "machine_ip", geo_ranges(spark, sf_dir)))
+    return geo.range_lookup(events_with_ip(spark, sf_dir), "machine_ip", geo_ranges(spark, sf_dir))
 
 
 @query(
     f"""WITH {GEO_SQL} SELECT event_id, country IS NOT NULL AS located, country, region FROM located"""
 )
 def geo_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_geo(spark, sf_dir).select(
+    return geo.geo_json(_with_geo(spark, sf_dir)).select(
         "event_id",
         (F.col("geo_json") != "").alias("located"),
         F.get_json_object("geo_json", "$.countryName").alias("country"),

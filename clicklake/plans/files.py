@@ -118,7 +118,9 @@ def src_parquet_leafs(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = _weekly_hours(table(spark, sf_dir, "events")).select("event_id", "value", "date_", "hour")
     files.write_parquet(hourly, path, partition_by=["date_", "hour"])
     read = files.read_partition_leafs(spark, path, [f"date_=*/hour={hour:02d}" for hour in range(24)])
-    return read.select(F.col("date_").cast("string"), F.lpad(F.col("hour").cast("string"), 2, "0").alias("hour"), "event_id", "value")
+    # Partition values are read back by their looks: dates and numbers.
+    hour = F.lpad(F.col("hour").cast("string"), 2, "0")
+    return read.select(F.col("date_").cast("string"), hour.alias("hour"), "event_id", "value")
 
 
 @query(_HOURS_SQL.format(rest="count(*) AS n") + " GROUP BY 1, 2")

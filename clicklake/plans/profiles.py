@@ -36,7 +36,8 @@ def _histogram_sql(source: str, type_: str, column: str) -> str:
     head = f"SELECT NULL::DATE AS date_, '{type_}' AS type_,"
     return f"""{head} 'Histogram.bins' AS name, count(*)::DOUBLE AS value FROM {bins}
 UNION ALL {head} 'Histogram.abs.' || bin AS name, n::DOUBLE AS value FROM {bins}
-UNION ALL {head} 'Histogram.ratio.' || bin AS name, round(n / (SELECT count(*) FROM {source}), 6) AS value FROM {bins}"""
+UNION ALL {head} 'Histogram.ratio.' || bin AS name,
+       round(n / (SELECT count(*) FROM {source}), 6) AS value FROM {bins}"""
 
 
 @query(_moments_sql("events", "value", "value"))

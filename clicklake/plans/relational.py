@@ -232,10 +232,14 @@ def distinct_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.distinct_values(table(spark, sf_dir, "events"), "user_id", "event_type")
 
 
-@query("SELECT event_type, min(ts) AS first_ts, max(ts) AS last_ts, round(avg(value), 6) AS mean FROM events GROUP BY 1")
+@query(
+    """
+SELECT event_type, min(ts) AS first_ts, max(ts) AS last_ts, round(avg(value), 6) AS mean FROM events GROUP BY 1"""
+)
 def group_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = table(spark, sf_dir, "events").groupBy("event_type")
-    return grouped.agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.round(F.avg("value"), 6).alias("mean"))
+    mean = F.round(F.avg("value"), 6)
+    return grouped.agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), mean.alias("mean"))
 
 
 @query(

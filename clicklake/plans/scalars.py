@@ -13,7 +13,8 @@ from clicklake.plans.inputs import table
 
 @query(
     """
-SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(json_extract_string(props, '$.k') AS BIGINT) + 10 AS new_k,
+SELECT event_id, json_extract_string(props, '$.k') AS k,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) + 10 AS new_k,
        nullif(split_part(event_type || '/' || user_id, '/', 2), '') AS second_level
 FROM events"""
 )

@@ -12,7 +12,7 @@ from clicklake.functions.times import time_slice
 from clicklake.plans import query
 from clicklake.plans.inputs import table
 from clicklake.sources.files import read_parquet, shared_dir, write_parquet
-from clicklake.streaming.sessions import start_fragments, stream_fragments, streamed_sessions
+from clicklake.streaming.sessions import start_fragments, stream_fragments, streamed_gap_sessions, streamed_sessions
 
 GAP = timedelta(hours=12)
 DELAY = timedelta(days=1)
@@ -158,20 +158,32 @@ def lag_timestamp_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lagged(spark, sf_dir, hot_rows=0)
 
 
-@query(
-    f"""
-WITH finished AS (
-  {_PLAIN} WHERE time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 12 HOUR
-                 <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)
-), {_sessions_sql("s", "finished")} SELECT * FROM s"""
-)
+_FINISHED_SQL = f"""{_PLAIN}
+  WHERE time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 12 HOUR
+        <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""
+
+
+@query(f"WITH finished AS ({_FINISHED_SQL}), {_sessions_sql('s', 'finished')} SELECT * FROM s")
 def stream_sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of the cells a stream over the events table has closed."""
+    sessions = streamed_sessions(spark, _streamed(spark, sf_dir), "user_id", "event_type", GAP)
+    return sessions.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_min", "session_max")})
+
+
+@query(_GAP_SQL.replace("FROM events\n)", f"FROM ({_FINISHED_SQL})\n)", 1))
+def stream_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the gap rule alone."""
+    sessions = streamed_gap_sessions(spark, _streamed(spark, sf_dir), "user_id", GAP)
+    return sessions.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """The folder with the fragments of a stream over the events table."""
     schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A pattern, since a stream takes a plain path for a folder and the table may be a single file.
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     folder = shared_dir(spark)
     fragments = stream_fragments(stream, "user_id", "ts", "event_type", GAP, DELAY)
     start_fragments(fragments, f"{folder}/fragments", f"{folder}/checkpoint").awaitTermination()
-    sessions = streamed_sessions(spark, f"{folder}/fragments", "user_id", "event_type", GAP)
-    return sessions.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_min", "session_max")})
+    return f"{folder}/fragments"

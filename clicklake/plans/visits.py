@@ -14,7 +14,8 @@ from clicklake.plans.inputs import (
 from clicklake.sources.files import read_csv, shared_dir, write_csv
 from clicklake.sources.schemas import REGISTRATIONS
 
-_HAS_SOURCE = "coalesce(list_contains([split_part(x, '=', 1) FOR x IN str_split(replace(trim(url_params), '?', ''), '&')], 'source'), false)"
+_HAS_SOURCE = """coalesce(list_contains(
+         [split_part(x, '=', 1) FOR x IN str_split(replace(trim(url_params), '?', ''), '&')], 'source'), false)"""
 _FLAT = "device_class, agent_class, os_name, os_version, agent_name, agent_version, device_brand, device_name"
 
 

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clicklake.functions.times import MICROSECOND
-from clicklake.operators.sessions import CELL, cell_width, sessions_from_fragments
+from clicklake.operators.sessions import (
+    CELL, cell_width, gap_sessions_from_fragments, sessions_from_fragments,
+)
 
 
 def stream_fragments(stream: DataFrame, user: str, ts: str, page: str, gap: timedelta, delay: timedelta) -> DataFrame:
@@ -28,6 +30,7 @@ def stream_fragments(stream: DataFrame, user: str, ts: str, page: str, gap: time
         stream.withWatermark(ts, f"{delay // MICROSECOND} microseconds")
         .groupBy(user, cell.alias("_window"), page)
         .agg(
+            F.count("*").alias("events"),
             F.count(page).alias("views"),
             F.min(ts).alias("first_ts"),
             F.max(ts).alias("last_ts"),
@@ -53,3 +56,8 @@ def start_fragments(fragments: DataFrame, table: str, checkpoint: str) -> Stream
 def streamed_sessions(spark: SparkSession, table: str, user: str, page: str, gap: timedelta) -> DataFrame:
     """Sessions of all fragments a stream has written so far."""
     return sessions_from_fragments(spark.read.parquet(table), user, page, gap)
+
+
+def streamed_gap_sessions(spark: SparkSession, table: str, user: str, gap: timedelta) -> DataFrame:
+    """The same by the gap rule alone, where sessions end one gap after their last event."""
+    return gap_sessions_from_fragments(spark.read.parquet(table), user, gap)

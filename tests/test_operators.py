@@ -140,7 +140,7 @@ def test_unknown_places_count_once(spark):
         [("d", 1, '{"countryName":"A"}'), ("d", 1, '{"region":"A"}'), ("d", 1, ""), ("d", 1, ""), ("d", 2, "")],
         "date_ string, user_id int, geo_json string",
     )
-    assert rows(geo.geo_mobility(df, "date_", "user_id")) == [("d", 1, 3), ("d", 2, 1)]
+    assert rows(geo.geo_mobility(df, "date_", "user_id", geo="geo_json")) == [("d", 1, 3), ("d", 2, 1)]
 
 
 def test_client_time_falls_back(spark):

@@ -4,8 +4,8 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from clicklake.operators.sessions import sessionize
-from clicklake.streaming.sessions import start_fragments, stream_fragments, streamed_sessions
+from clicklake.operators.sessions import gap_sessions, sessionize
+from clicklake.streaming.sessions import start_fragments, stream_fragments, streamed_gap_sessions, streamed_sessions
 
 GAP, DELAY = timedelta(hours=12), timedelta(days=2)
 
@@ -31,3 +31,6 @@ def test_stream_of_several_files_equals_batch(spark, tmp_path):
     got = streamed_sessions(spark, table, "user_id", "event_type", GAP)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
     assert got.count() > 1000
+    gaps = streamed_gap_sessions(spark, table, "user_id", GAP)
+    batch = gap_sessions(events.where(cell_end <= F.lit(closed)), "user_id", "ts", GAP)
+    assert sorted(map(tuple, gaps.collect())) == sorted(map(tuple, batch.collect()))
