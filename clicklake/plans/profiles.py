@@ -12,7 +12,7 @@ from clicklake.sources.files import append_metrics, settled, shared_dir
 
 
 def _rounded(metrics: DataFrame) -> DataFrame:
-    return metrics.withColumn("value", F.round("value", 6))
+    return metrics.withColumns({"date_": F.col("date_").cast("string"), "value": F.round("value", 6)})
 
 
 def _moments_sql(source: str, type_: str, column: str) -> str:
@@ -24,7 +24,7 @@ def _moments_sql(source: str, type_: str, column: str) -> str:
         "Minimum": f"min({column})",
     }
     rows = [
-        f"SELECT NULL::DATE AS date_, '{type_}' AS type_, '{name}' AS name, round(({sql})::DOUBLE, 6) AS value "
+        f"SELECT NULL::VARCHAR AS date_, '{type_}' AS type_, '{name}' AS name, round(({sql})::DOUBLE, 6) AS value "
         f"FROM {source}"
         for name, sql in names.items()
     ]
@@ -33,7 +33,7 @@ def _moments_sql(source: str, type_: str, column: str) -> str:
 
 def _histogram_sql(source: str, type_: str, column: str) -> str:
     bins = f"(SELECT coalesce({column}::VARCHAR, 'NullValue') AS bin, count(*) AS n FROM {source} GROUP BY 1)"
-    head = f"SELECT NULL::DATE AS date_, '{type_}' AS type_,"
+    head = f"SELECT NULL::VARCHAR AS date_, '{type_}' AS type_,"
     return f"""{head} 'Histogram.bins' AS name, count(*)::DOUBLE AS value FROM {bins}
 UNION ALL {head} 'Histogram.abs.' || bin AS name, n::DOUBLE AS value FROM {bins}
 UNION ALL {head} 'Histogram.ratio.' || bin AS name,

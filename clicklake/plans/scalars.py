@@ -60,12 +60,13 @@ def dyn_case_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
 SELECT value, props, CAST(event_id AS INTEGER) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
-       TRY_CAST(event_type AS INTEGER) AS event_type, CAST(strftime(ts, '%Y-%m-%d') AS DATE) AS day
+       TRY_CAST(event_type AS INTEGER) AS event_type, strftime(ts, '%Y-%m-%d') AS day
 FROM events"""
 )
 def cast_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("day", times.parse_date(F.date_format("ts", "yyyy-MM-dd")))
-    return projection.cast_schema(events.drop("ts"), "event_id int, user_id string, event_type int, day date")
+    schema = "event_id int, user_id string, event_type int, day string"
+    return projection.cast_schema(events.drop("ts"), schema)
 
 
 @query(

@@ -119,8 +119,8 @@ def distinct_ua(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {AGENT_SQL}
 SELECT user_id, user_id || '@mail' || event_id AS email, 'mail' || event_id AS email_domain,
-       CAST(ts AS DATE) AS registration_date, CAST(hour(ts) AS INTEGER) AS registration_hour,
-       CAST(ts AS DATE) + 1 AS confirmation_date, CAST(event_id % 2 AS INTEGER) AS is_confirmed,
+       strftime(ts, '%Y-%m-%d') AS registration_date, CAST(hour(ts) AS INTEGER) AS registration_hour,
+       strftime(ts + INTERVAL 1 DAY, '%Y-%m-%d') AS confirmation_date, CAST(event_id % 2 AS INTEGER) AS is_confirmed,
        event_id % 3 AS is_gplus, event_type AS page_type, device_class, os_name, os_version, agent_name,
        agent_version, device_brand, device_name, event_id::VARCHAR AS client_id
 FROM agent WHERE agent_class <> 'Browser Webview'"""
@@ -144,4 +144,5 @@ def registration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = shared_dir(spark)
     write_csv(registrations, path)
-    return ops.registration_report(read_csv(spark, path, REGISTRATIONS), APP)
+    report = ops.registration_report(read_csv(spark, path, REGISTRATIONS), APP)
+    return report.withColumns({c: F.col(c).cast("string") for c in ("registration_date", "confirmation_date")})
