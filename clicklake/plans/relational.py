@@ -15,6 +15,11 @@ from clicklake.sources.files import settled
 _BY_CUSTOMER = [("o_custkey", "c_custkey")]
 
 
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    # Whole numbers with nulls differ in how frames outside Spark show them.
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 def _orders_customer(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
 
@@ -31,46 +36,52 @@ def join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT o_orderkey, o_custkey, o_totalprice, c_custkey, c_name FROM orders
+SELECT o_orderkey, o_custkey, o_totalprice, c_custkey::VARCHAR AS c_custkey, c_name FROM orders
 LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey"""
 )
 def join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer = _orders_customer(spark, sf_dir)
     solvent = customer.where("c_acctbal > 0").select("c_custkey", "c_name")
-    return joins.left_join(orders.select("o_orderkey", "o_custkey", "o_totalprice"), solvent, _BY_CUSTOMER)
+    joined = joins.left_join(orders.select("o_orderkey", "o_custkey", "o_totalprice"), solvent, _BY_CUSTOMER)
+    return _as_text(joined, "c_custkey")
 
 
 @query(
     """
-SELECT c_custkey, c_name, o_orderkey, o_custkey FROM customer
+SELECT c_custkey, c_name, o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey FROM customer
 LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 300000) ON c_custkey = o_custkey"""
 )
 def join_left_hot_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer = _orders_customer(spark, sf_dir)
     dear = orders.where("o_totalprice > 300000").select("o_orderkey", "o_custkey")
-    return joins.left_join(customer.select("c_custkey", "c_name"), dear, [("c_custkey", "o_custkey")], hot_right=True)
+    customer = customer.select("c_custkey", "c_name")
+    joined = joins.left_join(customer, dear, [("c_custkey", "o_custkey")], hot_right=True)
+    return _as_text(joined, "o_orderkey", "o_custkey")
 
 
 @query(
     """
-SELECT o_orderkey, o_custkey, c_custkey, c_name FROM (SELECT * FROM orders WHERE o_totalprice > 300000)
+SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, c_custkey, c_name
+FROM (SELECT * FROM orders WHERE o_totalprice > 300000)
 RIGHT JOIN customer ON o_custkey = c_custkey"""
 )
 def join_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer = _orders_customer(spark, sf_dir)
     dear = orders.where("o_totalprice > 300000").select("o_orderkey", "o_custkey")
-    return joins.right_join(dear, customer.select("c_custkey", "c_name"), _BY_CUSTOMER, hot_left=True)
+    joined = joins.right_join(dear, customer.select("c_custkey", "c_name"), _BY_CUSTOMER, hot_left=True)
+    return _as_text(joined, "o_orderkey", "o_custkey")
 
 
 @query(
     """
-SELECT code, c_name, p_partkey, p_name FROM (SELECT c_custkey * 2 AS code, c_name FROM customer)
+SELECT code::VARCHAR AS code, c_name, p_partkey::VARCHAR AS p_partkey, p_name
+FROM (SELECT c_custkey * 2 AS code, c_name FROM customer)
 FULL JOIN part ON code = p_partkey"""
 )
 def join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("code"), "c_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return joins.full_join(customer, part, [("code", "p_partkey")])
+    return _as_text(joins.full_join(customer, part, [("code", "p_partkey")]), "code", "p_partkey")
 
 
 @query(
