@@ -32,14 +32,13 @@ def sigma_outliers(df: DataFrame, day: str, key: str, k: float = 3.0, center: bo
 
 
 def growth_curve(
-    df: DataFrame, key: str, order: str, count: str, span: int = 64, hot_rows: int = HOT_ROWS
+    df: DataFrame, key: str, order: str, count: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Mean growth over the previous row of the same key, by ``order`` from 0 on.
 
-    A key's first row has growth 0. ``order`` is a whole number; a hot key is
-    windowed in pieces of ``span`` of it.
+    A key's first row has growth 0. ``order`` is a whole number.
     """
-    piece = F.col(order) - F.pmod(F.col(order), F.lit(span))
-    lagged = lag_by_key(df.select(key, order, count), [key], [order], count, "_previous", piece, hot_rows)
+    position = F.col(order).cast("bigint")
+    lagged = lag_by_key(df.select(key, order, count), [key], [order], count, "_previous", position, hot_rows)
     pct = F.coalesce(growth(F.col(count), F.col("_previous")), F.lit(0.0))
     return lagged.where(F.col(order) >= 0).groupBy(order).agg(F.avg(pct).alias("avg_pct"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clicklake.operators.joins import null_safe_join
 from clicklake.sources.files import settled
@@ -19,20 +19,23 @@ HOT_ROWS = 1_000_000
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, measures: Sequence[Column] = ()
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """(rows of ordinary groups, rows of groups with more than ``hot_rows`` rows); None for a part without groups.
 
     There can be no more hot groups than the table has multiples of
     ``hot_rows``, so their list stays small whatever the keys are. With
-    ``hot_rows=0`` every group is hot.
+    ``hot_rows=0`` every group is hot. Hot rows get the ``measures`` of their
+    group, aggregates that the counting pass takes along.
     """
-    if hot_rows <= 0:
+    if hot_rows <= 0 and not measures:
         return None, df
-    hot = settled(df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).drop("n"))
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *measures)
+    hot = settled(counted.where(F.col("_n") > hot_rows).drop("_n"))
     if hot.isEmpty():
         return df, None
-    return null_safe_join(df, hot, keys, "left_anti"), null_safe_join(df, hot, keys, "left_semi")
+    ordinary = null_safe_join(df, hot, keys, "left_anti") if hot_rows > 0 else None
+    return ordinary, null_safe_join(df, hot, keys, "inner" if measures else "left_semi")
 
 
 def together(*parts: DataFrame | None) -> DataFrame:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, functions as F
 
 from clicklake.functions.text import has_query_param, session_key, strip_quotes, with_page_category
-from clicklake.functions.times import time_slice
+from clicklake.functions.times import epoch_micros
 from clicklake.functions.user_agent import AppNames, agent_class, with_agent_columns
 from clicklake.operators.aggregates import count_by, distinct_values
 from clicklake.operators.skew import HOT_ROWS
@@ -33,7 +31,7 @@ def source_counts(df: DataFrame, ts: str, referrer: str, params: str, site: str)
 
 def back_navigation(
     df: DataFrame, cookie: str, ts: str, tiebreak: str, referrer: str, url: str, params: str, site: str,
-    slice_width: timedelta = timedelta(minutes=10), hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Site-internal visits with a 0/1 flag: does the visit lead to where the session's previous one came from?
 
@@ -43,8 +41,7 @@ def back_navigation(
         "session_key", session_key(F.col(cookie))
     )
     lagged = lag_by_key(
-        visits, ["session_key"], [ts, tiebreak], referrer, "previous_referrer", time_slice(visits, ts, slice_width),
-        hot_rows,
+        visits, ["session_key"], [ts, tiebreak], referrer, "previous_referrer", epoch_micros(visits, ts), hot_rows
     )
     back = F.when(F.col(url).contains(F.col("previous_referrer")), 1).otherwise(0)
     return lagged.withColumn("is_back", back).select(

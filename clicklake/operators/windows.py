@@ -16,33 +16,37 @@ from clicklake.operators.skew import HOT_ROWS, split_hot, together
 
 
 def lag_by_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, slice_: Column,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, position: Column,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``lag(value)`` per key, in ``order``.
 
-    Keys with more than ``hot_rows`` rows are windowed in slices. ``slice_``
-    must not decrease along ``order``. ``order`` should be unique per key; ties
-    are cut arbitrarily, as in any lag.
+    ``position`` is a whole number that does not decrease along ``order``, say
+    its first column in microseconds. Keys with more than ``hot_rows`` rows are
+    windowed in slices: the span of a key's positions is cut into as many as
+    its rows make multiples of ``hot_rows``. ``order`` should be unique per
+    key; ties are cut arbitrarily, as in any lag.
     """
-    ordinary, hot = split_hot(df, keys, hot_rows)
+    measures = [F.count("*").alias("_rows"), F.min(position).alias("_low"), F.max(position).alias("_high")]
+    ordinary, hot = split_hot(df, keys, hot_rows, measures)
     if ordinary is not None:
         ordinary = ordinary.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
     if hot is not None:
-        hot = _lag_in_slices(hot, keys, order, value, out, slice_)
+        slices = F.ceil(F.col("_rows") / F.lit(max(hot_rows, 1)))
+        width = F.floor((F.col("_high") - F.col("_low")) / slices) + 1
+        offset = position - F.col("_low")
+        sliced = hot.withColumn("_slice", offset - F.pmod(offset, width)).drop("_rows", "_low", "_high")
+        hot = _lag_in_slices(sliced, keys, order, value, out)
     return together(ordinary, hot)
 
 
-def _lag_in_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, slice_: Column
-) -> DataFrame:
+def _lag_in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """The last value of a slice enters the key's next slice as an extra first row.
 
-    The rows themselves are shuffled once, by key and slice. The slices of a
-    key alone meet in one task: their number depends on the span of the order
-    column, not on the rows.
+    The rows themselves are shuffled once, by key and slice. Of a key, only one
+    row per slice meets in one task.
     """
-    rows = df.withColumns({"_slice": slice_, "_carried": F.lit(False)})
+    rows = df.withColumn("_carried", F.lit(False))
     last = rows.groupBy(*keys, "_slice").agg(F.max_by(value, F.struct(*order)).alias(value))
     next_slice = F.lead("_slice").over(Window.partitionBy(*keys).orderBy("_slice"))
     carried = (

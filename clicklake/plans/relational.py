@@ -175,7 +175,7 @@ FROM lagged WHERE datediff >= 0 GROUP BY 1"""
 def _growth(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     day = F.date_diff(F.to_date("ts"), F.lit("2024-01-06").cast("date"))
     daily = table(spark, sf_dir, "events").groupBy("user_id", day.alias("datediff")).agg(F.count("*").alias("n"))
-    curve = outliers.growth_curve(settled(daily), "user_id", "datediff", "n", span=8, **options)
+    curve = outliers.growth_curve(settled(daily), "user_id", "datediff", "n", **options)
     return curve.withColumn("avg_pct", F.round("avg_pct", 6))
 
 
@@ -186,7 +186,7 @@ def lag_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_GROWTH_SQL)
 def lag_growth_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _growth(spark, sf_dir, hot_rows=0)
+    return _growth(spark, sf_dir, hot_rows=5)
 
 
 

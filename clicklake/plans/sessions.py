@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.operators import sessions as ops
 from clicklake.operators.windows import lag_by_key, with_group_totals
-from clicklake.functions.times import time_slice
+from clicklake.functions.times import epoch_micros
 from clicklake.plans import query
 from clicklake.plans.inputs import table
 from clicklake.sources.files import read_parquet, shared_dir, write_parquet
@@ -144,8 +144,8 @@ SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, ev
 
 def _lagged(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    hour = time_slice(events, "ts", timedelta(hours=1))
-    return lag_by_key(events, ["user_id"], ["ts", "event_id"], "ts", "lag_ts", hour, **options)
+    position = epoch_micros(events, "ts")
+    return lag_by_key(events, ["user_id"], ["ts", "event_id"], "ts", "lag_ts", position, **options)
 
 
 @query(_LAG_SQL)
@@ -155,7 +155,7 @@ def lag_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_LAG_SQL)
 def lag_timestamp_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lagged(spark, sf_dir, hot_rows=0)
+    return _lagged(spark, sf_dir, hot_rows=10)
 
 
 _FINISHED_SQL = f"""{_PLAIN}

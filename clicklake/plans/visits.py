@@ -64,7 +64,7 @@ def back_navigation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_BACK_SQL)
 def back_navigation_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _back(spark, sf_dir, hot_rows=0)
+    return _back(spark, sf_dir, hot_rows=10)
 
 
 

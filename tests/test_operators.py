@@ -211,7 +211,7 @@ def test_outliers_need_two_days(spark):
     assert outliers.sigma_outliers(df, "day", "key", k=3.0).count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**6])
+@pytest.mark.parametrize("hot_rows", [0, 1, 10**6])
 def test_growth_curve(spark, hot_rows):
     data = [(1, -1, 4), (1, 0, 6), (1, 70, 3), (2, 0, 0), (2, 70, 5), (None, 70, 1)]
     df = spark.createDataFrame(data, "c int, datediff int, n int")
