@@ -113,7 +113,10 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str], path: str
 def append_metrics(metrics: DataFrame, target: str, fmt: str = "parquet", **options) -> None:
     """Append metric rows to a table: a folder, or whatever the options of ``fmt`` describe (say JDBC)."""
     writer = metrics.write.format(fmt).mode("append").options(**options)
-    writer.save(target) if fmt != "jdbc" else writer.option("dbtable", target).save()
+    if fmt == "jdbc":
+        writer.option("dbtable", target).save()
+    else:
+        writer.save(target)
 
 
 # -- layout ------------------------------------------------------------------

@@ -80,6 +80,26 @@ def test_metrics_are_appended(spark, tmp_path):
     assert spark.read.parquet(target).count() == 6
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    assert files.shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
-    assert files.shared_dir(spark) != files.shared_dir(spark)
+class Session:
+    """As much of a session as the choice of a folder looks at."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, name, default):
+        return self.settings.get(name.replace(".", "_"), default)
+
+
+def test_shared_folder_comes_from_the_session():
+    cluster = Session(spark_checkpoint_dir="hdfs:///shared/", spark_master="yarn")
+    assert files.shared_dir(cluster).startswith("hdfs:///shared/clicklake-")
+    assert files.shared_dir(cluster) != files.shared_dir(cluster)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        files.shared_dir(Session(spark_master="yarn"))
+    assert "clicklake-" in files.shared_dir(Session(spark_master="local[2]"))
+
+
+def test_settled_rows_are_read_from_their_table(spark):
+    df = files.settled(spark.range(5))
+    assert df.count() == 5 and "FileScan parquet" in plan(df)
