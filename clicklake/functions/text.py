@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -52,9 +54,16 @@ def has_query_param(params: Column, name: str) -> Column:
 
 
 def _last_piece(text: Column, separator: str) -> Column:
-    # Trailing empty pieces do not count; a text of separators only has no last piece.
-    pieces = F.array_remove(F.split(text, separator), "")
-    return F.when(text == "", text).otherwise(F.try_element_at(pieces, F.lit(-1)))
+    """The last piece of ``text`` between separators, cut from left to right.
+
+    Trailing empty pieces do not count; a text of separators only has no last piece.
+    """
+    after = F.substring_index(text, separator, -1)
+    pieces = F.array_remove(F.split(text, re.escape(separator)), "")
+    # What follows the last separator is the last piece, unless it is empty or separators overlap ("///").
+    overlaps = [separator + separator[k:] for k in range(1, len(separator)) if separator.endswith(separator[:k])]
+    plain = reduce(and_, [~text.contains(overlap) for overlap in overlaps], after != "")
+    return F.when(plain | (text == ""), after).otherwise(F.try_element_at(pieces, F.lit(-1)))
 
 
 def _shorten_pair(segment: Column) -> Column:
@@ -83,13 +92,15 @@ def with_page_category(df: DataFrame, referrer: str, site: str, out: str = "page
         .when((first == "account") & (F.size(levels) > 2), second)
         .otherwise(first)
     )
+    encoded = F.col(referrer).contains("%") | F.col(referrer).contains("+")
+    decoded = F.coalesce(F.when(encoded, F.try_url_decode(F.col(referrer))), F.col(referrer))
     head = F.when(F.translate(url, "?", "") != "", F.substring_index(url, "?", 1))
     category = F.when(F.size(levels) == 1, F.col("_section")).otherwise(_shorten_pair(F.col("_section")))
     return (
-        df.withColumn("_url", F.coalesce(F.try_url_decode(F.col(referrer)), F.col(referrer)))
+        df.withColumn("_url", decoded)
         .withColumn("_head", head)
         .withColumn("_address", _last_piece(F.col("_head"), "//"))
-        .withColumn("_path", _last_piece(F.col("_address"), re.escape(site)))
+        .withColumn("_path", _last_piece(F.col("_address"), site))
         .withColumn("_levels", F.split(F.rtrim(path, F.lit("/")), "/"))
         .withColumn("_section", section)
         .withColumn(out, F.when(F.col(referrer) == "", F.lit(HOME)).otherwise(F.coalesce(category, F.lit(HOME))))

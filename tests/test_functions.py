@@ -48,7 +48,7 @@ def cut(value: str, separator: str) -> list[str]:
     return pieces
 
 
-def category(referrer: str | None) -> str:
+def category(referrer: str | None, site: str = SITE) -> str:
     """The rule in plain Python."""
     def shorten(segment):
         return cut(segment, "=")[0] + "=..." if "=" in segment else segment
@@ -59,7 +59,7 @@ def category(referrer: str | None) -> str:
     url = referrer if broken else unquote_plus(referrer)
     try:
         head = cut(url, "?")[0]
-        levels = cut(cut(cut(head, "//")[-1], SITE)[-1], "/")
+        levels = cut(cut(cut(head, "//")[-1], site)[-1], "/")
         if not levels:
             return "home"
         if len(levels) == 1:
@@ -69,9 +69,9 @@ def category(referrer: str | None) -> str:
         return "home"
 
 
-def categories(spark, referrers):
+def categories(spark, referrers, site=SITE):
     df = spark.createDataFrame([(i, r) for i, r in enumerate(referrers)], "i int, referrer string")
-    return [r.page_category for r in text.with_page_category(df, "referrer", SITE).orderBy("i").collect()]
+    return [r.page_category for r in text.with_page_category(df, "referrer", site).orderBy("i").collect()]
 
 
 def test_page_category_cases(spark):
@@ -79,11 +79,12 @@ def test_page_category_cases(spark):
     assert dict(zip(CASES, categories(spark, CASES))) == {**CASES, f"https://{SITE}/a//b": category(f"https://{SITE}/a//b")}
 
 
-def test_page_category_against_the_rule(spark):
+@pytest.mark.parametrize("site", [SITE, "a.a"])
+def test_page_category_against_the_rule(spark, site):
     rng = random.Random(3)
-    pieces = ["/", "//", "?", "=", SITE, "a", "account", "news", "https:", "%2F", "%zz", "+", "b.c", "&"]
+    pieces = ["/", "//", "?", "=", site, ".a", "a", "account", "news", "https:", "%2F", "%zz", "+", "b.c", "&"]
     referrers = list({"".join(rng.choices(pieces, k=rng.randrange(1, 9))) for _ in range(6000)})
-    wrong = [(r, g, category(r)) for r, g in zip(referrers, categories(spark, referrers)) if g != category(r)]
+    wrong = [(r, g, category(r, site)) for r, g in zip(referrers, categories(spark, referrers, site)) if g != category(r, site)]
     assert not wrong, wrong[:10]
 
 
