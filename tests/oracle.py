@@ -59,7 +59,7 @@ def compare(spark, con, query, sql: str, sf_dir: str) -> str | None:
 def main() -> None:
     from pyspark.sql import SparkSession
 
-    from clicklake.plans import load
+    import __spark_entry__ as contract
 
     sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.001'}"
     spark = (
@@ -72,20 +72,21 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    con, catalog = connect(sf_dir), load()
+    con = connect(sf_dir)
+    queries, oracles = contract.queries(), contract.oracle_sql()
     bad = 0
-    for name in sys.argv[2:] or catalog.queries:
+    for name in sys.argv[2:] or queries:
         start = time.time()
-        if name not in catalog.oracles:
-            print(f"{name:24} no SQL, {catalog.queries[name](spark, sf_dir).count()} rows")
+        if name not in oracles:
+            print(f"{name:24} no SQL, {queries[name](spark, sf_dir).count()} rows")
             continue
         try:
-            problem = compare(spark, con, catalog.queries[name], catalog.oracles[name], sf_dir)
+            problem = compare(spark, con, queries[name], oracles[name], sf_dir)
         except Exception as e:  # noqa: BLE001
             problem = f"{type(e).__name__}: {str(e)[:700]}"
         bad += problem is not None
         print(f"{name:24} {time.time() - start:6.2f}s {problem or 'ok'}", flush=True)
-    print(f"{bad} of {len(sys.argv[2:] or catalog.queries)} differ")
+    print(f"{bad} of {len(sys.argv[2:] or queries)} differ")
 
 
 if __name__ == "__main__":
