@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# The characters between words, next to the plain space.
-OTHER_SPACES = "\t\n\x0b\x0c\r"
+# What lies between words, and what is in them.
+SPACES, NO_SPACE = "[ \\t-\\r]+", "[^ \\t-\\r]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,7 @@ def filled(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text; a null text has none."""
-    spaced = F.translate(filled(text), OTHER_SPACES, " " * len(OTHER_SPACES))
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.array_remove(F.split(filled(text), SPACES), "")
 
 
 def fresh(df: DataFrame, name: str) -> str:

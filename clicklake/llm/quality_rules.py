@@ -13,10 +13,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicklake.llm.common import OTHER_SPACES, filled, fresh, words
+from clicklake.llm.common import NO_SPACE, filled, fresh, words
 
 # Characters that count as symbols.
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]+"
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
@@ -61,7 +61,7 @@ def measured(docs: DataFrame, text: str = "text", to: str = "measures") -> DataF
     out = docs.withColumns({tokens: words(F.col(text)), lines: F.split(whole, "\n")})
     out = out.withColumns({
         hashes: _window_hashes(F.col(tokens), 3),
-        lines: F.filter(lines, lambda line: F.length(F.translate(line, " " + OTHER_SPACES, "")) > 0),
+        lines: F.filter(lines, lambda line: line.rlike(NO_SPACE)),
     })
     located = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     out = out.withColumn(ordered, F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), located))
@@ -74,8 +74,8 @@ def measured(docs: DataFrame, text: str = "text", to: str = "measures") -> DataF
     repeats = F.coalesce(F.aggregate(covered, F.lit(0), lambda a, x: a + x), F.lit(0))
     values = {
         "n_words": F.size(tokens),
-        "word_chars": F.length(F.translate(whole, " " + OTHER_SPACES, "")),
-        "n_symbols": F.length(whole) - F.length(F.translate(whole, SYMBOLS, "")),
+        "word_chars": F.length(F.array_join(tokens, "")),
+        "n_symbols": F.length(whole) - F.length(F.regexp_replace(whole, SYMBOLS, "")),
         "n_lines": F.size(lines),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": repeats,
