@@ -123,7 +123,7 @@ WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?
                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                   regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
 r AS (SELECT *, {case(lambda r: r[1] + r[2])} AS rule, {case(lambda r: r[0])} AS action,
-             regexp_replace(regexp_replace(path, '\b[0-9a-f]{{16,}}\b', '{{x}}', 'g'), '[0-9]+', '{{n}}', 'g') AS shape,
+             regexp_replace(regexp_replace(path, '\\b[0-9a-f]{{16,}}\\b', '{{x}}', 'g'), '[0-9]+', '{{n}}', 'g') AS shape,
              try_cast(nullif(regexp_extract(path, '[0-9]+'), '') AS BIGINT) AS number FROM p),
 l AS (SELECT doc_id, max((quality = 0)::INT) AS bad FROM labels GROUP BY doc_id),
 shapes AS (SELECT host, shape, count(l.bad) AS labelled, coalesce(sum(l.bad), 0) AS bad,
@@ -148,9 +148,9 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-e AS (SELECT *, length(t) + length(regexp_replace(t, '[^\<\[]', '', 'g'))
+e AS (SELECT *, length(t) + length(regexp_replace(t, '[^\\<\[]', '', 'g'))
                 + CASE role WHEN 'system' THEN 8 + 11 WHEN 'user' THEN 7 + 8 WHEN 'assistant' THEN 3 + 4
-                  ELSE 8 + 9 + 7 + length(role) + length(regexp_replace(role, '[^\<\[]', '', 'g')) END AS n FROM c)
+                  ELSE 8 + 9 + 7 + length(role) + length(regexp_replace(role, '[^\\<\[]', '', 'g')) END AS n FROM c)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
        coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
@@ -165,9 +165,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", chat_format.parsed(F.col("formatted")).alias("turns"), chat_format.loss_text(F.col("segments")).alias("loss"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
-    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("
-"), t["text"], F.lit("
-")))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     digest = lambda text: F.sha2(text.cast("binary"), 256)
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), digest(F.array_join(lines, "")).alias("turns_sha256"),
