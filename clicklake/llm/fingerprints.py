@@ -80,7 +80,7 @@ def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     Ids are cut into ranges, and each range also gets the first row of the one behind it (``extra``), so that texts
     are dealt once. Rows get ``range`` and ``row``, their place in it.
     """
-    rows = docs.select(F.col(key).alias("id"), filled(F.col(text)).alias("text"))
+    rows = docs.select(F.col(key).cast("bigint").alias("id"), filled(F.col(text)).alias("text"))
     rows = rows.withColumn("at", F.coalesce(F.col("id"), F.lit(_LAST)))
     n = rows.count()
     cuts = min(-(-n // ROWS_PER_RANGE), MOST_RANGES)
@@ -88,10 +88,11 @@ def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     if cuts > 1:
         shares = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
         bounds = sorted(set(rows.agg(F.percentile_approx("at", shares, 20 * cuts)).first()[0]))
-    rows = rows.withColumn("range", _at_or_below(bounds, F.col("at")))
+    place = _at_or_below(bounds, F.col("at"))
+    ranged = rows.withColumn("range", place)
     # One row per range, at most MOST_RANGES.
-    firsts = settled(rows.groupBy("range").agg(F.min("at").alias("first")))
-    texts = rows.join(F.broadcast(firsts), "range").where("at = first").groupBy("range", "at").agg(F.min("text").alias("text"))
+    firsts = settled(ranged.groupBy("range").agg(F.min("at").alias("first")))
+    texts = ranged.join(F.broadcast(firsts), "range").where("at = first").groupBy("range", "at").agg(F.min("text").alias("text"))
     whole = Window.orderBy("range")
     around = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = F.coalesce(F.lead(F.struct("at", "text")).over(whole), F.first(F.struct("at", "text")).over(around))
@@ -99,7 +100,8 @@ def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
         F.lit(None).cast("bigint").alias("id"), F.col("e.text").alias("text"), F.col("e.at").alias("at"), "range",
         F.lit(True).alias("extra"),
     )
-    both = rows.withColumn("id", F.col("id").cast("bigint")).withColumn("extra", F.lit(False)).unionByName(extra)
+    both = rows.withColumns({"range": F.lit(None).cast("int"), "extra": F.lit(False)}).unionByName(extra)
+    both = both.withColumn("range", F.coalesce("range", place))
     order = Window.partitionBy("range").orderBy("extra", "at", "text")
     return both.select(
         "range", F.row_number().over(order).alias("row"), "extra", "id", "text", F.lead("text").over(order).alias("next")
