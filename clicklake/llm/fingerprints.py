@@ -1,23 +1,25 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is a bag of words, each weighted by how often it occurs. For sample number d, every word draws gamma and uniform
-variates that depend on the word and d alone; they quantise the word's weight and give it a rank, and the word of
-the smallest rank is the sample. Two texts share a sample with the probability of their generalised Jaccard similarity:
+A text is a bag of terms (what stands between spaces), each weighted by how often it occurs. For sample number d, every
+term draws gamma and uniform variates that depend on the term and d alone; they quantise the term's weight and give it
+a rank, and the term of the smallest rank is the sample. Two texts share a sample with the probability of their generalised Jaccard similarity:
 the sum of the smaller weights over the sum of the larger ones.
 
-The smallest rank is a function of word, quantised weight and d, so it stands for the sample itself. Null texts count
-as empty; the fingerprint of a text without words is all zeros.
+The smallest rank is a function of term, quantised weight and d, so it stands for the sample itself. Null texts count
+as empty, and an empty text has one term, the empty one.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clicklake.llm.common import filled, words
+from clicklake.llm.common import filled
 from clicklake.llm.sharding import _at_or_below
 from clicklake.sources.files import settled
 
-SAMPLES = 16
+SAMPLES = 12
 ROWS_PER_RANGE = 1000
 #: Ranges of ids, and so the boundaries that the driver holds. Beyond, ranges grow and spill; results stay the same.
 MOST_RANGES = 10_000
@@ -25,25 +27,24 @@ _LAST = (1 << 63) - 1
 
 
 def weighted_terms(text: Column) -> Column:
-    """Sorted hashes of a text's words."""
-    return F.sort_array(F.transform(words(text), lambda w: F.xxhash64(w)))
+    """Sorted hashes of a text's terms, repeats included."""
+    return F.sort_array(F.transform(F.split(filled(text), " "), lambda w: F.xxhash64(w)))
 
 
 def runs(ordered: str) -> Column:
-    """(term, weight) for each run in a column of sorted hashes."""
-    at = F.filter(
+    """Where the runs in a column of sorted hashes begin."""
+    return F.filter(
         F.sequence(F.lit(0), F.size(ordered) - 1),
         lambda i: (i == 0) | (F.get(F.col(ordered), i) != F.get(F.col(ordered), i - 1)),
     )
-    return F.when(F.size(ordered) > 0, at).otherwise(F.array().cast("array<int>"))
 
 
 def rank(term: Column, log_weight: Column, sample: int) -> Column:
-    """The logarithm of a term's rank in one sample."""
-    bits, more = F.xxhash64(term, F.lit(sample)), F.xxhash64(term, F.lit(sample + 1_000_000))
-    uniform = lambda k: (F.shiftrightunsigned(bits, 16 * k).bitwiseAND(0xFFFF) + 0.5) / 65536.0
-    gamma = lambda k: -F.ln(uniform(k) * uniform(k + 1))
-    shift = (more.bitwiseAND(0xFFFFFFFF) + 0.5) / float(1 << 32)
+    """The logarithm of a term's rank in one sample. All variates come from one hash of 64 bits."""
+    bits = F.xxhash64(term, F.lit(sample))
+    part = lambda k: F.shiftrightunsigned(bits, 12 * k).bitwiseAND(0xFFF) + 0.5
+    gamma = lambda k: math.log(2.0**24) - F.ln(part(k) * part(k + 1))
+    shift = (F.shiftrightunsigned(bits, 48) + 0.5) * (1.0 / 65536.0)
     r = gamma(0)
     return F.ln(gamma(2)) - r * (F.floor(log_weight / r + shift) - shift + 1.0)
 
