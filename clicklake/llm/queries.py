@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import chat_format, fingerprints, mixing, quality_rules, sharding, url_filters
+from clicklake.llm import (
+    chat_format, fingerprints, mixing, quality_rules, sentence_pieces, sharding, toxicity, url_filters,
+)
 from clicklake.llm.common import table, words
 from clicklake.plans import Catalog
 from clicklake.sources.files import settled
@@ -176,3 +178,25 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(None)
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
+@query(None)
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = sentence_pieces.decode(sentence_pieces.encode(docs))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return done.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        digest(F.array_join(F.col("token_ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        digest(F.col("decoded")).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
+@query(None)
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, network).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
