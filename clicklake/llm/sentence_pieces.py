@@ -19,6 +19,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -78,16 +79,40 @@ class Matcher:
             self.codes[i, : len(p)] = [ord(c) for c in p]
 
     def suffixes(self, codes: np.ndarray) -> np.ndarray:
-        """Positions by the next ``longest`` characters, by prefix doubling."""
+        """Positions by the next ``longest`` characters, of which several at a time make one number to sort by."""
+        alphabet, dense = np.unique(codes, return_inverse=True)
+        bits = int(len(alphabet)).bit_length()
+        each = 62 // bits
         n = len(codes)
-        rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-        width = 1
-        while width < self.longest:
-            follow = np.zeros(n, np.int64)
-            follow[: max(n - width, 0)] = rank[width:]
-            rank = np.unique(rank * (n + 2) + follow, return_inverse=True)[1].astype(np.int64) + 1
-            width *= 2
-        return np.argsort(rank, kind="stable")
+        padded = np.concatenate([dense.astype(np.int64) + 1, np.zeros(self.longest + each, np.int64)])
+
+        def key(positions: np.ndarray, at: int) -> np.ndarray:
+            out = np.zeros(len(positions), np.int64)
+            for k in range(at, at + each):
+                out <<= bits
+                if k < self.longest:
+                    out |= padded[np.minimum(positions + k, n)]
+            return out
+
+        whole = key(np.arange(n), 0)
+        order = np.argsort(whole)
+        tied = whole[order]
+        group = np.cumsum(np.concatenate([[0], tied[1:] != tied[:-1]]))
+        for at in range(each, self.longest, each):
+            size = np.bincount(group)
+            open_ = np.flatnonzero(size[group] > 1)  # only what is still equal is looked at further
+            if not len(open_):
+                break
+            follow = key(order[open_], at)
+            inner = np.lexsort((follow, group[open_]))
+            order[open_] = order[open_][inner]
+            follow = follow[inner]
+            step = np.zeros(n, bool)
+            step[1:] = group[1:] != group[:-1]
+            later = np.flatnonzero(np.diff(follow) != 0) + 1
+            step[open_[later]] = True
+            group = np.cumsum(step)
+        return order
 
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Keys (position * SPAN + length), sorted, and the piece of each."""
@@ -105,8 +130,9 @@ class Matcher:
         piece = np.repeat(np.arange(len(counts)), counts)
         within = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
         keys = order[np.repeat(low, counts) + within] * SPAN + self.lengths[piece]
-        by_position = np.argsort(keys, kind="stable")
-        return keys[by_position], piece[by_position]
+        pieces = int(len(counts)).bit_length()
+        both = np.sort(keys << pieces | piece)
+        return both >> pieces, both & ((1 << pieces) - 1)
 
     @staticmethod
     def _bound(text, order, depth, low, high, want, after):
@@ -139,21 +165,18 @@ class Encoder:
             while start < len(texts) and size < INDEXED:
                 text = texts[start]
                 chunks = self.chunk.findall(SPACE + text.replace(" ", SPACE)) if text else []
-                for c in chunks:
+                for c in set(chunks):
                     if c not in self.known and c not in new:
                         new[c] = None
                         size += len(c)
                 chunked.append(chunks)
                 start += 1
-            fresh_ids = dict(zip(new, self.encode_chunks(list(new)))) if new else {}
-            self.known.update(fresh_ids)
-            for chunks in chunked:
-                ids: list[int] = []
-                for c in chunks:
-                    ids += self.known[c]
-                out.append(ids)
+            if new:
+                self.known.update(zip(new, self.encode_chunks(list(new))))
+            of = self.known.__getitem__
+            out += [list(chain.from_iterable(map(of, chunks))) for chunks in chunked]
             if len(self.known) > REMEMBERED:
-                self.known = {}
+                self.known = {c: of(c) for chunks in chunked[-100:] for c in chunks}
         return out
 
     def encode_chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
@@ -170,15 +193,12 @@ class Encoder:
         has = keys[at] == begin * SPAN + (end - begin)
         ids = np.where(has, self.ids[pieces[at]], -1)
         owner = np.searchsorted(starts, begin, side="right") - 1
-        cuts = np.searchsorted(owner, np.arange(len(chunks) + 1))
+        cuts = np.searchsorted(owner, np.arange(len(chunks) + 1)).tolist()
         flat = ids.tolist()
-        odd = set(owner[~has].tolist())
-        out = []
-        for i in range(len(chunks)):
-            own = flat[cuts[i] : cuts[i + 1]]
-            if i in odd:
-                own = [x for j, v in enumerate(own, cuts[i]) for x in ([v] if v >= 0 else self._fallback(codes[begin[j]]))]
-            out.append(tuple(own))
+        out = [tuple(flat[a:b]) for a, b in zip(cuts, cuts[1:])]
+        for i in set(owner[~has].tolist()):
+            symbols = enumerate(out[i], cuts[i])
+            out[i] = tuple(x for j, v in symbols for x in ([v] if v >= 0 else self._fallback(codes[begin[j]])))
         return out
 
     def _fallback(self, code) -> list[int]:
@@ -202,10 +222,11 @@ class Encoder:
             at = np.searchsorted(keys, want)
             there = keys[at] == want
             pair, score = pair[there], self.scores[pieces[at[there]]]
-            # Per chunk the best score, leftmost first.
-            best = np.lexsort((pair, -score, owner[pair]))
-            pair = pair[best]
-            pair = pair[np.flatnonzero(np.diff(owner[pair], prepend=-1))] if len(pair) else pair
+            if len(pair):  # per chunk the best score, of those the leftmost
+                group = np.flatnonzero(np.diff(owner[pair], prepend=-1))
+                best = np.maximum.reduceat(score, group)
+                pair = pair[score == np.repeat(best, np.diff(group, append=len(pair)))]
+                pair = pair[np.flatnonzero(np.diff(owner[pair], prepend=-1))]
             end[pair] = end[pair + 1]
             stay = np.ones(len(begin), bool)
             stay[pair + 1] = False
