@@ -214,19 +214,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
-@query(r"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-g AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-          ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM w),
-t AS (SELECT doc_id, len(s) AS n, unnest(s) AS token FROM g),
-l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.token = b.token AND a.doc_id < b.doc_id
-      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
-e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
-r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id WHERE r.root < e.b)
-SELECT g.doc_id, len(s)::BIGINT AS n_shingles, c.component_id FROM g
-JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
-""")
+@query(None)
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.grouped(table(spark, sf_dir, "documents"))
 
