@@ -34,7 +34,7 @@ FREQUENT = 48
 #: Rows of one signature that one task should get; more are salted.
 GROUP_ROWS = 4096
 #: Sets up to this size also have one-deletion signatures.
-SMALL = 48
+SMALL = 160
 #: Slots of the filter that spares documents without candidates a shuffle; so many rows are broadcast at most.
 SLOTS = 1 << 17
 #: Classes of equal sets that are skipped before the join are larger than this and than 1/10,000 of all rows.
