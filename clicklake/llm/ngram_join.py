@@ -9,7 +9,7 @@ choice, signatures of segments less one token are indexed as well; a probe may t
 probing with its own one-deletion neighbours, instead of using a costlier segment. All candidates are verified exactly.
 
 Only groups are asked for, so not every pair of a signature's documents is looked at: each document is first compared
-with the smallest id of its signature, and then only documents whose groups still differ are compared. Documents with
+with the most typical one of its signature, and then only documents whose groups still differ are compared. Documents with
 equal sets are one class. Neither step loses a link that would change a group.
 
 How frequent tokens are is estimated from about ``SAMPLE`` documents; that and salting steer costs, never results.
@@ -304,13 +304,17 @@ def links(docs: DataFrame, known: DataFrame) -> DataFrame:
     copies = known.join(several, ["set_key", "n"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     copies = settled(copies)
     rows = settled(_shared(_signature_rows(docs, _frequent(docs, classes, n_classes), large)))
-    # First round: everyone with the smallest id of a signature.
-    hubs = rows.groupBy("signature").agg(F.min(F.struct("id", "n")).alias("hub"))
-    near = rows.join(hubs, "signature").where("id <> hub.id").where(
+    # First round: everyone with the most typical document of a signature, whose signatures are the most shared ones.
+    # The original of many edited copies is like all of them, while they need not be like each other.
+    sizes = rows.groupBy("signature").agg(F.count("*").alias("size"))
+    typical = rows.join(sizes, "signature").groupBy("id").agg(F.sum("size").alias("score"))
+    ranked = settled(rows.join(settled(typical), "id"))
+    hubs = ranked.groupBy("signature").agg(F.max(F.struct("score", (-F.col("id")).alias("least"), "id", "n")).alias("hub"))
+    near = ranked.join(hubs, "signature").where("id <> hub.id").where(
         4 * F.least(F.col("n"), F.col("hub.n")) >= 3 * F.greatest(F.col("n"), F.col("hub.n"))
     )
     known_edges = copies
-    pairs = settled(near.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct())
+    pairs = settled(near.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
     first = verified(pairs.join(copies, ["a", "b"], "left_anti"), docs)
     known_edges = known_edges.union(first)
     # Second round: those whose groups still differ.
