@@ -154,7 +154,7 @@ def _announces(ua: Column, tokens: list[str]) -> Column:
 
 
 def agent_class(ua: Column, app: AppNames) -> Column:
-    """Kind of agent: robot, own app, embedded or plain browser; null for what is none of these."""
+    """Kind of agent: robot, own app, embedded or plain browser, else Unknown; null for no agent."""
     lower = F.lower(ua)
     robot = reduce(or_, [lower.contains(text) for text in ROBOTS]) & lower.rlike(ROBOT)
     embedded = ua.contains("; wv)") | ua.contains("FBAN/") | (ua.contains(" Mobile/") & ~ua.contains(" Safari/"))
@@ -163,6 +163,7 @@ def agent_class(ua: Column, app: AppNames) -> Column:
         .when(ua.contains(app.product) | _is_wrapper(ua, app), F.lit("Mobile App"))
         .when(embedded, F.lit("Browser Webview"))
         .when(ua.contains(" Safari/") | _announces(ua, [*ENGINES, *OTHERS]), F.lit("Browser"))
+        .when(F.length(F.trim(ua)) > 0, F.lit("Unknown"))
     )
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-# CSV and JSON drop microseconds unless both directions name a longer pattern.
+# Writers drop microseconds unless a longer pattern is named. Readers take what Spark takes: these and other forms.
 TIME_FORMATS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -19,14 +18,14 @@ TIME_FORMATS = {
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared one (``spark.checkpoint.dir``).
 
-    Only a local session without that setting gets a temporary folder.
+    Where that is unset, it lies below the session's warehouse, which executors share as well. The folder goes with
+    the session: Hadoop removes it when the driver's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="clicklake-")
-    return f"{root.rstrip('/')}/clicklake-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    folder = f"{root.rstrip('/')}/clicklake-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -41,7 +40,7 @@ def settled(df: DataFrame) -> DataFrame:
 
 def read_csv(spark: SparkSession, path, schema: str | StructType, sep: str = ",", **options) -> DataFrame:
     """CSV with a header and a known schema; bzip2 files are recognised by name and split."""
-    return spark.read.schema(schema).options(header=True, sep=sep, **TIME_FORMATS, **options).csv(path)
+    return spark.read.schema(schema).options(**{"header": True, "sep": sep, **options}).csv(path)
 
 
 def read_csv_inferred(spark: SparkSession, path, **options) -> DataFrame:
@@ -55,9 +54,9 @@ def read_positional(spark: SparkSession, path, positions: Mapping[str, int], sep
     return raw.select([F.col(f"_c{position}").alias(name) for name, position in positions.items()])
 
 
-def read_json_tree(spark: SparkSession, root, schema: str | StructType) -> DataFrame:
+def read_json_tree(spark: SparkSession, root, schema: str | StructType, **options) -> DataFrame:
     """JSON lines, gzipped or not, in all folders below ``root``."""
-    return spark.read.schema(schema).options(recursiveFileLookup=True, **TIME_FORMATS).json(root)
+    return spark.read.schema(schema).options(**{"recursiveFileLookup": True, **options}).json(root)
 
 
 def read_json_inferred(spark: SparkSession, path) -> DataFrame:

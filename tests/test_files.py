@@ -80,24 +80,28 @@ def test_metrics_are_appended(spark, tmp_path):
     assert spark.read.parquet(target).count() == 6
 
 
-class Session:
-    """As much of a session as the choice of a folder looks at."""
-
-    def __init__(self, **settings):
-        self.conf = self
-        self.settings = settings
-
-    def get(self, name, default):
-        return self.settings.get(name.replace(".", "_"), default)
-
-
-def test_shared_folder_comes_from_the_session():
-    cluster = Session(spark_checkpoint_dir="hdfs:///shared/", spark_master="yarn")
-    assert files.shared_dir(cluster).startswith("hdfs:///shared/clicklake-")
-    assert files.shared_dir(cluster) != files.shared_dir(cluster)
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        files.shared_dir(Session(spark_master="yarn"))
-    assert "clicklake-" in files.shared_dir(Session(spark_master="local[2]"))
+def test_shared_folder_comes_from_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = files.shared_dir(spark), files.shared_dir(spark)
+    assert first != second and first.startswith(f"{root}/clicklake-")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        assert files.shared_dir(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
+    finally:
+        spark.conf.set("spark.checkpoint.dir", root)
+
+
+def test_times_of_every_usual_form_are_read(spark, tmp_path):
+    forms = ["2031-03-04 05:06:07", "2031-03-04T05:06:07", "2031-03-04T05:06:07.125Z", "2031-03-04 05:06:07+00:00"]
+    (tmp_path / "t.csv").write_text("ts\n" + "\n".join(forms) + "\n")
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "t.json").write_text("\n".join('{"ts": "%s"}' % f for f in forms) + "\n")
+    want = ["2031-03-04 05:06:07"] * 4
+    shown = F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("t")
+    assert [r.t for r in files.read_csv(spark, str(tmp_path / "t.csv"), "ts timestamp").select(shown).collect()] == want
+    assert [r.t for r in files.read_json_tree(spark, str(tmp_path / "j"), "ts timestamp").select(shown).collect()] == want
+    given = files.read_csv(spark, str(tmp_path / "t.csv"), "ts timestamp", timestampFormat="yyyy-MM-dd HH:mm:ss")
+    assert given.where("ts IS NOT NULL").count() == 1
 
 
 def test_settled_rows_are_read_from_their_table(spark):
