@@ -9,8 +9,10 @@ choice, signatures of segments less one token are indexed as well; a probe may t
 probing with its own one-deletion neighbours, instead of using a costlier segment. All candidates are verified exactly.
 
 Only groups are asked for, so not every pair of a signature's documents is looked at: each document is first compared
-with the smallest id of its signature, and then only documents whose groups still differ are compared. Documents with
-equal sets are one class. Neither step loses a link that would change a group.
+with the smallest id of its signature, and then only documents whose groups still differ are compared. Of the latter,
+pairs are skipped whose sketches differ in more bits than the bound allows tokens: a bit tells whether an odd number of
+a set's tokens hash to it, so that each token in just one of two sets changes one bit at most. Documents with equal sets
+are one class. No step loses a link that would change a group.
 
 How frequent tokens are is estimated from about ``SAMPLE`` documents; that and salting steer costs, never results.
 Rows with a null id are returned and linked with nothing; equal ids are one node. Null texts are empty.
@@ -19,6 +21,8 @@ Rows with a null id are returned and linked with nothing; equal ids are one node
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +43,8 @@ SMALL = 160
 SLOTS = 1 << 17
 #: Classes of equal sets that are skipped before the join are larger than this and than 1/10,000 of all rows.
 LARGE_CLASS = 64
+#: Bits of a sketch, a power of two. Sets of more than about twice as many tokens gain nothing from it.
+SKETCH_BITS = 1024
 
 INDEX, INDEX_LESS, PROBE, PROBE_LESS = 1, 2, 4, 8
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -65,6 +71,13 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(mixed(total))
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """Parities of how many tokens hash to each bit, in 64-bit words."""
+    at = mixed(own + np.uint64(7)) % np.uint64(SKETCH_BITS)
+    odd = np.bincount(at.astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= 75 * (len(a) + len(b) - both) and both > 0
@@ -178,12 +191,13 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """(id, n, set_key) from (id, text): the size of the set and a hash of it."""
+    """(id, n, set_key, bits) from (id, text): the size of the set, a hash of it and its sketch."""
     def make(ids, texts):
         sets = [shingles(t) for t in texts]
         keys = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
-        return ids, [len(s) for s in sets], keys
-    return _mapped(docs, "id long, n long, set_key long", ["id", "n", "set_key"], [pa.int64()] * 3, make)
+        return ids, [len(s) for s in sets], keys, [sketch(s) for s in sets]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    return _mapped(docs, "id long, n long, set_key long, bits array<long>", ["id", "n", "set_key", "bits"], kinds, make)
 
 
 def _frequent(docs: DataFrame, classes: DataFrame, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -289,6 +303,12 @@ def _fits(a: str, b: str):
     return (meets(a, b) | meets(b, a)) & sizes
 
 
+def _sketches_fit(a: str, b: str):
+    """Whether two sets may differ in as few tokens as a link allows."""
+    words_ = [F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(SKETCH_BITS // 64)]
+    return 7 * reduce(add, words_) <= F.col(f"{a}.n") + F.col(f"{b}.n")
+
+
 def links(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Edges (a, b) between similar documents, enough to connect all that are connected.
 
@@ -301,7 +321,7 @@ def links(docs: DataFrame, known: DataFrame) -> DataFrame:
     limit = max(LARGE_CLASS, n_rows // 10_000)  # so there are at most 10,000 of them
     large = {r["set_key"]: r["rep"] for r in classes.where(F.col("count") > limit).collect()}
     several = classes.where("count > 1").select("set_key", "n", "rep")
-    copies = known.join(several, ["set_key", "n"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    copies = known.drop("bits").join(several, ["set_key", "n"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     copies = settled(copies)
     rows = settled(_shared(_signature_rows(docs, _frequent(docs, classes, n_classes), large)))
     # First round: everyone with the smallest id of a signature.
@@ -317,10 +337,12 @@ def links(docs: DataFrame, known: DataFrame) -> DataFrame:
     group = settled(roots(known_edges)).toDF("id", "root")
     placed = rows.join(group, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed_ = placed.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_ = settled(placed.join(mixed_.select("signature"), "signature", "left_semi"))
+    open_ = placed.join(mixed_.select("signature"), "signature", "left_semi")
+    # Where an id comes with several texts of one size, its rows get the sketches of all.
+    open_ = settled(open_.join(known.select("id", "n", "bits"), ["id", "n"]))
     a, b = open_.alias("a"), open_.alias("b")
     crossing = a.join(b, F.col("a.signature") == F.col("b.signature")).where(
-        (F.col("a.id") < F.col("b.id")) & (F.col("a.root") != F.col("b.root")) & _fits("a", "b")
+        (F.col("a.id") < F.col("b.id")) & (F.col("a.root") != F.col("b.root")) & _fits("a", "b") & _sketches_fit("a", "b")
     )
     more = settled(crossing.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
     more = more.join(pairs, ["a", "b"], "left_anti")
@@ -332,7 +354,7 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     known = settled(digests(rows))
     found = roots(links(rows, known))
-    return known.join(found, "id", "left").select(
+    return known.drop("bits").join(found, "id", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id")
     )
 

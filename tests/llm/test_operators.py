@@ -105,6 +105,16 @@ def test_ngram_groups_equal_brute_force(spark):
     assert ngram_join.keep_one(docs(spark, texts)).count() == len(set(map(find, range(len(texts)))))
 
 
+def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
+    r = np.random.default_rng(4)
+    for _ in range(200):
+        a = np.unique(r.integers(0, 1 << 62, int(r.integers(1, 3000))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[r.random(len(a)) < 0.9], r.integers(0, 1 << 62, 20).astype(np.uint64)]))
+        bits = np.bitwise_count((ngram_join.sketch(a) ^ ngram_join.sketch(b)).view(np.uint64)).sum()
+        assert bits <= len(np.setxor1d(a, b))
+    assert not ngram_join.sketch(np.zeros(0, np.uint64)).any()
+
+
 def test_ngram_allocation_reaches_what_is_needed():
     r = np.random.default_rng(1)
     for _ in range(300):
