@@ -49,6 +49,12 @@ def is_weekday(d: Column) -> Column:
     return F.dayofweek(d).between(2, 6).cast("int")
 
 
+def known_zone(zone: Column) -> Column:
+    """The zone id if it is one, else null."""
+    probe = F.try_to_timestamp(F.concat(F.lit("2020-01-01 00:00:00 "), zone), F.lit("yyyy-MM-dd HH:mm:ss VV"))
+    return F.when(probe.isNotNull(), zone)
+
+
 def local_time(ts: Column, zone: Column, stored_zone: Column) -> Column:
     """Wall clock in ``zone`` of a time stored in ``stored_zone``; as stored when the zone is unknown."""
     stored = ts.cast("timestamp_ntz")

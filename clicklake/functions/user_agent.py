@@ -59,7 +59,7 @@ OTHER_AGENT = rf"\b({'|'.join(OTHERS)})/[\d.]+"
 ENGINE = rf"\b({'|'.join(ENGINES)})/[\d.]+"
 SAFARI = r"\bVersion/[\d.]+"
 APPLE = r"\((iPhone|iPad|iPod|Macintosh)"
-MODEL = r"Android [\d.]+; ([^;)]+?)(?: Build/[^;)]*)?[;)]"
+MODEL = r"Android [\d.]+; (?:[a-z]{2}(?:[-_][A-Za-z]{2})?; )?([^;)]+?)(?: Build/[^;)]*)?[;)]"
 MAKERS = {
     "SAMSUNG": "Samsung",
     "SM-": "Samsung",

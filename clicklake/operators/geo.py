@@ -1,8 +1,8 @@
 """Addresses, places and local time.
 
-A range table holds disjoint address ranges: ``start`` and ``end`` (inclusive
-numbers) and a ``geo`` struct. Ranges are cut at the borders of buckets of 65,536
-addresses; since they are disjoint, that adds at most 65,536 pieces.
+A range table holds address ranges: ``start`` and ``end`` (inclusive numbers) and
+a ``geo`` struct. Where ranges overlap, the narrowest one counts. Ranges are cut at
+the borders of buckets of 65,536 addresses and made disjoint within each bucket.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from clicklake.functions.numbers import ip_to_long
 from clicklake.functions.text import json_field
-from clicklake.functions.times import local_time
+from clicklake.functions.times import known_zone, local_time
 from clicklake.operators.aggregates import count_by
 from clicklake.operators.joins import is_small
 
@@ -28,9 +28,33 @@ def _pieces(ranges: DataFrame) -> DataFrame:
         F.greatest("start", F.col("bucket") * BUCKET).alias("start"),
         F.least("end", F.col("bucket") * BUCKET + (BUCKET - 1)).alias("end"),
         "geo",
+        # Narrow ranges first; then a rule that leaves no tie between different places.
+        F.struct(F.col("end") - F.col("start"), "start", F.to_json("geo")).alias("_rank"),
     )
 
 
+def _disjoint(pieces: DataFrame) -> DataFrame:
+    """Pieces (bucket, start, end, geo) of which no two overlap; each address keeps its narrowest range.
+
+    Pieces that touch no other one, in a sound table all, pass as they are. The others are cut at each other's
+    borders, within chains of overlapping pieces of one bucket, which span 65,536 addresses at most.
+    """
+    order = Window.partitionBy("bucket").orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = (before.isNull() | (F.col("start") > before)).cast("int")
+    chain = F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    chained = pieces.withColumn("_begins", begins).withColumn("_chain", chain)
+    counted = chained.withColumn("_n", F.count("*").over(Window.partitionBy("bucket", "_chain")))
+    columns = ["bucket", "start", "end", "geo"]
+    clashing = counted.where("_n > 1")
+    borders = clashing.select("bucket", "_chain", F.explode(F.array(F.col("start"), F.col("end") + 1)).alias("from")).distinct()
+    following = F.lead("from").over(Window.partitionBy("bucket", "_chain").orderBy("from"))
+    cuts = borders.withColumn("to", following - 1).where(F.col("to").isNotNull())
+    covered = cuts.join(clashing, ["bucket", "_chain"]).where("start <= from AND to <= end")
+    narrowest = covered.groupBy("bucket", "from", "to").agg(F.min_by("geo", "_rank").alias("geo"))
+    return counted.where("_n = 1").select(columns).union(narrowest.toDF(*columns))
+
+
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
     """Pieces that reach into a later one; empty for a sound range table."""
     following = F.lead("start").over(Window.partitionBy("bucket").orderBy("start", "end"))
@@ -38,16 +62,16 @@ def overlapping_ranges(ranges: DataFrame) -> DataFrame:
 
 
 def range_lookup(df: DataFrame, ip: str, ranges: DataFrame, max_broadcast_rows: int = 200_000) -> DataFrame:
-    """All rows with the ``geo`` of the range their address lies in, null for a miss.
+    """All rows with the ``geo`` of the narrowest range their address lies in, null for a miss.
 
-    Up to ``max_broadcast_rows`` pieces (counted, not assumed) go to every
+    Up to ``max_broadcast_rows`` pieces (counted and measured, not assumed) go to every
     executor, and the rows are not shuffled. Beyond that each distinct
     address is resolved once, by one sorted pass per bucket over addresses and
     range starts, neither of which can exceed the bucket; the rows then join by
     address, where Spark can split a hot one.
     """
     rows = df.withColumn("_ip", ip_to_long(F.col(ip)))
-    pieces = _pieces(ranges)
+    pieces = _disjoint(_pieces(ranges))
     if is_small(pieces, max_broadcast_rows):
         within = (F.floor(F.col("_ip") / BUCKET) == F.col("bucket")) & F.col("_ip").between(
             F.col("start"), F.col("end")
@@ -79,13 +103,15 @@ def geo_json(df: DataFrame) -> DataFrame:
 def client_time(
     df: DataFrame, ts: str, ip: str, ranges: DataFrame, stored_zone: str = "UTC", **options
 ) -> DataFrame:
-    """Rows with the visitor's zone (or the default) and wall clock (or the stored time).
+    """Rows with the visitor's zone (or the default) and wall clock (or the stored time); unknown zone ids are no zone.
 
     ``stored_zone`` is the zone of a zone-free ``ts``; a ``timestamp`` is an instant and needs none.
     """
     is_instant = isinstance(df.schema[ts].dataType, T.TimestampType)
     stored = F.current_timezone() if is_instant else F.lit(stored_zone)
     zone = F.col("geo.timezone")
+    # Unknown zones are told once per range: a conversion to them would fail the query.
+    ranges = ranges.withColumn("geo", F.col("geo").withField("timezone", known_zone(zone)))
     return (
         range_lookup(df, ip, ranges, **options)
         .withColumn("client_time", local_time(F.col(ts), zone, stored))

@@ -77,9 +77,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after a look at the row count; beyond ``max_rows`` leave the join as it is."""
+    """Hint a broadcast only after a look at rows and bytes; beyond the bounds leave the join as it is."""
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:
+    """At most so many rows, and so many bytes as JSON text."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    rows, used = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and used <= max_bytes

@@ -20,9 +20,11 @@ def _moments(c: Column, accuracy: int) -> list[Column]:
 
 
 def _metric_rows(df: DataFrame, type_: Column, name: Column, value: Column, day: date | None) -> DataFrame:
-    return df.select(
+    """Metrics that have a value; those of no rows have none."""
+    metrics = df.select(
         F.lit(day).cast("date").alias("date_"), type_.alias("type_"), name.alias("name"), value.alias("value")
     )
+    return metrics.where(F.col("value").isNotNull())
 
 
 def _histogram_rows(bins: DataFrame, type_: Column, day: date | None) -> DataFrame:

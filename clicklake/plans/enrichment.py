@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.operators import geo
 from clicklake.plans import query
-from clicklake.plans.inputs import GEO_SQL, events_with_ip, geo_ranges
+from clicklake.plans.inputs import GEO_SQL, events_with_ip, geo_ranges, nested_ranges
 
 FIELDS = ["countryName", "region", "city", "postalCode", "continent"]
 _LOOKUP_SQL = f"WITH {GEO_SQL} SELECT event_id, machine_ip, country, city, zone AS timezone FROM located"
@@ -30,6 +30,31 @@ def geo_range_join_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(spark, sf_dir, max_broadcast_rows=0)
 
 
+_NESTED_SQL = f"""WITH {GEO_SQL}, nested AS (
+  SELECT lo, hi, country FROM ranges UNION ALL SELECT lo + 100000, lo + 400000, country || ' inner' FROM ranges
+  UNION ALL SELECT lo + 550000, lo + 650000, country || ' edge' FROM ranges
+)
+SELECT event_id, machine_ip, min_by(country, hi - lo) AS country
+FROM ip LEFT JOIN nested ON ip_number BETWEEN lo AND hi GROUP BY event_id, machine_ip"""
+
+
+def _nested(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    located = geo.range_lookup(events_with_ip(spark, sf_dir), "machine_ip", nested_ranges(spark, sf_dir), **options)
+    return located.select("event_id", "machine_ip", F.col("geo.countryName").alias("country"))
+
+
+@query(_NESTED_SQL)
+def geo_nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping ranges: the narrowest one counts."""
+    return _nested(spark, sf_dir)
+
+
+@query(_NESTED_SQL)
+def geo_nested_ranges_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the way that broadcasts nothing."""
+    return _nested(spark, sf_dir, max_broadcast_rows=0)
+
+
 def _with_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.range_lookup(events_with_ip(spark, sf_dir), "machine_ip", geo_ranges(spark, sf_dir))
 
@@ -70,3 +95,17 @@ def geo_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 def client_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     local = geo.client_time(events_with_ip(spark, sf_dir), "ts", "machine_ip", geo_ranges(spark, sf_dir))
     return local.select("event_id", "ts", "timezone", "client_time")
+
+
+@query(
+    f"""WITH {GEO_SQL} SELECT event_id, CASE WHEN zone IS NULL OR zone = 'Asia/Tokyo' THEN 'America/New_York' ELSE zone END AS timezone,
+       CASE WHEN zone IS NULL OR zone = 'Asia/Tokyo' THEN ts ELSE timezone(zone, timezone('UTC', ts)) END AS client_time
+       FROM located"""
+)
+def client_time_bad_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of one region name a zone that does not exist."""
+    zone = F.col("geo.timezone")
+    bad = F.when(zone == "Asia/Tokyo", F.lit("Nowhere/Atall")).otherwise(zone)
+    ranges = geo_ranges(spark, sf_dir).withColumn("geo", F.col("geo").withField("timezone", bad))
+    local = geo.client_time(events_with_ip(spark, sf_dir), "ts", "machine_ip", ranges)
+    return local.select("event_id", "timezone", "client_time")

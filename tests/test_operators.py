@@ -19,28 +19,27 @@ def rows(df):
 
 
 @pytest.fixture(scope="module")
-def kids(spark):
-    data = [(40, "Mary", 1), (41, "Jane", 3), (42, "David", 3), (43, "Angela", 2), (44, "Charlie", 1),
-            (45, "Jimmie", 2), (46, "Lonely", 7)]
-    return projection.values_table(spark, data, "Id int, Name string, Team int")
+def tools(spark):
+    data = [("saw", 20), ("axe", 10), ("rake", 20), ("lamp", None), ("hoe", 10), ("file", 30), ("awl", 30), ("rope", 90)]
+    return projection.values_table(spark, data, "tool string, shelf int")
 
 
 @pytest.fixture(scope="module")
-def teams(spark):
-    data = [(1, "The Invincibles"), (2, "Dog Lovers"), (3, "Rock Stars"), (4, "The Non-existent Team")]
-    return projection.values_table(spark, data, "TeamId int, TeamName string")
+def shelves(spark):
+    data = [(10, "left"), (20, "middle"), (30, "right"), (40, "empty"), (50, "spare")]
+    return projection.values_table(spark, data, "number int, place string")
 
 
-ON = [("Team", "TeamId")]
+ON = [("shelf", "number")]
 
 
-def test_row_counts_of_joins(kids, teams):
-    assert joins.inner_join(kids, teams, ON).count() == 6
-    assert joins.left_join(kids, teams, ON).count() == 7
-    assert joins.right_join(kids, teams, ON).count() == 7
-    assert joins.full_join(kids, teams, ON).count() == 8
-    assert joins.semi_join(kids, teams, ON).count() == 6
-    assert rows(joins.anti_join(kids, teams, ON)) == [(46, "Lonely", 7)]
+def test_row_counts_of_joins(tools, shelves):
+    assert joins.inner_join(tools, shelves, ON).count() == 6
+    assert joins.left_join(tools, shelves, ON).count() == 8
+    assert joins.right_join(tools, shelves, ON).count() == 8
+    assert joins.full_join(tools, shelves, ON).count() == 10
+    assert joins.semi_join(tools, shelves, ON).count() == 6
+    assert rows(joins.anti_join(tools, shelves, ON)) == [("lamp", None), ("rope", 90)]
 
 
 @pytest.mark.parametrize("hot", [False, True])
@@ -60,9 +59,10 @@ def test_joins_equal_sparks_own_with_hot_and_null_keys(spark, hot):
     assert rows(joins.anti_join(left, right, on)) == rows(plain["left_anti"])
 
 
-def test_broadcast_only_below_the_limit(kids, teams, no_broadcast):
-    assert "BroadcastHashJoin" in plan(joins.inner_join(kids, joins.broadcast_if_small(teams, 4), ON))
-    assert "SortMergeJoin" in plan(joins.inner_join(kids, joins.broadcast_if_small(teams, 3), ON))
+def test_broadcast_only_below_the_limits(tools, shelves, no_broadcast):
+    assert "BroadcastHashJoin" in plan(joins.inner_join(tools, joins.broadcast_if_small(shelves, 5), ON))
+    assert "SortMergeJoin" in plan(joins.inner_join(tools, joins.broadcast_if_small(shelves, 4), ON))
+    assert joins.is_small(shelves, 5, max_bytes=1000) and not joins.is_small(shelves, 5, max_bytes=100)
 
 
 def test_hot_key_is_split_in_a_left_join(spark, no_broadcast):
@@ -129,6 +129,21 @@ def test_overlaps_are_found(spark):
     assert geo.overlapping_ranges(ranges).count() == 1
 
 
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_the_narrowest_of_overlapping_ranges_counts(spark, limit):
+    spans = [(0, 100), (10, 20), (20, 30), (15, 15), (40, 60), (50, 70), (80, 90), (80, 90), (65_000, 140_000), (66_000, 70_000)]
+    named = [(s, e, (f"r{i}", None, None)) for i, (s, e) in enumerate(spans)]
+    numbers = [0, 9, 10, 15, 16, 20, 21, 30, 31, 45, 50, 60, 61, 70, 71, 85, 100, 101, 65_999, 66_000, 70_001, 140_000, 140_001]
+    df = spark.createDataFrame([(n, f"0.{n >> 16}.{n >> 8 & 255}.{n & 255}") for n in numbers], "n int, ip string")
+    got = geo.range_lookup(df, "ip", spark.createDataFrame(named, GEO), max_broadcast_rows=limit).collect()
+
+    def narrowest(n):
+        fits = [(e - s, s, f"r{i}") for i, (s, e) in enumerate(spans) if s <= n <= e]
+        return min(fits)[2] if fits else None
+
+    assert {r.n: r.geo and r.geo.countryName for r in got} == {n: narrowest(n) for n in numbers} and len(got) == len(numbers)
+
+
 def test_large_range_tables_are_not_broadcast(spark, no_broadcast):
     df, ranges, _ = geo_case(spark)
     text = plan(geo.range_lookup(df, "ip", ranges, max_broadcast_rows=0))

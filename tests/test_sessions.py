@@ -20,18 +20,14 @@ NAMES = {"user": "user_id", "ts": "ts", "page": "page_key", "gap": GAP}
 
 def at(text: str) -> datetime:
     minute, second = text.split(":")
-    return datetime(2009, 12, 8, 15, int(minute), int(second))
+    return datetime(2021, 3, 4, 9, int(minute), int(second))
 
 
 FIRST = [
-    (1, "00:05", "1a"), (2, "00:15", "2a"), (2, "00:35", "2a"), (2, "01:05", "2b"), (2, "01:45", "2b"),
-    (2, "02:55", "2c"), (2, "03:55", "2d"), (2, "04:05", "2d"), (2, "04:15", "2d"), (2, "04:45", "2e"),
-    (4, "00:35", "4a"), (4, "00:55", "4a"), (4, "01:35", "4a"), (4, "01:45", "4b"), (4, "02:55", "4c"),
-]
-SECOND = [
-    (2, "05:05", "2e"), (2, "05:20", "2f"), (2, "05:55", "2f"), (2, "06:05", "2h"),
-    (4, "05:35", "4c"), (4, "06:45", "4c"), (4, "06:55", "4d"),
+    (5, "03:00", "s"), (5, "03:30", "s"), (7, "01:00", "x"), (7, "01:20", "y"), (7, "01:40", "x"), (7, "02:40", "z"),
+    (7, "09:30", "p"), (7, "09:50", "q"), (9, "09:25", "r"),
 ]
+SECOND = [(7, "10:15", "q"), (7, "11:00", "t"), (9, "10:05", "r")]
 
 
 def frame(spark, rows):
@@ -49,14 +45,15 @@ def expected(rows):
 def test_two_windows_with_carry(spark):
     first = ops.sessionize(frame(spark, FIRST), **NAMES)
     assert found(first) == expected([
-        (1, 0, "00:05", "00:05"), (2, 0, "00:15", "01:05"), (2, 1, "01:45", "01:45"), (2, 2, "02:55", "02:55"),
-        (2, 3, "03:55", "04:45"), (4, 0, "00:35", "01:25"), (4, 1, "01:35", "01:45"), (4, 2, "02:55", "02:55"),
+        (5, 0, "03:00", "04:00"), (7, 0, "01:00", "02:10"), (7, 1, "02:40", "02:40"), (7, 2, "09:30", "09:50"),
+        (9, 0, "09:25", "09:25"),
     ])
-    carry = ops.open_sessions(first, boundary=F.lit(at("05:00")), **NAMES)
-    assert [tuple(r) for r in carry.collect()] == [(2, at("04:45"), None, at("03:55"))]
+    carry = ops.open_sessions(first, boundary=F.lit(at("10:00")), **NAMES)
+    assert [tuple(r) for r in carry.collect()] == [(7, at("09:50"), None, at("09:30"))]
     second = ops.sessionize_next(frame(spark, SECOND), carry, **NAMES)
+    # The carry row alone would last until 10:20.
     assert found(second) == expected([
-        (2, 0, "03:55", "05:20"), (2, 1, "05:55", "06:05"), (4, 0, "05:35", "05:35"), (4, 1, "06:45", "06:55"),
+        (7, 0, "09:30", "10:20"), (7, 1, "11:00", "11:00"), (9, 0, "10:05", "10:05"),
     ])
 
 
