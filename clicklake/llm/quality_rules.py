@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clicklake.llm.common import NO_SPACE, filled, fresh, words
+from clicklake.sources.files import settled
 
 # Characters that count as symbols.
 SYMBOLS = "[#*$%&|<>]+"
@@ -126,5 +127,7 @@ def ablation(rows: DataFrame, policy: Sequence[str], bits: str = "failed_bits")
 
 def keep(docs: DataFrame, policy: Sequence[str] = POLICIES["web-1"], text: str = "text") -> DataFrame:
     """The rows that a policy accepts, with their own columns."""
-    to = fresh(docs, "__quality")
-    return measured(docs, text, to).where(passes(failed_bits(to), policy)).drop(to)
+    to, bits = fresh(docs, "__quality"), fresh(docs, "__failed_bits")
+    judged = measured(docs, text, to).withColumn(bits, failed_bits(to)).drop(to)
+    # Written first: Catalyst would push the filter down and copy all measurements into it, many times over.
+    return settled(judged).where(passes(F.col(bits), policy)).drop(bits)
