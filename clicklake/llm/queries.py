@@ -184,7 +184,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(None)
 def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = sentence_pieces.decode(sentence_pieces.encode(docs))
+    done = sentence_pieces.encode_and_decode(docs)
     digest = lambda text: F.sha2(text.cast("binary"), 256)
     return done.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),

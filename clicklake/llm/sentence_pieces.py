@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -32,9 +33,11 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Fixed value: what stands for a space in pieces.
 SPACE = "▁"
 #: Characters of distinct chunks that are indexed at a time.
-INDEXED = 1_000_000
-#: Chunks that a worker remembers.
-REMEMBERED = 400_000
+INDEXED = 250_000
+#: Chunks that a worker remembers for sure; up to twice as many are kept.
+REMEMBERED = 250_000
+#: Bytes of texts (or ids) that a worker turns into lists at a time; a single text may be longer.
+AT_A_TIME = 8_000_000
 #: Longer chunks are relaxed one by one, by a heap.
 LONG = 48
 #: Edges out of a position are told apart by their length, below this.
@@ -156,7 +159,9 @@ class Encoder:
         self.byte_ids, self.unknown = vocabulary.byte_ids, vocabulary.unknown
         one_word = not any(SPACE in p.lstrip(SPACE) for p in vocabulary.pieces)
         self.chunk = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if one_word else ".+", re.DOTALL)
+        # Two generations: what the older one holds moves to the newer when it is used, and the rest is forgotten.
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         out, start = [], 0
@@ -165,8 +170,10 @@ class Encoder:
             while start < len(texts) and size < INDEXED:
                 text = texts[start]
                 chunks = self.chunk.findall(SPACE + text.replace(" ", SPACE)) if text else []
-                for c in set(chunks):
-                    if c not in self.known and c not in new:
+                for c in set(chunks).difference(self.known):
+                    if c in self.older:
+                        self.known[c] = self.older[c]
+                    elif c not in new:
                         new[c] = None
                         size += len(c)
                 chunked.append(chunks)
@@ -176,7 +183,7 @@ class Encoder:
             of = self.known.__getitem__
             out += [list(chain.from_iterable(map(of, chunks))) for chunks in chunked]
             if len(self.known) > REMEMBERED:
-                self.known = {c: of(c) for chunks in chunked[-100:] for c in chunks}
+                self.known, self.older = {}, self.known
         return out
 
     def encode_chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
@@ -287,33 +294,68 @@ class Decoder:
 
 def encode(docs: DataFrame, text: str = "text", to: str = "token_ids", model: str = MODEL) -> DataFrame:
     """All columns plus the ids of a text."""
-    return _mapped(docs, text, to, model, ArrayType(IntegerType()), pa.list_(pa.int32()), lambda v: Encoder(v).encode)
+    return _mapped(docs, text, {to: IDS}, model, lambda v: lambda texts: [_worker(Encoder, v).encode(texts)])
 
 
 def decode(docs: DataFrame, ids: str = "token_ids", to: str = "decoded", model: str = MODEL) -> DataFrame:
     """All columns plus the text that ids stand for."""
-    def decoder(v):
-        one = Decoder(v).decode
-        return lambda rows: [one(r) for r in rows]
-    return _mapped(docs, ids, to, model, StringType(), pa.string(), decoder)
+    return _mapped(docs, ids, {to: TEXT}, model, lambda v: lambda rows: [[*map(_worker(Decoder, v).decode, rows)]])
 
 
-def _mapped(docs: DataFrame, column: str, to: str, model: str, kind, arrow_kind, make) -> DataFrame:
+def encode_and_decode(
+    docs: DataFrame, text: str = "text", to: str = "token_ids", back: str = "decoded", model: str = MODEL
+) -> DataFrame:
+    """All columns plus the ids of a text and the text they stand for, by one worker where two calls take two."""
+    def make(v):
+        def both(texts):
+            ids = _worker(Encoder, v).encode(texts)
+            return [ids, [*map(_worker(Decoder, v).decode, ids)]]
+        return both
+    return _mapped(docs, text, {to: IDS, back: TEXT}, model, make)
+
+
+IDS, TEXT = (ArrayType(IntegerType()), pa.list_(pa.int32())), (StringType(), pa.string())
+#: What the last task of this worker process has built, by its class; the next one goes on with it.
+_WORKERS: dict[type, tuple[Vocabulary, Encoder | Decoder]] = {}
+
+
+def _worker(kind: type, vocabulary: Vocabulary):
+    held = _WORKERS.get(kind)
+    if held is None or (held[0] is not vocabulary and held[0] != vocabulary):
+        held = (vocabulary, kind(vocabulary))
+    elif held[0] is not vocabulary:
+        held = (vocabulary, held[1])
+    _WORKERS[kind] = held
+    return held[1]
+
+
+def _parts(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``AT_A_TIME`` bytes of the column."""
+    column = batch.column(place)
+    sizes = pc.binary_length(column) if pa.types.is_string(column.type) else pc.multiply(pc.list_value_length(column), 4)
+    upto = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(upto // AT_A_TIME)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
+def _mapped(docs: DataFrame, column: str, to: dict[str, tuple], model: str, make) -> DataFrame:
     # The vocabulary has a fixed size.
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(model))
-    if fresh(docs, to) != to:
-        raise ValueError(f"column {to} exists already")
-    place = docs.columns.index(column)
+    for name in to:
+        if fresh(docs, name) != name:
+            raise ValueError(f"column {name} exists already")
+    place, kinds = docs.columns.index(column), [arrow for _, arrow in to.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = None
+        work = make(shared.value)
         for batch in batches:
-            work = work or make(shared.value)
-            values = batch.column(place).to_pylist()
-            there = iter(work([v for v in values if v is not None]))
-            result = pa.array([None if v is None else next(there) for v in values], arrow_kind)
-            names = [*batch.schema.names, to]
-            yield pa.RecordBatch.from_arrays([*batch.columns, result], names=names)
-
-    schema = StructType([*docs.schema.fields, StructField(to, kind)])
+            for part in _parts(batch, place):
+                values = part.column(place).to_pylist()
+                results = [iter(r) for r in work([v for v in values if v is not None])]
+                arrays = [pa.array([None if v is None else next(r) for v in values], k) for r, k in zip(results, kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=[*part.schema.names, *to])
+
+    schema = StructType([*docs.schema.fields, *(StructField(name, kind) for name, (kind, _) in to.items())])
     return docs.mapInArrow(run, schema)

@@ -41,7 +41,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and whether they decode to the text."""
     ids, back = fresh(docs, "token_ids"), fresh(docs, "decoded")
-    out = sentence_pieces.decode(sentence_pieces.encode(docs, to=ids), ids=ids, to=back)
+    out = sentence_pieces.encode_and_decode(docs, to=ids, back=back)
     return out.withColumn(fresh(docs, "round_trip"), F.col(back).eqNullSafe(F.col("text"))).drop(back)
 
 

@@ -134,10 +134,30 @@ def test_pieces_equal_the_library_and_round_trip(spark):
     got = sentence_pieces.decode(sentence_pieces.encode(frame)).orderBy("doc_id").collect()
     assert [r.token_ids for r in got[:-1]] == library.encode(texts)
     assert [r.decoded for r in got[:-1]] == texts and got[-1].token_ids is None and got[-1].decoded is None
+    both = sentence_pieces.encode_and_decode(frame).orderBy("doc_id").collect()
+    assert [(r.token_ids, r.decoded) for r in both] == [(r.token_ids, r.decoded) for r in got]
     with pytest.raises(ValueError, match="exists already"):
         sentence_pieces.encode(frame.withColumn("token_ids", F.lit(1)))
 
 
+def test_pieces_forget_and_cut_batches_without_a_trace(monkeypatch):
+    import pyarrow as pa
+
+    vocabulary = sentence_pieces.Vocabulary.read()
+    r = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in r.integers(0, 300, int(r.integers(0, 60)))) for _ in range(80)]
+    whole = sentence_pieces.Encoder(vocabulary).encode(texts)
+    monkeypatch.setattr(sentence_pieces, "INDEXED", 200)
+    monkeypatch.setattr(sentence_pieces, "REMEMBERED", 50)
+    few = sentence_pieces.Encoder(vocabulary)
+    assert few.encode(texts) == whole and len(few.known) <= 200
+    monkeypatch.setattr(sentence_pieces, "AT_A_TIME", 500)
+    for column in (pa.array([*texts, None, ""]), pa.array([*whole, None, []], pa.list_(pa.int32()))):
+        parts = list(sentence_pieces._parts(pa.RecordBatch.from_arrays([column], ["c"]), 0))
+        assert len(parts) > 10 and [x for p in parts for x in p.column(0).to_pylist()] == column.to_pylist()
+    assert not list(sentence_pieces._parts(pa.RecordBatch.from_arrays([pa.array([], pa.string())], ["c"]), 0))
+
+
 def test_url_rules_and_templates(spark):
     urls = [None, "no scheme", "http://A.net", "http://a.net/x", "https://x.EXAMPLE.net/en/1?q=/", "http://example.com/de/1",
             "http://org/fr/", "http://b.com/spam/77", "http://b.com/fine/3"]
