@@ -38,18 +38,19 @@ def session_window(
     spark: SparkSession, events: DataFrame, carry_in: str | None, end: datetime, gap: timedelta, out: str,
     carry_out: str,
 ) -> None:
-    """Sessions of one window of events (user_id, timestamp_, page_key).
+    """Closed sessions of one window of events (user_id, timestamp_, page_key).
 
     ``carry_in`` holds the sessions the window before left open, ``carry_out``
-    takes those that an event after ``end`` could still extend.
+    takes those that an event after ``end`` could still extend. Only the others
+    go to ``out``, so that each session is in the ``out`` of one window.
     """
     names = {"user": "user_id", "ts": "timestamp_", "page": "page_key", "gap": gap}
     if carry_in is None:
         found = sessions.sessionize(events, **names)
     else:
         found = sessions.sessionize_next(events, files.read_parquet(spark, carry_in), **names)
-    files.write_parquet(found, out)
-    found = files.read_parquet(spark, out)
+    found = files.settled(found)
+    files.write_parquet(sessions.closed_sessions(found, gap, F.lit(end)), out)
     files.write_parquet(sessions.open_sessions(found, boundary=F.lit(end), **names), carry_out)
 
 

@@ -52,11 +52,14 @@ def _page_views(df: DataFrame, keys: list[Column | str], ts: str, page: str | No
     )
 
 
-def _close_sessions(pages: DataFrame, user: str, gap: timedelta) -> DataFrame:
+def _close_sessions(pages: DataFrame, user: str, gap: timedelta, seen_until: Column | None = None) -> DataFrame:
     lasts_until = F.when(F.col("views") == 1, F.col("last_ts")).otherwise(F.col("last_ts") + F.lit(gap))
-    return pages.groupBy(user, "session_no").agg(
-        F.min("began").alias("session_min"), F.max(lasts_until).alias("session_max")
+    found = pages.groupBy(user, "session_no").agg(
+        F.min("began").alias("session_min"), F.max(lasts_until).alias("session_max"), F.max("last_ts").alias("_last")
     )
+    if seen_until is not None:
+        found = found.where(F.col("_last") + F.lit(gap) < seen_until)
+    return found.drop("_last")
 
 
 def session_fragments(
@@ -86,11 +89,13 @@ def number_cells(spans: DataFrame, user: str, gap: timedelta) -> DataFrame:
 
 
 def sessions_from_fragments(
-    fragments: DataFrame, user: str, page: str, gap: timedelta, spans: DataFrame | None = None
+    fragments: DataFrame, user: str, page: str, gap: timedelta, spans: DataFrame | None = None,
+    seen_until: Column | None = None,
 ) -> DataFrame:
     """(user, session_no, session_min, session_max) of fragments from a batch or a stream.
 
-    ``spans`` may give a cheaper way to the cells than the fragments themselves.
+    ``spans`` may give a cheaper way to the cells than the fragments themselves. Sessions that an event at
+    ``seen_until`` or later could extend are left out.
     """
     numbers = number_cells(fragments if spans is None else spans, user, gap)
     pages = (
@@ -98,7 +103,7 @@ def sessions_from_fragments(
         .groupBy(user, "session_no", page)
         .agg(F.sum("views").alias("views"), F.max("last_ts").alias("last_ts"), F.min("began").alias("began"))
     )
-    return _close_sessions(pages, user, gap)
+    return _close_sessions(pages, user, gap, seen_until)
 
 
 def sessionize(
@@ -160,6 +165,15 @@ def label_sessions(df: DataFrame, user: str, ts: str, gap: timedelta, hot_rows:
     return together(ordinary, hot)
 
 
+def _still_open(gap: timedelta, boundary: Column) -> Column:
+    return F.col("session_max") + F.lit(gap) > boundary
+
+
+def closed_sessions(sessions: DataFrame, gap: timedelta, boundary: Column) -> DataFrame:
+    """The sessions that :func:`open_sessions` leaves."""
+    return sessions.where(~F.coalesce(_still_open(gap, boundary), F.lit(False)))
+
+
 def open_sessions(
     sessions: DataFrame, user: str, ts: str, page: str, gap: timedelta, boundary: Column, prev_min: str = "prev_min"
 ) -> DataFrame:
@@ -168,7 +182,7 @@ def open_sessions(
     A carry row stands at the session's end, without a page, and remembers the
     session's start; put it in front of the next batch of events.
     """
-    still_open = sessions.where(F.col("session_max") + F.lit(gap) > boundary)
+    still_open = sessions.where(_still_open(gap, boundary))
     page_type = F.lit(None).cast("string")
     return still_open.select(
         F.col(user), F.col("session_max").alias(ts), page_type.alias(page), F.col("session_min").alias(prev_min)

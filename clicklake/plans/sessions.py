@@ -158,19 +158,26 @@ def lag_timestamp_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lagged(spark, sf_dir, hot_rows=10)
 
 
-_FINISHED_SQL = f"""{_PLAIN}
-  WHERE time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 12 HOUR
-        <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""
+# The end of the last cell that the watermark has closed. Sessions are those of all events; what such a
+# session's last event plus the gap does not reach is closed.
+_SEEN_SQL = """SELECT max(cell_end) FROM (
+    SELECT time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 12 HOUR AS cell_end FROM events)
+  WHERE cell_end <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""
 
 
-@query(f"WITH finished AS ({_FINISHED_SQL}), {_sessions_sql('s', 'finished')} SELECT * FROM s")
+@query(
+    f"""WITH plain AS ({_PLAIN}), {_sessions_sql('s', 'plain')}, last AS (
+  SELECT user_id, session_no, max(ts) AS last_ts FROM s_numbered GROUP BY user_id, session_no
+)
+SELECT s.* FROM s JOIN last USING (user_id, session_no) WHERE last_ts + INTERVAL 12 HOUR < ({_SEEN_SQL})"""
+)
 def stream_sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions of the cells a stream over the events table has closed."""
+    """The sessions that a stream over the events table has closed."""
     sessions = streamed_sessions(spark, _streamed(spark, sf_dir), "user_id", "event_type", GAP)
     return sessions.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_min", "session_max")})
 
 
-@query(_GAP_SQL.replace("FROM events\n)", f"FROM ({_FINISHED_SQL})\n)", 1))
+@query(f"SELECT * FROM ({_GAP_SQL}) WHERE session_end < ({_SEEN_SQL})")
 def stream_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same by the gap rule alone."""
     sessions = streamed_gap_sessions(spark, _streamed(spark, sf_dir), "user_id", GAP)

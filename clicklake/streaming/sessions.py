@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clicklake.functions.times import MICROSECOND
@@ -53,11 +53,24 @@ def start_fragments(fragments: DataFrame, table: str, checkpoint: str) -> Stream
     )
 
 
+def _seen(spark: SparkSession, table: str, gap: timedelta) -> tuple[DataFrame, Column]:
+    """The fragments, and the end of their last cell: events before it are all there. Null without fragments."""
+    fragments = spark.read.parquet(table)
+    last = fragments.agg(F.max(CELL)).first()[0]
+    end = None if last is None else last + cell_width(gap) // MICROSECOND
+    return fragments, F.timestamp_micros(F.lit(end).cast("long"))
+
+
 def streamed_sessions(spark: SparkSession, table: str, user: str, page: str, gap: timedelta) -> DataFrame:
-    """Sessions of all fragments a stream has written so far."""
-    return sessions_from_fragments(spark.read.parquet(table), user, page, gap)
+    """The closed sessions of all fragments a stream has written so far.
+
+    Sessions that events still to come could extend are left out until they are closed.
+    """
+    fragments, end = _seen(spark, table, gap)
+    return sessions_from_fragments(fragments, user, page, gap, seen_until=end)
 
 
 def streamed_gap_sessions(spark: SparkSession, table: str, user: str, gap: timedelta) -> DataFrame:
     """The same by the gap rule alone, where sessions end one gap after their last event."""
-    return gap_sessions_from_fragments(spark.read.parquet(table), user, gap)
+    fragments, end = _seen(spark, table, gap)
+    return gap_sessions_from_fragments(fragments, user, gap).where(F.col("session_end") < end)

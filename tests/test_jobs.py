@@ -36,18 +36,18 @@ def csv_rows(spark, path, header=True):
 def posts(spark, at):
     """Gzipped JSON lines below a folder per hour."""
     lines = [
-        ("08", 1, "c.1", f"https://{SITE}/a", f"https://{SITE}/b", "?source=x", "0.0.0.1"),
-        ("08", 2, "c.1", f"https://{SITE}/b", f"https://{SITE}/a", None, "0.0.0.1"),
-        ("09", 3, "c.2", "https://else.example", f"https://{SITE}/a", None, "9.9.9.9"),
-        ("09", 4, "d.1", f"https://{SITE}/b/c", f"https://{SITE}/a", None, None),
+        ("13", 1, "c.1", f"https://{SITE}/a", f"https://{SITE}/b", "?source=x", "0.0.0.1"),
+        ("13", 2, "c.1", f"https://{SITE}/b", f"https://{SITE}/a", None, "0.0.0.1"),
+        ("14", 3, "c.2", "https://else.example", f"https://{SITE}/a", None, "9.9.9.9"),
+        ("14", 4, "d.1", f"https://{SITE}/b/c", f"https://{SITE}/a", None, None),
     ]
     for hour, number, cookie, referrer, url, params, ip in lines:
-        record = {"req_time": f"2020-12-27T{hour}:00:0{number}.000000Z", "session_cookie": cookie, "referrer": referrer,
+        record = {"req_time": f"2021-03-04T{hour}:00:0{number}.000000Z", "session_cookie": cookie, "referrer": referrer,
                   "url": url, "url_params": params, "machine_ip": ip, "page_key": str(number),
-                  "page_type": "responsive" if number != 3 else None, "user_agent": NATIVE if number < 3 else f"'{CHROME}'"}
+                  "page_type": "wide" if number != 3 else None, "user_agent": NATIVE if number < 3 else f"'{CHROME}'"}
         text = json.dumps({k: v for k, v in record.items() if v is not None})
         spark.createDataFrame([(text,)], "value string").write.mode("append").option("compression", "gzip").text(
-            at(f"posts/2020/12/27/{hour}")
+            at(f"posts/2021/03/04/{hour}")
         )
     return at("posts")
 
@@ -70,21 +70,21 @@ def test_visit_jobs(spark, posts, ranges, at):
     jobs.client_time(spark, posts, ranges, SITE, at("local"))
     local = spark.read.parquet(at("local")).select("page_key", "timezone", "client_time")
     assert rows(local) == [
-        ("1", "Asia/Tokyo", datetime(2020, 12, 27, 17, 0, 1)), ("2", "Asia/Tokyo", datetime(2020, 12, 27, 17, 0, 2)),
-        ("4", "America/New_York", datetime(2020, 12, 27, 9, 0, 4)),
+        ("1", "Asia/Tokyo", datetime(2021, 3, 4, 22, 0, 1)), ("2", "Asia/Tokyo", datetime(2021, 3, 4, 22, 0, 2)),
+        ("4", "America/New_York", datetime(2021, 3, 4, 14, 0, 4)),
     ]
 
 
 def test_hourly_table(spark, posts, at):
-    hours = {("2020-12-27", h): f"{posts}/2020/12/27/{h}" for h in ("08", "09")}
+    hours = {("2021-03-04", h): f"{posts}/2021/03/04/{h}" for h in ("13", "14")}
     jobs.hourly_table(spark, hours, "hourly_posts", at("hourly"))
-    assert spark.sql("SELECT count(1) FROM hourly_posts WHERE hour = '08'").first()[0] == 2
-    leafs = read_partition_leafs(spark, at("hourly"), ["date_=2020-12-27/hour=08", "date_=2020-12-27/hour=09"])
+    assert spark.sql("SELECT count(1) FROM hourly_posts WHERE hour = '13'").first()[0] == 2
+    leafs = read_partition_leafs(spark, at("hourly"), ["date_=2021-03-04/hour=13", "date_=2021-03-04/hour=14"])
     assert leafs.count() == 4 and {"date_", "hour"} < set(leafs.columns)
 
 
 def test_agent_jobs(spark, posts, at):
-    jobs.agent_inventory(spark, f"{posts}/*/*/*/*/*.gz", "responsive", APP, "nr", at("agents"), at("attributes"))
+    jobs.agent_inventory(spark, f"{posts}/*/*/*/*/*.gz", "wide", APP, "nr", at("agents"), at("attributes"))
     assert csv_rows(spark, at("agents"), header=False) == [(NATIVE,), (CHROME,)]
     assert csv_rows(spark, at("attributes")) == [(NATIVE, "iOS", "12.1", "NewsReader", "5.0", "Phone", None)]
     agents = [(f'"{NATIVE}"',), (CHROME,), (None,)]
@@ -93,19 +93,32 @@ def test_agent_jobs(spark, posts, at):
     assert csv_rows(spark, at("own")) == [("iOS", "12.1", "NewsReader", "5.0")]
 
 
-def test_session_windows(spark, at):
+def test_session_windows_report_each_session_once(spark, at):
     def second(s):
-        return datetime(2009, 12, 8, 15, s // 60, s % 60)
+        return datetime(2022, 5, 17, 11, s // 60, s % 60)
 
     def events(data):
         return spark.createDataFrame([(u, second(s), p) for u, s, p in data], "user_id int, timestamp_ timestamp, page_key string")
 
-    gap = timedelta(seconds=30)
-    first, second_part = events([(2, 235, "d"), (2, 245, "d"), (2, 285, "e"), (4, 10, "a")]), events([(2, 305, "e")])
-    jobs.session_window(spark, first, None, second(300), gap, at("s1"), at("c1"))
-    jobs.session_window(spark, second_part, at("c1"), second(600), gap, at("s2"), at("c2"))
-    # Both sessions of user 2 are open and meet in the next window, carry rows at 275 and 285 s, without pages.
-    assert rows(spark.read.parquet(at("s2"))) == [(2, 0, second(235), second(315))]
+    gap = timedelta(seconds=40)
+    # User 7 leaves page m once; user 5 sees page m twice up to 530 s and goes on in the second window.
+    parts = [
+        (events([(7, 100, "m"), (5, 500, "m"), (5, 530, "m")]), 600),
+        (events([(5, 601, "n"), (9, 650, "m")]), 700),
+        (events([(8, 1000, "m")]), 1200),
+    ]
+    carry, found = None, []
+    for number, (part, end) in enumerate(parts):
+        jobs.session_window(spark, part, carry, second(end), gap, at(f"s{number}"), at(f"c{number}"))
+        carry = at(f"c{number}")
+        found.append(rows(spark.read.parquet(at(f"s{number}"))))
+    # Its session ends at 570 s by page m, is carried from there, and is extended by the visit 31 s later.
+    assert found[0] == [(7, 0, second(100), second(100))]
+    assert (5, 0) not in {r[:2] for r in found[0]} and spark.read.parquet(at("c0")).count() == 1
+    everyone = sorted(r for window in found for r in window)
+    assert [(r[0], r[2]) for r in everyone] == [
+        (5, second(500)), (7, second(100)), (8, second(1000)), (9, second(650)),
+    ]
     assert spark.read.parquet(at("c2")).isEmpty()
 
 
