@@ -38,7 +38,6 @@ def growth_curve(
 
     A key's first row has growth 0. ``order`` is a whole number.
     """
-    position = F.col(order).cast("bigint")
-    lagged = lag_by_key(df.select(key, order, count), [key], [order], count, "_previous", position, hot_rows)
+    lagged = lag_by_key(df.select(key, order, count), [key], [order], count, "_previous", hot_rows)
     pct = F.coalesce(growth(F.col(count), F.col("_previous")), F.lit(0.0))
     return lagged.where(F.col(order) >= 0).groupBy(order).agg(F.avg(pct).alias("avg_pct"))

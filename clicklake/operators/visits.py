@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clicklake.functions.text import has_query_param, session_key, strip_quotes, with_page_category
-from clicklake.functions.times import epoch_micros
 from clicklake.functions.user_agent import AppNames, agent_class, with_agent_columns
 from clicklake.operators.aggregates import count_by, distinct_values
 from clicklake.operators.skew import HOT_ROWS
@@ -40,9 +39,7 @@ def back_navigation(
     visits = with_source(site_visits(df, ts, referrer, site), referrer, params, site).withColumn(
         "session_key", session_key(F.col(cookie))
     )
-    lagged = lag_by_key(
-        visits, ["session_key"], [ts, tiebreak], referrer, "previous_referrer", epoch_micros(visits, ts), hot_rows
-    )
+    lagged = lag_by_key(visits, ["session_key"], [ts, tiebreak], referrer, "previous_referrer", hot_rows)
     back = F.when(F.col(url).contains(F.col("previous_referrer")), 1).otherwise(0)
     return lagged.withColumn("is_back", back).select(
         ts, tiebreak, "session_key", referrer, url, params, "previous_referrer", "is_back", "has_source_param"

@@ -13,33 +13,42 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clicklake.operators.joins import null_safe_join
 from clicklake.operators.skew import HOT_ROWS, split_hot, together
+from clicklake.sources.files import settled
+
+
+#: Slices of hot keys hold about so many rows at least.
+LEAST_SLICE = 10_000
 
 
 def lag_by_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, position: Column,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, hot_rows: int = HOT_ROWS,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """``lag(value)`` per key, in ``order``.
 
-    ``position`` is a whole number that does not decrease along ``order``, say
-    its first column in microseconds. Keys with more than ``hot_rows`` rows are
-    windowed in slices: the span of a key's positions is cut into as many as
-    its rows make multiples of ``hot_rows``. ``order`` should be unique per
-    key; ties are cut arbitrarily, as in any lag.
+    Keys with more than ``hot_rows`` rows are windowed in slices of about ``slice_rows`` rows (by default
+    ``hot_rows``, but ``LEAST_SLICE`` at least). ``order`` should be unique per key; ties are cut arbitrarily, as in
+    any lag, and rows that tie in all of ``order`` share a slice.
     """
-    measures = [F.count("*").alias("_rows"), F.min(position).alias("_low"), F.max(position).alias("_high")]
-    ordinary, hot = split_hot(df, keys, hot_rows, measures)
+    ordinary, hot = split_hot(df, keys, hot_rows)
     if ordinary is not None:
         ordinary = ordinary.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
     if hot is not None:
-        slices = F.ceil(F.col("_rows") / F.lit(max(hot_rows, 1)))
-        width = F.floor((F.col("_high") - F.col("_low")) / slices) + 1
-        offset = position - F.col("_low")
-        sliced = hot.withColumn("_slice", offset - F.pmod(offset, width)).drop("_rows", "_low", "_high")
-        hot = _lag_in_slices(sliced, keys, order, value, out)
+        hot = _lag_in_slices(slices(hot, keys, order, slice_rows or max(hot_rows, LEAST_SLICE)), keys, order, value, out)
     return together(ordinary, hot)
 
 
+def slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int) -> DataFrame:
+    """All rows with a ``_slice`` that ascends along ``keys`` and ``order``.
+
+    The slices are ranges that Spark draws from a sample of the rows, so they hold about as many rows each however
+    the rows lie in time. They are written once: computed anew, ranges might fall otherwise.
+    """
+    n = max(2, -(-df.count() // slice_rows))
+    ranged = df.repartitionByRange(n, *keys, *order)
+    return settled(ranged.withColumn("_slice", F.spark_partition_id()))
+
+
 def _lag_in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """The last value of a slice enters the key's next slice as an extra first row.
 

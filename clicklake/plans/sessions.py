@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.operators import sessions as ops
 from clicklake.operators.windows import lag_by_key, with_group_totals
-from clicklake.functions.times import epoch_micros
 from clicklake.plans import query
 from clicklake.plans.inputs import table
 from clicklake.sources.files import read_parquet, shared_dir, write_parquet
@@ -144,8 +143,7 @@ SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, ev
 
 def _lagged(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    position = epoch_micros(events, "ts")
-    return lag_by_key(events, ["user_id"], ["ts", "event_id"], "ts", "lag_ts", position, **options)
+    return lag_by_key(events, ["user_id"], ["ts", "event_id"], "ts", "lag_ts", **options)
 
 
 @query(_LAG_SQL)

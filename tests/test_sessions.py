@@ -8,10 +8,9 @@ import pytest
 from conftest import plan
 from pyspark.sql import functions as F
 
-from clicklake.functions.times import epoch_micros
 from clicklake.operators import sessions as ops
 from clicklake.operators.skew import split_hot
-from clicklake.operators.windows import lag_by_key, with_group_totals
+from clicklake.operators.windows import lag_by_key, slices, with_group_totals
 
 GAP = timedelta(seconds=30)
 SCHEMA = "user_id int, ts timestamp, page_key string"
@@ -175,7 +174,7 @@ def test_lag_by_key_equals_a_plain_lag(spark, hot_rows):
         for i in range(3000)
     ]
     df = spark.createDataFrame(rows, "k string, ts timestamp, id int, v string")
-    got = lag_by_key(df, ["k"], ["ts", "id"], "v", "before", epoch_micros(df, "ts"), hot_rows)
+    got = lag_by_key(df, ["k"], ["ts", "id"], "v", "before", hot_rows, 100)
     plain = df.selectExpr("*", "lag(v) over (partition by k order by ts, id) as before")
     assert got.columns == plain.columns
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
@@ -183,11 +182,21 @@ def test_lag_by_key_equals_a_plain_lag(spark, hot_rows):
 
 def test_lag_shuffles_hot_rows_by_slice(spark, no_broadcast):
     df = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
-    text = plan(lag_by_key(df, ["user_id"], ["ts"], "value", "before", epoch_micros(df, "ts"), hot_rows=0))
+    text = plan(lag_by_key(df, ["user_id"], ["ts"], "value", "before", hot_rows=0))
     assert "hashpartitioning(user_id#" in text and "_slice" in text
     assert text.count("Window [lag") == 1
 
 
+@pytest.mark.parametrize("second", ["0", "if(id = 0, -1000000000, id)", "id * id"])
+def test_slices_are_even_however_rows_lie_in_time(spark, second):
+    """Equal times, a burst with one clock of long ago, and times that spread out."""
+    df = spark.range(20_000).selectExpr("'hot' as k", f"timestamp_seconds({second}) as ts", "id")
+    sizes = slices(df, ["k"], ["ts", "id"], 2000).groupBy("_slice").agg(F.count("*").alias("n"), F.min("id").alias("low"))
+    found = sizes.orderBy("_slice").collect()
+    assert len(found) == 10 and max(r.n for r in found) < 4000 and sum(r.n for r in found) == 20_000
+    assert [r.low for r in found] == sorted(r.low for r in found)
+
+
 def test_group_totals_keep_null_groups(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 5)], "k string, v int")
     got = with_group_totals(df, {("k",): [F.max("v").alias("top"), F.count("*").alias("n")]})
