@@ -185,7 +185,7 @@ def app_agents(spark: SparkSession, agents: str, app: AppNames, out: str) -> Non
     read = files.read_csv(spark, agents, schemas.USER_AGENTS)
     read = read.withColumn("user_agent", strip_quotes(F.col("user_agent")))
     own = visits.enrich_agents(read.where(F.col("user_agent").contains(app.product)), "user_agent", app)
-    files.write_csv(own.select(AGENT_FIELDS), out, single_file=True)
+    files.write_csv(own.select(AGENT_FIELDS), out)
 
 
 def agent_inventory(
