@@ -141,17 +141,33 @@ class Signer:
         chosen, raised = _allocated(cost, counts, np.bincount(segment[frequency == 0], minlength=m), needed, small)
         role = np.where(chosen, PROBE, 0) | (INDEX if own_band else 0)
         take = role > 0
-        salts = np.where(np.isinf(cost), 1, np.maximum(1, cost / GROUP_ROWS)).astype(np.int64)
+        salts = _salts(cost)
         out = [(mixed(mixed(base) ^ sums)[take], role[take], salts[take])]
         if small:
             there = segment[order]
             less = np.where(raised[there], PROBE_LESS, 0) | (INDEX_LESS if own_band else 0)
             on = less > 0
             left = sums[there] - values
-            out.append((mixed(mixed(base[there]) ^ left)[on], less[on], salts[there][on]))
+            out.append((mixed(mixed(base[there]) ^ left)[on], less[on], _salts_less(frequency[order], there, starts, counts[full])[on]))
         return out
 
 
+def _salts(cost: np.ndarray) -> np.ndarray:
+    """Into how many parts the rows of a signature are dealt: all that have it must say the same."""
+    return np.where(np.isinf(cost), 1, np.maximum(1, cost / GROUP_ROWS)).astype(np.int64)
+
+
+def _salts_less(frequency: np.ndarray, segment: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The salts of segments less each one of their tokens, as a set of just the other tokens has them."""
+    if not len(frequency) or frequency.max() < 2 * GROUP_ROWS:
+        return np.ones(len(segment), np.int64)
+    least = np.repeat(np.minimum.reduceat(frequency, starts), counts)
+    is_least = frequency == least
+    alone = is_least & (np.repeat(np.add.reduceat(is_least.astype(np.int64), starts), counts) == 1)
+    second = np.repeat(np.minimum.reduceat(np.where(is_least, np.inf, frequency), starts), counts)
+    return _salts(np.where(alone, second, least))
+
+
 def _allocated(cost, counts, rare, needed: int, small: bool) -> tuple[np.ndarray, np.ndarray]:
     """Which segments to probe with, and which of them count twice, so that the counts reach ``needed``."""
     m = len(cost)
@@ -217,13 +233,13 @@ def _frequent(docs: DataFrame, classes: DataFrame, n_classes: int) -> tuple[np.n
 
 
 def _signature_rows(docs: DataFrame, frequent, large: dict[int, int]) -> DataFrame:
-    """(signature, salt, id, n, role) of all documents but the further members of large classes."""
+    """(signature, salt, salts, id, n, role) of all documents but the further members of large classes."""
     shared = docs.sparkSession.sparkContext.broadcast((*frequent, large))
 
     def make(ids, texts):
         tokens, estimates, large = shared.value
         signer = Signer(tokens, estimates)
-        out = [[np.zeros(0, np.int64)] for _ in range(5)]
+        out = [[np.zeros(0, np.int64)] for _ in range(6)]
         for i, text in zip(ids, texts):
             own = shingles(text)
             if i is None or large.get(xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63), i) != i:
@@ -231,13 +247,14 @@ def _signature_rows(docs: DataFrame, frequent, large: dict[int, int]) -> DataFra
             mine = int(mixed(np.array([i & (1 << 63) - 1], np.uint64))[0] >> np.uint64(20))
             for signature, role, salts in signer.signatures(own):
                 n = len(signature)
-                for column, values in zip(out, (_signed(signature), mine % salts, np.full(n, i), np.full(n, len(own)), role)):
+                parts = (_signed(signature), mine % salts, salts, np.full(n, i), np.full(n, len(own)), role)
+                for column, values in zip(out, parts):
                     column.append(values)
         return [np.concatenate(column) for column in out]
 
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
-    names = ["signature", "salt", "id", "n", "role"]
-    return _mapped(docs, "signature long, salt int, id long, n int, role int", names, kinds, make)
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+    names = ["signature", "salt", "salts", "id", "n", "role"]
+    return _mapped(docs, "signature long, salt int, salts int, id long, n int, role int", names, kinds, make)
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -245,10 +262,8 @@ def _shared(rows: DataFrame) -> DataFrame:
     one = Window.partitionBy("signature", "salt")
     probes = F.col("role").bitwiseAND(PROBE | PROBE_LESS) > 0
     marked = rows.withColumns({"most": F.max("id").over(one), "least": F.min("id").over(one), "any": F.max(probes).over(one)})
-    # Salted groups hold part of a signature's rows, so that nothing can be said yet; a salt above 0 tells of one.
-    salted = F.max("salt").over(one) > 0
-    marked = marked.withColumn("salted", salted)
-    return marked.where("salted OR (least < most AND any)").select("signature", "id", "n", "role")
+    # Salted groups hold part of a signature's rows, so that nothing can be said yet, also of those with salt 0.
+    return marked.where("salts > 1 OR (least < most AND any)").select("signature", "id", "n", "role")
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:

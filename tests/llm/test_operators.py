@@ -105,6 +105,51 @@ def test_ngram_groups_equal_brute_force(spark):
     assert ngram_join.keep_one(docs(spark, texts)).count() == len(set(map(find, range(len(texts)))))
 
 
+def test_ngram_salts_lose_no_links(spark, monkeypatch):
+    from pyspark import cloudpickle
+
+    # Every token is frequent and all signatures are salted, but few documents share the same frequent tokens.
+    monkeypatch.setattr(ngram_join, "GROUP_ROWS", 1)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 2)
+    r = np.random.default_rng(6)
+    passages = [[f"p{k}x{x}" for x in range(int(r.integers(6, 12)))] for k in range(12)]
+    texts = []
+    for _ in range(40):
+        chosen = r.choice(12, int(r.integers(3, 6)), replace=False)
+        base = [w for k in chosen for w in passages[k]]
+        copy = list(base)
+        copy[int(r.integers(0, len(copy)))] = "new"
+        texts += [" ".join(base), " ".join(copy), " ".join(base[1:])]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    root = list(range(len(texts)))
+    def find(x):
+        return x if root[x] == x else find(root[x])
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    cloudpickle.register_pickle_by_value(ngram_join)  # so that workers get the patched values
+    try:
+        got = {r.doc_id: r.component_id for r in ngram_join.grouped(docs(spark, texts)).collect()}
+    finally:
+        cloudpickle.unregister_pickle_by_value(ngram_join)
+    assert got == {i: find(i) for i in range(len(texts))}
+
+
+def test_ngram_salts_agree_for_sets_less_a_token(monkeypatch):
+    monkeypatch.setattr(ngram_join, "GROUP_ROWS", 4)
+    r = np.random.default_rng(7)
+    for _ in range(100):
+        own = np.unique(r.integers(0, 1 << 62, 40).astype(np.uint64))
+        signer = ngram_join.Signer(own, r.choice([0.0, 9.0, 20.0, 50.0], len(own)))
+        said = {}
+        for one in [own, *[np.delete(own, k) for k in range(6)]]:
+            for signature, _, salts in signer.signatures(one):
+                for x, y in zip(signature.tolist(), salts.tolist()):
+                    assert said.setdefault(x, y) == y
+
+
 def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
     r = np.random.default_rng(4)
     for _ in range(200):
