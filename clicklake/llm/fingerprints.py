@@ -19,7 +19,7 @@ from clicklake.llm.common import filled
 from clicklake.llm.sharding import _at_or_below
 from clicklake.sources.files import settled
 
-SAMPLES = 24
+SAMPLES = 64
 ROWS_PER_RANGE = 1000
 #: Ranges of ids, and so the boundaries that the driver holds. Beyond, ranges grow and spill; results stay the same.
 MOST_RANGES = 10_000

@@ -243,6 +243,23 @@ def test_fingerprints_estimate_the_weighted_jaccard(spark):
     assert got[0] == got[2] and got[3] == got[4] and abs(alike - true) < 0.12
 
 
+def test_fingerprints_as_shipped_are_near_the_weighted_jaccard(spark):
+    r = np.random.default_rng(9)
+    texts, true = [], []
+    for k in range(300):
+        base = [f"a{k}x{x}" for x in r.integers(0, 150, 200)]
+        edit = [w if x > r.uniform(0.05, 0.3) else f"b{k}x{i}" for i, (w, x) in enumerate(zip(base, r.random(200)))]
+        a, b = Counter(base), Counter(edit)
+        true.append(sum((a & b).values()) / sum((a | b).values()))
+        texts += [" ".join(base), " ".join(edit)]
+    rows = docs(spark, texts).select("doc_id", "text")
+    got = {x.doc_id: x.codes for x in fingerprints.fingerprinted(rows, ["doc_id"], "text").collect()}
+    read = [np.mean([x == y for x, y in zip(got[2 * k], got[2 * k + 1])]) for k in range(300)]
+    error = np.array(read) - np.array(true)
+    print("mean", error.mean(), "root mean square", np.sqrt((error**2).mean()), "true", np.mean(true))
+    assert abs(error.mean()) < 0.015 and np.sqrt((error**2).mean()) < 0.065
+
+
 def test_fingerprints_of_edited_texts(spark):
     texts = ["abcd efgh", None, "xyz", "", "last one here"]
     got = {r.doc_id: r for r in fingerprints.compared(docs(spark, texts)).collect()}
