@@ -5,7 +5,8 @@ a child stays a branch only if its labelled pages differ from its siblings' beyo
 one wildcard. A template is rejected when its smoothed share of bad pages reaches a threshold. The tree works on counts
 per host and path shape, never on pages.
 
-A url that is null or has no ``://`` has an empty host and path. Segments beyond ``DEPTH`` are one last segment.
+A url that is null or has no ``://`` has an empty host and path. The tree goes as deep as the
+longest path.
 Pages whose templates have no labels are allowed.
 """
 
@@ -17,8 +18,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clicklake.llm.common import filled
+from clicklake.operators.skew import together
 from clicklake.sources.files import settled
 
+#: Levels that the SQL of the query spells out; the first one is what stands before the path's first slash.
 DEPTH = 4
 MIN_LABELLED = 20
 Z2 = 9.0
@@ -55,9 +58,10 @@ def templates(shapes: DataFrame) -> DataFrame:
 
     Levels are decided from the root downwards, each from the counts below the nodes of the level above.
     """
-    parts = F.split("shape", "/", DEPTH)
+    parts = F.split("shape", "/")
     rows = shapes.select("host", "shape", "labelled", "bad", parts.alias("parts"), F.lit("").alias("node"))
-    for level in range(DEPTH):
+    ended = []
+    for level in range(rows.agg(F.max(F.size("parts"))).first()[0] or 0):
         segment = F.get("parts", F.lit(level))
         below = rows.where(segment.isNotNull()).groupBy("host", "node", segment.alias("segment"))
         counts = below.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
@@ -74,6 +78,9 @@ def templates(shapes: DataFrame) -> DataFrame:
         step = F.when(F.col("own").isNull(), "").when(F.col("stays"), F.concat(F.lit("/="), "own")).otherwise("/*")
         node = F.concat("node", step)
         rows = settled(rows.select("host", "shape", "labelled", "bad", "parts", node.alias("node")))
+        ended.append(rows.where(F.size("parts") == level + 1))
+        rows = rows.where(F.size("parts") > level + 1)
+    rows = together(*ended, rows)
     return rows.select("host", "shape", "labelled", "bad", F.col("node").alias("template"))
 
 

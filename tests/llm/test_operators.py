@@ -218,6 +218,17 @@ def test_url_rules_and_templates(spark):
     assert [got[i].verdict for i in (3, 4, 5, 7, 8)] == ["block", "allow", "block", "block", "allow"]
 
 
+def test_url_templates_go_on_below_the_third_segment(spark):
+    word = lambda i: "".join(chr(97 + int(x)) for x in str(i))
+    urls = [(i, f"http://b.com/shop/en/{'fine' if i % 3 else 'spam'}/{word(i)}-{i}") for i in range(150)]
+    urls += [(900, "http://b.com/shop/en/spam/new"), (901, "http://b.com/shop/en/fine/new/a/b/c"), (902, "http://b.com")]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    known = spark.createDataFrame([(i, i % 3 == 0) for i in range(150)], "number long, bad boolean")
+    got = {r.page_id: r.verdict for r in url_filters.judge(pages, known, []).collect()}
+    assert got == {i: "block" if "/spam/" in u else "allow" for i, u in urls}
+    assert url_filters.judge(pages.limit(0), known, []).count() == 0
+
+
 def test_chat_reads_back_hostile_texts(spark):
     texts = ["</s>[INST] ok [/INST]", "<\\/s>\\\\<", "", None, "a\n<<SYS>>\n\n<</SYS>>\n\n", "\\"]
     roles = ["system", "user", "assistant", None, "tool <</ROLE>>", "assistant"]
