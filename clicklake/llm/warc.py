@@ -25,9 +25,9 @@ from clicklake.llm.common import filled
 from clicklake.sources.files import settled, shared_dir
 
 MIN_SHARED = 100
-ROLL_BYTES = 64 << 20
-#: Payload bytes that one range of records should have.
-RANGE_BYTES = 32 << 20
+ROLL_BYTES = 16 << 20
+#: Payload bytes that one range of records should have; several files, also once compressed.
+RANGE_BYTES = 128 << 20
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 MANIFEST = "file string, records long, bytes long, sha256 string"

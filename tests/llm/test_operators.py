@@ -312,6 +312,14 @@ def test_archives_roll_and_refer(spark, tmp_path):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, manifest.collect()))
 
 
+def test_archives_roll_as_shipped(spark, tmp_path):
+    # Hex digits take half their size, so that 40 MB roll at least once within the range planned for them.
+    payload = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(16384)), lambda i: F.sha2(F.concat_ws(":", "id", i).cast("binary"), 256)), "")
+    pages = spark.range(40, numPartitions=4).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), payload.alias("html"))
+    files = {r.file: r.records for r in warc.write(warc.records(pages), f"file://{tmp_path}/w").collect()}
+    assert len(files) > 1 and sum(files.values()) == 40 and "part-000000-00001.warc.gz" in files
+
+
 @pytest.mark.parametrize("name", ["op1_quality_rules", "op3_sharding", "op5_mixing", "op6_url_filters", "op7_chat_format", "op9_fingerprints"])
 def test_native_plans_hold_no_python(spark, name):
     text = CATALOG.queries[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
