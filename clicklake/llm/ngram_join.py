@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
+from clicklake.llm.common import fresh
 from clicklake.sources.files import settled
 
 SHINGLE = 5
@@ -375,7 +376,20 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group, that of the smallest id, with its own columns. Rows without an id stay."""
-    groups = grouped(docs, key, text)
-    gone = groups.where(F.col("component_id") != F.col(key)).select(F.col(key)).distinct()
-    return docs.join(gone, key, "left_anti")
+    """One row of each group, with its own columns: of the smallest id, and of its rows the one of the least text.
+
+    Rows without an id get one made of a hash of the row, above ids as they commonly are, and are grouped like others.
+    """
+    node, columns = fresh(docs, "__node"), [F.col(c) for c in docs.columns]
+    content = F.xxhash64(*columns)
+    made = content.bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
+    rows = docs.withColumn(node, F.coalesce(F.col(key).cast("long"), made))
+    groups = settled(grouped(rows, node, text))
+    gone = groups.where(F.col("component_id") != F.col(node)).select(node).distinct()
+    repeated = settled(groups.groupBy(node).count().where("count > 1").select(node))
+    left = rows.join(gone, node, "left_anti")
+    # Only ids with several rows need an aggregate over texts.
+    several = left.join(repeated, node, "left_semi").groupBy(node).agg(
+        F.min_by(F.struct(*columns), F.struct(F.coalesce(F.col(text), F.lit("")), content)).alias("row")
+    )
+    return left.join(repeated, node, "left_anti").select(*columns).union(several.select("row.*"))

@@ -137,6 +137,19 @@ def test_ngram_salts_lose_no_links(spark, monkeypatch):
     assert got == {i: find(i) for i in range(len(texts))}
 
 
+def test_keep_one_leaves_one_row_of_repeated_and_missing_ids(spark):
+    r = np.random.default_rng(10)
+    a, b, c = (" ".join(f"{k}{x}" for x in r.integers(0, 900, 60)) for k in "abc")
+    rows = [(1, a, "en", "s", 1), (1, a, "en", "s", 1), (1, a, "de", "s", 1), (2, a, "en", "t", 1), (None, a, "en", "s", 1),
+            (None, b, "en", "s", 1), (None, b, "en", "s", 1), (None, b, "en", "t", 1), (5, c, "en", "s", 1), (None, "", "en", "s", 1)]
+    frame = spark.createDataFrame(rows, DOCS)
+    got = ngram_join.keep_one(frame)
+    assert got.columns == frame.columns
+    assert sorted((x.doc_id or 0, x.text) for x in got.collect()) == sorted([(1, a), (0, b), (5, c), (0, "")])
+    again = ngram_join.keep_one(frame.orderBy(F.desc("source"), "lang"))
+    assert sorted(map(str, again.collect())) == sorted(map(str, got.collect()))
+
+
 def test_ngram_salts_agree_for_sets_less_a_token(monkeypatch):
     monkeypatch.setattr(ngram_join, "GROUP_ROWS", 4)
     r = np.random.default_rng(7)
