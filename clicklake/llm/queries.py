@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.llm import (
-    chat_format, fingerprints, mixing, ngram_join, quality_rules, sentence_pieces, sharding, toxicity, url_filters,
-    warc,
+    chat_format, conversation_repair, fingerprints, mixing, ngram_join, quality_rules, sentence_pieces, sharding,
+    source_divergence, substring_dedup, toxicity, url_filters, warc,
 )
 from clicklake.llm.common import table, words
 from clicklake.plans import Catalog
@@ -219,6 +219,101 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.grouped(table(spark, sf_dir, "documents"))
 
 
+_SHARE = "1 + (1000000000::HUGEINT * ({n} + 1)) // ({whole})::HUGEINT"
+
+
+@query(rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+t AS (SELECT r, lang, source, unnest(ws) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT o.lang, o.source, coalesce(max(v.v), 0) AS v, coalesce(sum(c.n), 0) AS n
+      FROM (SELECT DISTINCT lang, source FROM d) o LEFT JOIN v USING (lang)
+      LEFT JOIN c ON c.lang = o.lang AND c.source = o.source GROUP BY ALL),
+l AS (SELECT lang, sum(n) AS n, max(v) AS v FROM g GROUP BY lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {_SHARE.format(n="coalesce(c.n, 0)", whole="g.n + g.v")} AS p
+      FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+q AS (SELECT lang, term, {_SHARE.format(n="sum(p.n)", whole="max(l.n) + max(l.v)")} AS q FROM p JOIN l USING (lang) GROUP BY lang, term),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+          LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+          WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY ALL),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+          FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 200
+""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+# Bit by bit over the bytes of a short ASCII text.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(range(8 * length(key)), lambda i: CASE WHEN i % 8 = 0 THEN ascii(substr(key, i // 8 + 1, 1)) ELSE 0 END::BIGINT)),
+    lambda c, b: xor(xor(c, b) >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
+
+
+@query(rf"""
+WITH RECURSIVE o AS (SELECT conv_id, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key, turn,
+                            coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM conversations),
+kinds AS (SELECT *, {_CRC32} % 20 AS kind FROM o),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS times FROM kinds WHERE kind <> 0),
+r AS (SELECT coalesce(conv_id::VARCHAR, '') AS k, turn, role, text, substr(role, 1, 1) AS x,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, times) - 1 AS i,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, times) > 1 THEN 2
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault FROM d),
+pairs AS (SELECT k, fault, turn, i, lag(x) OVER (PARTITION BY k ORDER BY i) || x AS pair FROM r),
+n AS (SELECT k, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+             count(*) FILTER (i > 0 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM pairs GROUP BY k),
+put(a, b, c, e, o) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+    (0, 2, 2, 'I', chr(10) || 'user:'), (1, 2, 2, 'I', chr(10) || 'user:'), (3, 2, 2, 'I', chr(10) || 'user:'),
+    (2, 3, 2, 'I', chr(10) || 'assistant:'), (0, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+    (1, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+edit(e, a, x, b, c) AS (VALUES ('D', 0, '', 0, 3), ('D', 1, '', 1, 3), ('D', 2, '', 2, 3), ('D', 3, '', 3, 3),
+    ('K', 0, 's', 1, 0), ('K', 0, 'u', 2, 0), ('K', 1, 'u', 2, 0), ('K', 2, 'a', 3, 0), ('K', 3, 'u', 2, 0),
+    ('R', 0, 'user', 2, 2), ('R', 1, 'user', 2, 2), ('R', 2, 'assistant', 3, 2), ('R', 3, 'user', 2, 2)),
+best AS (
+    SELECT k, 0::BIGINT AS i, 0 AS q, {{'c': 0, 'a': '', 'o': ''}} AS s FROM n
+    UNION ALL
+    SELECT best.k, best.i + 1, edit.b, min({{'c': s.c + put.c + edit.c + CASE WHEN fault = 3 AND edit.e <> 'D' THEN 1 ELSE 0 END,
+        'a': s.a || put.e || edit.e,
+        'o': s.o || put.o || CASE edit.e WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text ELSE chr(10) || edit.x || ':' || text END}})
+    FROM best JOIN put ON put.a = best.q JOIN r ON r.k = best.k AND r.i = best.i JOIN edit ON edit.a = put.b
+    WHERE edit.e = 'D' OR (fault NOT IN (1, 2) AND (edit.e = 'R' OR edit.x = r.x)) GROUP BY best.k, best.i, edit.b),
+ends AS (SELECT best.k, min({{'c': s.c + put.c, 'a': s.a || put.e, 'o': s.o || put.o}}) AS s
+         FROM best JOIN n ON n.k = best.k AND n.n = best.i JOIN put ON put.a = best.q WHERE put.b IN (0, 3) GROUP BY best.k)
+SELECT w.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(s.c, 0)::BIGINT AS cost,
+       coalesce(s.a, '') AS audit, sha256(coalesce(substr(s.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) w LEFT JOIN n ON n.k = coalesce(w.conv_id::VARCHAR, '') LEFT JOIN ends ON ends.k = n.k
+""")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+w AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d)),
+f AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM w JOIN f USING (g) WHERE doc_id > first),
+each AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, len(ws)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""")
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.cut(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query(None)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
