@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from clicklake.llm.common import fresh
@@ -175,20 +175,27 @@ def decided(indexed_runs: DataFrame) -> DataFrame:
     """(id, tag, lo, n, repeated) of the runs that are repeated or go on; the others are settled and left out."""
     open_ = ~F.col("settled")
     same, alike = Window.partitionBy("anchor", "run"), Window.partitionBy("anchor")
-    seen = indexed_runs.withColumn("earliest", F.min(F.when(open_, F.col("id"))).over(same)).withColumns({
+    # Dealt by anchor at once: that and one sort serve both windows.
+    seen = indexed_runs.repartition("anchor").withColumn("earliest", F.min(F.when(open_, F.col("id"))).over(same)).withColumns({
         "low": F.min(F.when(open_, F.col("run"))).over(alike), "high": F.max(F.when(open_, F.col("run"))).over(alike),
     })
     repeated = F.col("settled") | (F.col("id") > F.col("earliest"))
     return seen.where(repeated | (F.col("low") < F.col("high"))).select("id", "tag", "lo", "n", repeated.alias("repeated"))
 
 
-def repeated_windows(docs: DataFrame, key: str, text: str, window: int = WINDOW, first: int = FIRST) -> DataFrame:
+def told_apart(docs: DataFrame, key: str, text: str) -> Column:
+    """What differs between rows of one id: a hash of the text, or, where all ids differ, nothing."""
+    repeated = docs.groupBy(F.col(key).cast("long").alias("id")).count().where("count > 1 AND id IS NOT NULL")
+    return F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64(text)
+
+
+def repeated_windows(docs: DataFrame, key: str, text: str, tag: Column, window: int = WINDOW, first: int = FIRST) -> DataFrame:
     """(id, tag, spans) of the documents that have repeated windows: spans (lo, n) of window starts, unordered.
 
-    The tag is a hash of the text, which tells rows of one id apart.
+    The tag tells rows of one id apart.
     """
     rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("tag"), F.col(text).cast("binary").alias("text")
+        F.col(key).cast("long").alias("id"), tag.alias("tag"), F.col(text).cast("binary").alias("text")
     )
     level, length, found = rows.withColumn("open", F.lit(None).cast("array<struct<lo int, n int>>")), min(first, window), None
     gathered = lambda df, to: df.groupBy("id", "tag").agg(F.collect_set(F.struct("lo", "n")).alias(to))
@@ -211,10 +218,9 @@ def cut(
     for name in (to, n_words, n_removed):
         if fresh(docs, name) != name:
             raise ValueError(f"column {name} exists already")
-    id_, tag, spans = fresh(docs, "__id"), fresh(docs, "__tag"), fresh(docs, "__spans")
-    known = settled(repeated_windows(docs, key, text, window, first)).toDF(id_, tag, spans)
-    # Columns to join by, one side's under other names, since a frame may have any names.
-    left = docs.withColumns({id_: F.col(key).cast("long"), tag: F.xxhash64(text)})
+    id_, tag, spans, apart = fresh(docs, "__id"), fresh(docs, "__tag"), fresh(docs, "__spans"), told_apart(docs, key, text)
+    known = settled(repeated_windows(docs, key, text, apart, window, first)).toDF(id_, tag, spans)
+    left = docs.withColumns({id_: F.col(key).cast("long"), tag: apart})
     both = left.join(broadcast_if_small(known, SMALL), [id_, tag], "left").select(*docs.columns, spans)
     place = docs.columns.index(text)
 
