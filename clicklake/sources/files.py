@@ -15,16 +15,29 @@ TIME_FORMATS = {
 }
 
 
+def shared_root(checkpoint: str | None, warehouse: str, is_local: bool, one_machine: bool) -> str:
+    """Where shared folders go: the checkpoint folder, or one below the warehouse unless that is a disk of one machine of several."""
+    if checkpoint:
+        return checkpoint.rstrip("/")
+    if is_local and not one_machine:
+        raise ValueError("executors do not share the warehouse's disk: set spark.checkpoint.dir to a folder that they share")
+    return f"{warehouse.rstrip('/')}/scratch"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared one (``spark.checkpoint.dir``).
+    """A fresh folder below the cluster's shared one (``spark.checkpoint.dir``), else below the session's warehouse.
 
-    Where that is unset, it lies below the session's warehouse, which executors share as well. The folder goes with
-    the session: Hadoop removes it when the driver's JVM ends.
+    The folder goes with the session: Hadoop removes it when the driver's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-    folder = f"{root.rstrip('/')}/clicklake-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    warehouse, hadoop = spark.conf.get("spark.sql.warehouse.dir"), spark._jsc.hadoopConfiguration()
+    path = lambda folder: spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = shared_root(
+        spark.conf.get("spark.checkpoint.dir", None), warehouse,
+        is_local=path(warehouse).getFileSystem(hadoop).getUri().getScheme() == "file",
+        one_machine=spark.sparkContext.master.split("[")[0] == "local",
+    )
+    folder = f"{root}/clicklake-{uuid.uuid4().hex}"
+    path(folder).getFileSystem(hadoop).deleteOnExit(path(folder))
     return folder
 
 
@@ -35,6 +48,28 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Scratch:
+    """Settled tables of a job that go once their last reader has been written, not only with the session."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.kept = spark, []
+
+    def settled(self, df: DataFrame) -> DataFrame:
+        folder = shared_dir(self.spark)
+        df.write.parquet(folder)
+        table = self.spark.read.parquet(folder)
+        self.kept.append((table, folder))
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete those of the tables that come from here. Nothing that reads them may run any more."""
+        for table, folder in self.kept:
+            if any(table is t for t in tables):
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.kept = [(t, f) for t, f in self.kept if not any(t is x for x in tables)]
+
+
 # -- sources -----------------------------------------------------------------
 
 

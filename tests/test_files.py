@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from conftest import plan
 from pyspark.sql import functions as F
@@ -84,11 +86,24 @@ def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = files.shared_dir(spark), files.shared_dir(spark)
     assert first != second and first.startswith(f"{root}/clicklake-")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        assert files.shared_dir(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", root)
+
+
+def test_shared_folder_without_a_setting():
+    assert files.shared_root("hdfs://a/b/", "file:/w", is_local=True, one_machine=False) == "hdfs://a/b"
+    assert files.shared_root(None, "hdfs://a/w/", is_local=False, one_machine=False) == "hdfs://a/w/scratch"
+    assert files.shared_root(None, "file:/w", is_local=True, one_machine=True) == "file:/w/scratch"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        files.shared_root(None, "file:/w", is_local=True, one_machine=False)
+
+
+def test_scratch_tables_go_when_dropped(spark):
+    scratch = files.Scratch(spark)
+    one, other = scratch.settled(spark.range(5)), scratch.settled(spark.range(7))
+    folder = one.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    scratch.drop(one)
+    assert not os.path.exists(folder) and other.count() == 7
+    scratch.drop(spark.range(1))
 
 
 def test_times_of_every_usual_form_are_read(spark, tmp_path):
