@@ -18,11 +18,12 @@ give no rows. Other columns are ignored. Equal values are ranked by item, in the
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clicklake.llm.common import filled
@@ -30,7 +31,7 @@ from clicklake.sources.files import settled
 
 MIN_DOCS, TOP, SCALE = 3, 200, 1_000_000_000
 #: Cells (term, source) that a task folds before it spills them, and texts it looks at between.
-SPILL_CELLS, AT_A_TIME = 200_000, 200
+SPILL_CELLS, AT_A_TIME = 400_000, 200
 #: Cells that one task turns into divergences at a time, and numbers in its tables.
 BUCKET_CELLS, TABLE = 400_000, 1_000_000
 #: ASCII letters, lower-cased, and all bytes of other characters; everything else parts terms.
@@ -53,42 +54,35 @@ def terms(text: bytes) -> list[bytes]:
 
 
 class Stripes:
-    """term -> [documents, {source: occurrences}] of each language."""
+    """term -> (documents, source -> occurrences) of each language, a table for each of the numbers."""
 
     def __init__(self) -> None:
-        self.of: dict[str, dict[bytes, list]] = {}
-        self.cells = 0
+        self.docs: dict[str, Counter] = defaultdict(Counter)
+        self.counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
 
     def fold(self, lang: str, source: str, text: bytes) -> None:
-        own = self.of.setdefault(lang, {})
-        for term, n in Counter(terms(text)).items():
-            stripe = own.get(term)
-            if stripe is None:
-                own[term] = [1, {source: n}]
-                self.cells += 1
-            else:
-                stripe[0] += 1
-                counts = stripe[1]
-                if source in counts:
-                    counts[source] += n
-                else:
-                    counts[source] = n
-                    self.cells += 1
-
-    def spill(self) -> Iterator[pa.RecordBatch]:
-        for lang, own in self.of.items():
-            rows = list(own.items())
-            for i in range(0, len(rows), 20_000):
-                part = rows[i : i + 20_000]
-                yield _stripe_batch(
-                    [lang] * len(part), [t.decode() for t, _ in part], [s[0] for _, s in part], [s[1] for _, s in part]
-                )
-        self.of, self.cells = {}, 0
+        own = terms(text)
+        self.counts[lang, source].update(own)
+        self.docs[lang].update(set(own))
 
+    def cells(self) -> int:
+        return sum(map(len, self.counts.values()))
 
-def _stripe_batch(langs, names, docs, counts) -> pa.RecordBatch:
-    columns = [langs, names, docs, [list(c) for c in counts], [list(c.values()) for c in counts]]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _STRIPE)], schema=_STRIPE)
+    def spill(self) -> Iterator[pa.RecordBatch]:
+        for lang, docs in self.docs.items():
+            sources = {term: [] for term in docs}
+            counts = {term: [] for term in docs}
+            for (of, source), own in self.counts.items():
+                if of == lang:
+                    for term, n in own.items():
+                        sources[term].append(source)
+                        counts[term].append(n)
+            names = list(docs)
+            for i in range(0, len(names), 20_000):
+                part = names[i : i + 20_000]
+                columns = [[lang] * len(part), [t.decode() for t in part], [docs[t] for t in part], [sources[t] for t in part], [counts[t] for t in part]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _STRIPE)], schema=_STRIPE)
+        self.__init__()
 
 
 def stripes(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
@@ -99,7 +93,7 @@ def stripes(docs: DataFrame, lang: str = "lang", source: str = "source", text: s
             for i in range(0, batch.num_rows, AT_A_TIME):
                 for row in zip(*[c.to_pylist() for c in batch.slice(i, AT_A_TIME).columns]):
                     held.fold(*row)
-                if held.cells >= SPILL_CELLS:
+                if held.cells() >= SPILL_CELLS:
                     yield from held.spill()
         yield from held.spill()
 
@@ -107,26 +101,45 @@ def stripes(docs: DataFrame, lang: str = "lang", source: str = "source", text: s
     return rows.mapInArrow(run, STRIPE)
 
 
+def _changes(column: pa.Array) -> np.ndarray:
+    return pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+
+
+def _added(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """One stripe per language and term of rows that are sorted by them."""
+    starts = np.ones(rows.num_rows, bool)
+    starts[1:] = _changes(rows["lang"]) | _changes(rows["term"])
+    first = np.flatnonzero(starts)
+    owner = (np.cumsum(starts) - 1)[pc.list_parent_indices(rows["sources"]).to_numpy()]
+    names = pc.list_flatten(rows["sources"]).dictionary_encode()
+    cell = owner * max(1, len(names.dictionary)) + names.indices.to_numpy()
+    order = np.argsort(cell, kind="stable")
+    cell, counts = cell[order], pc.list_flatten(rows["counts"]).to_numpy()[order]
+    begins = np.ones(len(cell), bool)
+    begins[1:] = cell[1:] != cell[:-1]
+    at = np.flatnonzero(begins)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(cell[at] // max(1, len(names.dictionary)), minlength=len(first)))]).astype(np.int32)
+    lists = lambda values: pa.ListArray.from_arrays(pa.array(ends), values)
+    return pa.RecordBatch.from_arrays([
+        rows["lang"].take(pa.array(first)), rows["term"].take(pa.array(first)), pa.array(np.add.reduceat(rows["docs"].to_numpy(), first)),
+        lists(names.dictionary.take(pa.array(cell[at] % max(1, len(names.dictionary))))), lists(pa.array(np.add.reduceat(counts, at))),
+    ], schema=_STRIPE)
+
+
 def merged(spilled: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """One stripe per language and term that has enough documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, docs, counts = None, 0, {}
-        out: list[tuple] = []
+        last = None  # the stripe that may go on in the next batch
         for batch in batches:
-            for lang, term, n, sources, own in zip(*[c.to_pylist() for c in batch.columns]):
-                if (lang, term) != key:
-                    if key and docs >= min_docs:
-                        out.append((*key, docs, counts))
-                    key, docs, counts = (lang, term), n, dict(zip(sources, own))
-                else:
-                    docs += n
-                    for s, c in zip(sources, own):
-                        counts[s] = counts.get(s, 0) + c
-            if out:
-                yield _stripe_batch(*zip(*out))
-                out = []
-        if key and docs >= min_docs:
-            yield _stripe_batch(*zip((*key, docs, counts)))
+            if not batch.num_rows:
+                continue
+            batch = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, _STRIPE)], schema=_STRIPE)
+            whole = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            whole = _added(whole)
+            last = whole.slice(whole.num_rows - 1)
+            yield whole.slice(0, whole.num_rows - 1).filter(pc.greater_equal(whole["docs"][:-1], min_docs))
+        if last is not None:
+            yield last.filter(pc.greater_equal(last["docs"], min_docs))
 
     return spilled.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(run, STRIPE)
 
