@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -34,8 +35,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of distinct chunks that are indexed at a time.
 INDEXED = 250_000
-#: Chunks that a worker remembers for sure; up to twice as many are kept.
-REMEMBERED = 250_000
+#: Bytes of chunks and their ids that a task remembers for sure; up to twice as many are kept.
+REMEMBERED = 24_000_000
+#: Longer chunks are not remembered.
+LONGEST_REMEMBERED = 128
 #: Bytes of texts (or ids) that a worker turns into lists at a time; a single text may be longer.
 AT_A_TIME = 8_000_000
 #: Longer chunks are relaxed one by one, by a heap.
@@ -162,6 +165,7 @@ class Encoder:
         # Two generations: what the older one holds moves to the newer when it is used, and the rest is forgotten.
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.held = 0
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         out, start = [], 0
@@ -173,6 +177,7 @@ class Encoder:
                 for c in set(chunks).difference(self.known):
                     if c in self.older:
                         self.known[c] = self.older[c]
+                        self.held += _bytes(c, self.known[c])
                     elif c not in new:
                         new[c] = None
                         size += len(c)
@@ -182,8 +187,13 @@ class Encoder:
                 self.known.update(zip(new, self.encode_chunks(list(new))))
             of = self.known.__getitem__
             out += [list(chain.from_iterable(map(of, chunks))) for chunks in chunked]
-            if len(self.known) > REMEMBERED:
-                self.known, self.older = {}, self.known
+            for c in new:
+                if len(c) > LONGEST_REMEMBERED:
+                    del self.known[c]
+                else:
+                    self.held += _bytes(c, self.known[c])
+            if self.held > REMEMBERED:
+                self.known, self.older, self.held = {}, self.known, 0
         return out
 
     def encode_chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
@@ -281,6 +291,11 @@ class Encoder:
         return begin + start, np.array([end[i] for i in begin.tolist()], np.int64) + start
 
 
+def _bytes(chunk: str, ids: tuple[int, ...]) -> int:
+    """What an entry takes, with its place in the table."""
+    return sys.getsizeof(chunk) + sys.getsizeof(ids) + 28 * len(ids) + 100
+
+
 class Decoder:
     def __init__(self, vocabulary: Vocabulary):
         self.bytes = dict(zip(vocabulary.ids, (p.encode() for p in vocabulary.pieces)))
@@ -291,15 +306,18 @@ class Decoder:
         text = b"".join([self.bytes.get(i, b"") for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
+    def decode_all(self, rows: list[list[int]]) -> list[str]:
+        return [*map(self.decode, rows)]
+
 
 def encode(docs: DataFrame, text: str = "text", to: str = "token_ids", model: str = MODEL) -> DataFrame:
     """All columns plus the ids of a text."""
-    return _mapped(docs, text, {to: IDS}, model, lambda v: lambda texts: [_worker(Encoder, v).encode(texts)])
+    return _mapped(docs, text, {to: IDS}, model, lambda v: _listed(Encoder(v).encode))
 
 
 def decode(docs: DataFrame, ids: str = "token_ids", to: str = "decoded", model: str = MODEL) -> DataFrame:
     """All columns plus the text that ids stand for."""
-    return _mapped(docs, ids, {to: TEXT}, model, lambda v: lambda rows: [[*map(_worker(Decoder, v).decode, rows)]])
+    return _mapped(docs, ids, {to: TEXT}, model, lambda v: _listed(Decoder(v).decode_all))
 
 
 def encode_and_decode(
@@ -307,26 +325,20 @@ def encode_and_decode(
 ) -> DataFrame:
     """All columns plus the ids of a text and the text they stand for, by one worker where two calls take two."""
     def make(v):
+        encoder, decoder = Encoder(v), Decoder(v)
+
         def both(texts):
-            ids = _worker(Encoder, v).encode(texts)
-            return [ids, [*map(_worker(Decoder, v).decode, ids)]]
+            ids = encoder.encode(texts)
+            return [ids, decoder.decode_all(ids)]
         return both
     return _mapped(docs, text, {to: IDS, back: TEXT}, model, make)
 
 
 IDS, TEXT = (ArrayType(IntegerType()), pa.list_(pa.int32())), (StringType(), pa.string())
-#: What the last task of this worker process has built, by its class; the next one goes on with it.
-_WORKERS: dict[type, tuple[Vocabulary, Encoder | Decoder]] = {}
-
-
-def _worker(kind: type, vocabulary: Vocabulary):
-    held = _WORKERS.get(kind)
-    if held is None or (held[0] is not vocabulary and held[0] != vocabulary):
-        held = (vocabulary, kind(vocabulary))
-    elif held[0] is not vocabulary:
-        held = (vocabulary, held[1])
-    _WORKERS[kind] = held
-    return held[1]
+
+
+def _listed(one):
+    return lambda values: [one(values)]
 
 
 def _parts(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
