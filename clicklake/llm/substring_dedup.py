@@ -26,6 +26,7 @@ as they are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from clicklake.llm.common import fresh
-from clicklake.operators.joins import broadcast_if_small
 from clicklake.sources.files import settled
 
 WINDOW, FIRST = 13, 7
 #: Words whose runs are compared before anything is sent on; a single longer text is looked at whole.
 CHUNK_WORDS = 500_000
-#: Documents with spans that are broadcast at most (their bytes are bounded as well); more are joined by a shuffle.
-SMALL = 500_000
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 _RUNS = "anchor long, run long, id long, tag long, lo int, n int, settled boolean"
@@ -130,8 +128,13 @@ def _joined(owner, lo, n):
     return owner[first], lo[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def indexed(rows: DataFrame, length: int, window: int) -> DataFrame:
-    """Runs of (id, tag, text, open): those to compare, and those that a chunk has settled as repeated."""
+def indexed(rows: DataFrame, length: int, window: int, id_: str, tag: str, text: str, open_: str | None = None) -> DataFrame:
+    """Runs of documents: those to compare, and those that a chunk has settled as repeated.
+
+    ``open_`` names the spans of windows to look at, of no window where it is null.
+    """
+    places = [rows.columns.index(c) for c in (id_, tag, text, *([open_] if open_ else []))]
+
     def of_chunk(ids, tags, texts, open_) -> Iterator[pa.RecordBatch]:
         anchor, run, owner, lo, n = runs(texts, open_, length, window)
         ids, tags = np.array(ids, np.int64), np.array(tags, np.int64)
@@ -155,12 +158,15 @@ def indexed(rows: DataFrame, length: int, window: int) -> DataFrame:
         size = 0
         for batch in batches:
             for i in range(0, batch.num_rows, 100):
-                for id_, tag, text, open_ in zip(*[c.to_pylist() for c in batch.slice(i, 100).columns]):
-                    words = text.split()
+                part = batch.slice(i, 100)
+                for own, mark, value, *spans in zip(*[part.column(p).to_pylist() for p in places]):
+                    if own is None or value is None or (spans and spans[0] is None):
+                        continue
+                    words = value.encode().split()
                     if len(words) < window:
                         continue
-                    for column, value in zip(held, (id_, tag, words, open_ and [(o["lo"], o["n"]) for o in open_])):
-                        column.append(value)
+                    for column, x in zip(held, (own, mark, words, [(o["lo"], o["n"]) for o in spans[0]] if spans else None)):
+                        column.append(x)
                     size += len(words)
                 if size >= CHUNK_WORDS:
                     yield from of_chunk(*held)
@@ -189,25 +195,29 @@ def told_apart(docs: DataFrame, key: str, text: str) -> Column:
     return F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64(text)
 
 
-def repeated_windows(docs: DataFrame, key: str, text: str, tag: Column, window: int = WINDOW, first: int = FIRST) -> DataFrame:
+def repeated_windows(docs: DataFrame, id_: str, tag: str, text: str, window: int = WINDOW, first: int = FIRST) -> DataFrame:
     """(id, tag, spans) of the documents that have repeated windows: spans (lo, n) of window starts, unordered.
 
-    The tag tells rows of one id apart.
+    ``tag`` tells rows of one id apart. The last level is left to the query that asks for it: both join all columns of
+    the documents by id, so that one shuffle of them serves both.
     """
-    rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), tag.alias("tag"), F.col(text).cast("binary").alias("text")
-    )
-    level, length, found = rows.withColumn("open", F.lit(None).cast("array<struct<lo int, n int>>")), min(first, window), None
     gathered = lambda df, to: df.groupBy("id", "tag").agg(F.collect_set(F.struct("lo", "n")).alias(to))
+    length = min(first, window)
+    index, found = indexed(docs.select(id_, tag, text), length, window, id_, tag, text), []
     while True:
-        runs_ = settled(decided(indexed(level, length, window)))
-        again = runs_.where("repeated").drop("repeated")
-        found = again if found is None else found.union(again)
-        open_ = gathered(runs_.where("NOT repeated").drop("repeated"), "open")
-        if length == window or open_.isEmpty():
-            return gathered(found, "spans")
-        level = rows.join(broadcast_if_small(settled(open_), SMALL), ["id", "tag"]).select("id", "tag", "text", "open")
+        last = length == window
+        runs_ = decided(index) if last else settled(decided(index))
+        found.append(runs_.where("repeated").drop("repeated"))
+        if last:
+            break
+        waiting = runs_.where("NOT repeated").drop("repeated")
+        if waiting.isEmpty():
+            break
+        open_ = fresh(docs, "__open")
+        again = docs.join(gathered(waiting, open_).withColumnsRenamed({"id": id_, "tag": tag}), [id_, tag], "left")
         length = min(2 * length, window)
+        index = indexed(again.select(*docs.columns, open_), length, window, id_, tag, text, open_)
+    return gathered(reduce(DataFrame.union, found), "spans")
 
 
 def cut(
@@ -219,9 +229,9 @@ def cut(
         if fresh(docs, name) != name:
             raise ValueError(f"column {name} exists already")
     id_, tag, spans, apart = fresh(docs, "__id"), fresh(docs, "__tag"), fresh(docs, "__spans"), told_apart(docs, key, text)
-    known = settled(repeated_windows(docs, key, text, apart, window, first)).toDF(id_, tag, spans)
     left = docs.withColumns({id_: F.col(key).cast("long"), tag: apart})
-    both = left.join(broadcast_if_small(known, SMALL), [id_, tag], "left").select(*docs.columns, spans)
+    known = repeated_windows(left, id_, tag, text, window, first).toDF(id_, tag, spans)
+    both = left.join(known, [id_, tag], "left").select(*docs.columns, spans)
     place = docs.columns.index(text)
 
     def kept(value: str | None, spans_) -> tuple[str, int, int]:
