@@ -52,14 +52,16 @@ def _page_views(df: DataFrame, keys: list[Column | str], ts: str, page: str | No
     )
 
 
-def _close_sessions(pages: DataFrame, user: str, gap: timedelta, seen_until: Column | None = None) -> DataFrame:
+def _close_sessions(
+    pages: DataFrame, user: str, gap: timedelta, seen_until: Column | None = None, last: str | None = None
+) -> DataFrame:
     lasts_until = F.when(F.col("views") == 1, F.col("last_ts")).otherwise(F.col("last_ts") + F.lit(gap))
     found = pages.groupBy(user, "session_no").agg(
         F.min("began").alias("session_min"), F.max(lasts_until).alias("session_max"), F.max("last_ts").alias("_last")
     )
     if seen_until is not None:
         found = found.where(F.col("_last") + F.lit(gap) < seen_until)
-    return found.drop("_last")
+    return found.withColumnRenamed("_last", last) if last else found.drop("_last")
 
 
 def session_fragments(
@@ -90,12 +92,12 @@ def number_cells(spans: DataFrame, user: str, gap: timedelta) -> DataFrame:
 
 def sessions_from_fragments(
     fragments: DataFrame, user: str, page: str, gap: timedelta, spans: DataFrame | None = None,
-    seen_until: Column | None = None,
+    seen_until: Column | None = None, last: str | None = None,
 ) -> DataFrame:
     """(user, session_no, session_min, session_max) of fragments from a batch or a stream.
 
     ``spans`` may give a cheaper way to the cells than the fragments themselves. Sessions that an event at
-    ``seen_until`` or later could extend are left out.
+    ``seen_until`` or later could extend are left out. ``last`` names a column for the time of the last event.
     """
     numbers = number_cells(fragments if spans is None else spans, user, gap)
     pages = (
@@ -103,7 +105,7 @@ def sessions_from_fragments(
         .groupBy(user, "session_no", page)
         .agg(F.sum("views").alias("views"), F.max("last_ts").alias("last_ts"), F.min("began").alias("began"))
     )
-    return _close_sessions(pages, user, gap, seen_until)
+    return _close_sessions(pages, user, gap, seen_until, last)
 
 
 def sessionize(

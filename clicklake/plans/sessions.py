@@ -6,12 +6,12 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.operators import sessions as ops
+from clicklake.operators import late_sessions, sessions as ops
 from clicklake.operators.windows import lag_by_key, with_group_totals
 from clicklake.plans import query
 from clicklake.plans.inputs import table
 from clicklake.sources.files import read_parquet, shared_dir, write_parquet
-from clicklake.streaming.sessions import start_fragments, stream_fragments, streamed_gap_sessions, streamed_sessions
+from clicklake.streaming.sessions import session_stream, start_fragments, start_sessions, stream_fragments, streamed_gap_sessions
 
 GAP = timedelta(hours=12)
 DELAY = timedelta(days=1)
@@ -80,6 +80,18 @@ def session_next_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.sessionize_next(following, read_parquet(spark, carry), **COLUMNS)
 
 
+@query(_SESSIONS_SQL)
+def session_late_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three windows, each with a tenth of the events of the one before: the sessions are those of all events."""
+    events, store = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type"), shared_dir(spark)
+    day = F.dayofmonth("ts")
+    window = F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2) + (F.col("event_id") % 10 == 0).cast("int")
+    for number in range(3):
+        part = events.where(F.least(window, F.lit(2)) == number)
+        late_sessions.absorb(spark, store, part, f"window-{number}", **COLUMNS)
+    return late_sessions.current(spark, store, "user_id").drop(late_sessions.LAST)
+
+
 _GAP_SQL = """
 WITH flagged AS (
   SELECT *, CASE WHEN ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR THEN 1 ELSE 0 END AS b
@@ -170,25 +182,39 @@ _SEEN_SQL = """SELECT max(cell_end) FROM (
 SELECT s.* FROM s JOIN last USING (user_id, session_no) WHERE last_ts + INTERVAL 12 HOUR < ({_SEEN_SQL})"""
 )
 def stream_sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sessions that a stream over the events table has closed."""
-    sessions = streamed_sessions(spark, _streamed(spark, sf_dir), "user_id", "event_type", GAP)
-    return sessions.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_min", "session_max")})
+    """The sessions that a stream over the events table has closed, as its state reported them."""
+    return _streamed(spark, sf_dir).select("user_id", "session_no", "session_min", "session_max")
 
 
 @query(f"SELECT * FROM ({_GAP_SQL}) WHERE session_end < ({_SEEN_SQL})")
 def stream_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same by the gap rule alone."""
-    sessions = streamed_gap_sessions(spark, _streamed(spark, sf_dir), "user_id", GAP)
-    return sessions.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    return _streamed(spark, sf_dir).select(
+        "user_id", "session_no", F.col("session_min").alias("session_start"), (F.col("last_ts") + F.lit(GAP)).alias("session_end"), "events"
+    )
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> str:
-    """The folder with the fragments of a stream over the events table."""
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     # A pattern, since a stream takes a plain path for a folder and the table may be a single file.
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions of a stream over the events table."""
     folder = shared_dir(spark)
-    fragments = stream_fragments(stream, "user_id", "ts", "event_type", GAP, DELAY)
+    closed = session_stream(_events_stream(spark, sf_dir), "user_id", "ts", "event_type", GAP, DELAY)
+    start_sessions(closed, f"{folder}/sessions", f"{folder}/checkpoint").awaitTermination()
+    found = read_parquet(spark, f"{folder}/sessions")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_min", "session_max", "last_ts")})
+
+
+@query(f"SELECT * FROM ({_GAP_SQL}) WHERE session_end < ({_SEEN_SQL})")
+def stream_fragment_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gap sessions by the batch operator, of fragments that a stream has appended to a table."""
+    folder = shared_dir(spark)
+    fragments = stream_fragments(_events_stream(spark, sf_dir), "user_id", "ts", "event_type", GAP, DELAY)
     start_fragments(fragments, f"{folder}/fragments", f"{folder}/checkpoint").awaitTermination()
-    return f"{folder}/fragments"
+    sessions = streamed_gap_sessions(spark, f"{folder}/fragments", "user_id", GAP)
+    return sessions.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})

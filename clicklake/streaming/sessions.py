@@ -1,18 +1,29 @@
 """Sessions over a stream.
 
-The stream only keeps what can be kept in bounded state: one fragment per user,
-cell and page, combined before the shuffle, so that a user with a third
-of the stream is one small row per cell and page and batch. A finished fragment
-is appended to a table. The batch operator turns that table into sessions, the
-same way it does for events, so nothing ever collects a session's events.
+Two operators with state follow each other. The first one combines events into
+one fragment per user, cell and page, before the shuffle, so that a user with a
+third of the stream is one small row per cell and page and batch; a fragment
+goes on once its cell is older than the watermark. The second one folds the
+fragments of a user, cell after cell, into the session that is open: its number,
+its bounds and which of its pages were seen once or more often. A session is
+reported when a cell begins too late for it, or by a timer once the watermark
+has passed everything that could extend it. Neither the stream nor a report
+looks back at what was reported before, and the store keeps the pages of a
+session as entries of their own, so a batch costs what the batch brings.
+
+Fragments may also be appended to a table, which the batch operator turns into
+sessions like events (``start_fragments``, ``streamed_sessions``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from clicklake.functions.times import MICROSECOND
 from clicklake.operators.sessions import (
@@ -74,3 +85,131 @@ def streamed_gap_sessions(spark: SparkSession, table: str, user: str, gap: timed
     """The same by the gap rule alone, where sessions end one gap after their last event."""
     fragments, end = _seen(spark, table, gap)
     return gap_sessions_from_fragments(fragments, user, gap).where(F.col("session_end") < end)
+
+
+# -- sessions in the state of the stream -------------------------------------------
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: What a closed session is reported as, times as microseconds; the user comes first.
+_REPORT = "session_no long, began long, lasts long, last long, events long"
+
+
+class SessionFold(StatefulProcessor):
+    """Fragments of a user into sessions."""
+
+    def __init__(self, gap: int, cell: int) -> None:
+        self.gap, self.cell = gap, cell
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", f"{_REPORT}, timer long")
+        self.pages = handle.getMapState("pages", "missing boolean, page string", "views long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # One batch closes few cells; their order matters, that of the pages of a cell does not.
+        fragments = pd.concat(list(rows))
+        now, done = self._now(), []
+        before = now and now["timer"]
+        for _, cell in fragments.groupby("cell"):
+            first, last = int(cell["first"].min()), int(cell["last"].max())
+            if now and first > now["last"] + self.gap:
+                done.append(self._report(key, now))
+                self.pages.clear()
+                now = {"session_no": now["session_no"] + 1} | _nothing(first)
+            now = now or {"session_no": self._next()} | _nothing(first)
+            for page, views, page_last, began, events in zip(*[cell[c] for c in ("page", "views", "last", "began", "events")]):
+                entry = (page is None, page or "")
+                known = self.pages.getValue(entry) if self.pages.containsKey(entry) else (0,)
+                views = min(2, known[0] + int(views))
+                if views != known[0]:
+                    self.pages.updateValue(entry, (views,))
+                # The end only moves on: a page lasts for a gap from its second view on.
+                lasts = int(page_last) if views == 1 else int(page_last) + self.gap
+                now["lasts"], now["began"] = max(now["lasts"], lasts), min(now["began"], int(began))
+                now["events"] += int(events)
+            now["last"] = max(now["last"], last)
+        # The first end of a cell by which all events that could extend the session are there.
+        now["timer"] = ((now["last"] + self.gap) // self.cell + 1) * self.cell // 1000
+        if before != now["timer"]:
+            if before:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(now["timer"])
+        self.open.update(tuple(now[c] for c in _STATE))
+        yield pd.DataFrame(done, columns=[*_KEY, *_STATE[:-1]])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = self._now()
+        if now and now["timer"] == expiredTimerInfo.getExpiryTimeInMs():
+            # What stays is the number of the next session.
+            self.open.update((now["session_no"] + 1, *[None] * (len(_STATE) - 1)))
+            self.pages.clear()
+            yield pd.DataFrame([self._report(key, now)], columns=[*_KEY, *_STATE[:-1]])
+
+    def _now(self) -> dict | None:
+        held = self.open.get() if self.open.exists() else None
+        return dict(zip(_STATE, held)) if held and held[-1] is not None else None
+
+    def _next(self) -> int:
+        return self.open.get()[0] if self.open.exists() else 0
+
+    def _report(self, key, now: dict) -> tuple:
+        return (*key, *[now[c] for c in _STATE[:-1]])
+
+    def close(self) -> None:
+        pass
+
+
+# Missing users are told by a flag: groups of null keys are not kept together.
+_KEY = ["no_user", "user_key"]
+_STATE = ["session_no", "began", "lasts", "last", "events", "timer"]
+
+
+def _nothing(first: int) -> dict:
+    return {"began": first, "lasts": first, "last": first, "events": 0}
+
+
+def session_stream(stream: DataFrame, user: str, ts: str, page: str, gap: timedelta, delay: timedelta) -> DataFrame:
+    """The closed sessions of a stream, as a stream of (user, session_no, session_min, session_max, last_ts, events).
+
+    ``ts`` must be a ``timestamp``; events more than ``delay`` late may be dropped. Rows without a user are one user, as in
+    the batch operator. The query needs the RocksDB state store (``start_sessions`` sets it).
+    """
+    micros = lambda c: F.unix_micros(c)
+    kind = stream.schema[user].dataType.simpleString()
+    cell = F.window(ts, f"{cell_width(gap) // MICROSECOND} microseconds")
+    fragments = (
+        stream.withWatermark(ts, f"{delay // MICROSECOND} microseconds")
+        .groupBy(user, cell.alias("_window"), page)
+        .agg(F.count("*").alias("events"), F.count(page).alias("views"), F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+        .select(
+            F.col(user).isNull().alias("no_user"), F.coalesce(F.col(user), F.lit(0).cast(kind)).alias("user_key"), F.window_time("_window").alias("_time"), micros(F.col("_window.start")).alias("cell"),
+            F.col(page).cast("string").alias("page"), "views", micros(F.col("_first")).alias("first"),
+            micros(F.col("_last")).alias("last"), micros(F.col("_first")).alias("began"), "events",
+        )
+    )
+    fold = SessionFold(gap // MICROSECOND, cell_width(gap) // MICROSECOND)
+    closed = fragments.groupBy(*_KEY).transformWithStateInPandas(
+        fold, f"no_user boolean, user_key {kind}, {_REPORT}", "Append", "EventTime"
+    )
+    at = lambda c: F.timestamp_micros(F.col(c))
+    return closed.select(
+        F.when(~F.col("no_user"), F.col("user_key")).alias(user), "session_no", at("began").alias("session_min"), at("lasts").alias("session_max"), at("last").alias("last_ts"), "events"
+    )
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def start_sessions(sessions: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Append the sessions closed by all data available now to a folder of parquet files; goes on from the checkpoint."""
+    # A query keeps the store that is set when it starts.
+    with _setting(sessions.sparkSession, _STORE, _ROCKSDB):
+        return start_fragments(sessions, table, checkpoint)

@@ -5,7 +5,9 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from clicklake.operators.sessions import gap_sessions, sessionize
-from clicklake.streaming.sessions import start_fragments, stream_fragments, streamed_gap_sessions, streamed_sessions
+from clicklake.streaming.sessions import (
+    session_stream, start_fragments, start_sessions, stream_fragments, streamed_gap_sessions, streamed_sessions,
+)
 
 GAP, DELAY = timedelta(hours=12), timedelta(days=2)
 
@@ -36,3 +38,51 @@ def test_stream_of_several_files_equals_batch(spark, tmp_path):
     gaps = streamed_gap_sessions(spark, table, "user_id", GAP)
     batch = gap_sessions(events, "user_id", "ts", GAP).where(F.col("session_end") < F.lit(seen))
     assert sorted(map(tuple, gaps.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def run_in_parts(spark, tmp_path, events, parts):
+    """The reported sessions after each part; every run starts anew from the checkpoint."""
+    source, table, checkpoint = (str(tmp_path / n) for n in ("source", "sessions", "state"))
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        closed = session_stream(stream, "user_id", "ts", "event_type", GAP, DELAY)
+        start_sessions(closed, table, checkpoint).awaitTermination()
+        yield spark.read.parquet(table)
+
+
+def test_sessions_from_state_equal_batch(spark, tmp_path):
+    """Parts of files in turn, partly late, with users and pages that are null."""
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    day, number = F.dayofmonth("ts"), F.col("event_id") % 10
+    part = F.floor((day - 1) / 7) + ((number == 0) & (day % 7 == 0)).cast("int")
+    users = F.when(F.col("user_id") % 50 == 7, F.lit(None)).otherwise(F.col("user_id"))
+    pages = F.when(F.col("event_id") % 13 == 0, F.lit(None)).otherwise(F.col("event_type"))
+    placed = events.withColumns({"part": part, "user_id": users, "event_type": pages})
+    events = placed.select("user_id", "ts", "event_type")
+    parts = [placed.where(F.col("part") == i).select(events.columns) for i in range(5)]
+    batch = set(map(tuple, sessionize(events, "user_id", "ts", "event_type", GAP).collect()))
+    before = set()
+    for sessions in run_in_parts(spark, tmp_path, events, parts):
+        rows = [(r.user_id, r.session_no, r.session_min, r.session_max) for r in sessions.collect()]
+        assert len(set(rows)) == len(rows) and set(rows) >= before and set(rows) <= batch
+        before = set(rows)
+    closed = events.agg(F.max("ts") - F.lit(DELAY)).first()[0]
+    over = events.select(F.window("ts", "12 hours")["end"].alias("e")).where(F.col("e") <= F.lit(closed)).agg(F.max("e")).first()[0]
+    assert before >= {r for r in batch if r[3] + GAP < over} and len(before) > 1000
+    assert sessions.where("user_id IS NULL").count() > 0
+
+
+def test_state_of_a_hot_user_stays_small(spark, tmp_path):
+    """A user with nearly all events: what a batch brings to the sessions is a row per cell and page."""
+    events = spark.range(40_000).selectExpr(
+        "IF(id % 10 = 0, id % 7, 99) AS user_id", "TIMESTAMP '2024-01-01' + make_dt_interval(0, 0, id) AS ts", "'p' || id % 3 AS event_type"
+    )
+    parts = [events.where(f"ts >= '2024-01-{a:02d}' AND ts < '2024-01-{a + 9:02d}'") for a in (1, 10, 19)]
+    (*_, sessions) = run_in_parts(spark, tmp_path, events, [*parts, spark.createDataFrame([], events.schema)])
+    assert sessions.count() == 0  # nobody paused for half a day
+    later = spark.createDataFrame([(99, "2024-06-01 00:00:00", "p0")], "user_id bigint, ts string, event_type string")
+    later = later.withColumn("ts", F.col("ts").cast("timestamp"))
+    (sessions,) = run_in_parts(spark, tmp_path, events, [later])
+    hot = {r.user_id: r.events for r in sessions.collect()}
+    assert hot[99] == events.where("user_id = 99 AND ts < '2024-01-28'").count() and len(hot) == 8
