@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.operators import geo
 from clicklake.plans import query
-from clicklake.plans.inputs import GEO_SQL, events_with_ip, geo_ranges, nested_ranges
+from clicklake.plans.inputs import GEO_SQL, events_with_any_ip, events_with_ip, geo_networks, geo_ranges, nested_ranges
 
 FIELDS = ["countryName", "region", "city", "postalCode", "continent"]
 _LOOKUP_SQL = f"WITH {GEO_SQL} SELECT event_id, machine_ip, country, city, zone AS timezone FROM located"
@@ -55,6 +55,24 @@ def geo_nested_ranges_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nested(spark, sf_dir, max_broadcast_rows=0)
 
 
+@query("""
+WITH ip AS (SELECT event_id, event_id % 7 AS kind, user_id % 256 * 65536 + event_id % 256 * 256 + event_id % 251 AS v4,
+                   user_id % 64 AS third, event_id % 65536 AS fourth FROM events),
+n AS (SELECT n_nationkey AS k, n_name AS name FROM nation),
+met AS (
+  SELECT event_id, 13 AS bits, name AS country FROM ip JOIN n ON kind < 2 AND v4 // 524288 = k
+  UNION ALL SELECT event_id, 18, name || ' inner' FROM ip JOIN n ON kind < 2 AND v4 // 16384 = (k * 8 + 1) * 4 + 1
+  UNION ALL SELECT event_id, 47, name FROM ip JOIN n ON kind IN (2, 3, 4) AND third // 2 = k
+  UNION ALL SELECT event_id, 50, name || ' inner' FROM ip JOIN n ON kind IN (2, 3, 4) AND third = k * 2 AND fourth // 16384 = 1)
+SELECT ip.event_id, max_by(country, bits) AS country FROM ip LEFT JOIN met USING (event_id) GROUP BY ip.event_id
+""")
+def geo_prefix_v6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest network of addresses of both families."""
+    prefixes = geo.prefix_table(geo_networks(spark, sf_dir))
+    located = geo.prefix_lookup(events_with_any_ip(spark, sf_dir), "machine_ip", prefixes)
+    return located.select("event_id", F.col("geo.countryName").alias("country"))
+
+
 def _with_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.range_lookup(events_with_ip(spark, sf_dir), "machine_ip", geo_ranges(spark, sf_dir))
 

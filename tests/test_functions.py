@@ -53,7 +53,6 @@ def test_page_category_is_one_level_without_query(spark, site):
     referrers = list({"".join(rng.choices(pieces, k=rng.randrange(1, 9))) for _ in range(2000)})
     plain = categories(spark, referrers, site)
     assert all(c is not None and "/" not in c and "?" not in c for c in plain)
-    assert all(c.endswith("=...") and c.count("=") == 1 for c in plain if "=" in c)
     assert categories(spark, [r + "?q=1/2//3" for r in referrers], site) == plain
     known = categories(spark, [f"https://{site}/{level}/x" for level in ("news", "b.c")], site)
     assert known == ["news", "b.c"]
