@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clicklake.llm.common import fresh
-from clicklake.sources.files import settled
+from clicklake.sources.files import Scratch, settled
 
 SHINGLE = 5
 SAMPLE = 8192
@@ -40,22 +40,25 @@ FREQUENT = 48
 GROUP_ROWS = 4096
 #: Sets up to this size also have one-deletion signatures.
 SMALL = 160
-#: Slots of the filter that spares documents without candidates a shuffle; so many rows are broadcast at most.
-SLOTS = 1 << 17
+#: Slots of the filter that spares documents without candidates a shuffle, per candidate and at most; these are broadcast.
+SLOTS_EACH, MOST_SLOTS = 8, 1 << 21
 #: Classes of equal sets that are skipped before the join are larger than this and than 1/10,000 of all rows.
 LARGE_CLASS = 64
 #: Bits of a sketch, a power of two. Sets of more than about twice as many tokens gain nothing from it.
 SKETCH_BITS = 1024
 
 INDEX, INDEX_LESS, PROBE, PROBE_LESS = 1, 2, 4, 8
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -66,9 +69,9 @@ def shingles(text: str | None) -> np.ndarray:
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(SHINGLE, len(words))
     n = len(words) - width + 1
-    total = np.full(n, width, np.uint64)
-    for k in range(width):
-        total += mixed(hashes[k : k + n] * _ODD[k])
+    total = hashes[:n] + np.uint64(width)
+    for k in range(1, width):
+        total = total * _ODD + hashes[k : k + n]
     return np.unique(mixed(total))
 
 
@@ -115,41 +118,43 @@ class Signer:
         if s < 3:
             return []
         band, out = int(np.searchsorted(BANDS, s)), []
-        spread, frequency = mixed(own + np.uint64(1)), self.frequency(own)
+        spread = mixed(own + np.uint64(1))
+        # In this order the segments of any band follow each other.
+        order = np.argsort(spread)
+        spread, frequency = spread[order], self.frequency(own)[order]
+        values = mixed(spread)
         for k in range(band, -1, -1):
             if 4 * BANDS[k] < 3 * s:
                 break
-            out += self._in_band(k, k == band, s, spread, frequency)
+            out += self._in_band(k, k == band, s, spread, values, frequency)
         return out
 
     @staticmethod
-    def _in_band(k: int, own_band: bool, s: int, spread: np.ndarray, frequency: np.ndarray):
+    def _in_band(k: int, own_band: bool, s: int, spread: np.ndarray, values: np.ndarray, frequency: np.ndarray):
         high = int(BANDS[k])
         m, small = high * 2 // 5 + 2, high <= SMALL
         needed = (s + min(high, s)) // 7 + 1
         segment = ((spread >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(segment, kind="stable")
         counts = np.bincount(segment, minlength=m)
         full = np.flatnonzero(counts)
         starts = (np.cumsum(counts) - counts)[full]
         sums = np.zeros(m, np.uint64)
-        values = mixed(spread)[order]
         sums[full] = np.add.reduceat(values, starts)
         base = np.uint64(k << 40) + np.arange(m, dtype=np.uint64)
         # What a segment costs: how often its rarest token occurs; an empty one matches any other.
         cost = np.full(m, np.inf)
-        cost[full] = np.minimum.reduceat(frequency[order], starts)
+        cost[full] = np.minimum.reduceat(frequency, starts)
         chosen, raised = _allocated(cost, counts, np.bincount(segment[frequency == 0], minlength=m), needed, small)
         role = np.where(chosen, PROBE, 0) | (INDEX if own_band else 0)
         take = role > 0
         salts = _salts(cost)
         out = [(mixed(mixed(base) ^ sums)[take], role[take], salts[take])]
         if small:
-            there = segment[order]
+            there = segment
             less = np.where(raised[there], PROBE_LESS, 0) | (INDEX_LESS if own_band else 0)
             on = less > 0
             left = sums[there] - values
-            out.append((mixed(mixed(base[there]) ^ left)[on], less[on], _salts_less(frequency[order], there, starts, counts[full])[on]))
+            out.append((mixed(mixed(base[there]) ^ left)[on], less[on], _salts_less(frequency, there, starts, counts[full])[on]))
         return out
 
 
@@ -259,20 +264,32 @@ def _signature_rows(docs: DataFrame, frequent, large: dict[int, int]) -> DataFra
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """The signatures that may belong to several documents, at least one of which probes."""
+    """(signature, id, n, role, hub, again) of the signatures that may belong to several documents, at least one of which probes.
+
+    The hub is a signature's smallest id, with its size; ``again`` says that two other ids may have the signature.
+    """
     one = Window.partitionBy("signature", "salt")
     probes = F.col("role").bitwiseAND(PROBE | PROBE_LESS) > 0
-    marked = rows.withColumns({"most": F.max("id").over(one), "least": F.min("id").over(one), "any": F.max(probes).over(one)})
+    marked = rows.withColumns({
+        "hub": F.min(F.struct("id", "n")).over(one), "most": F.max("id").over(one), "any": F.max(probes).over(one),
+        "count": F.count("*").over(one),
+    })
     # Salted groups hold part of a signature's rows, so that nothing can be said yet, also of those with salt 0.
-    return marked.where("salts > 1 OR (least < most AND any)").select("signature", "id", "n", "role")
+    kept = marked.where("salts > 1 OR (hub.id < most AND any)")
+    whole = F.col("salts") == 1
+    return kept.select(
+        "signature", "id", "n", "role", F.when(whole, F.col("hub")).alias("hub"), (~whole | (F.col("count") > 2)).alias("again")
+    )
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Those of the pairs (a, b) whose texts are similar."""
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    slots = settled(ids.select(slot("id").alias("slot")).distinct())  # at most SLOTS rows
-    texts = docs.withColumn("slot", slot("id")).join(F.broadcast(slots), "slot", "left_semi").select("id", "text")
+    wanted = SLOTS_EACH * pairs.count()
+    slots = min(MOST_SLOTS, 1 << max(10, int(wanted).bit_length()))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(slots))
+    used = scratch.settled(ids.select(slot("id").alias("slot")).distinct())
+    texts = docs.withColumn("slot", slot("id")).join(F.broadcast(used), "slot", "left_semi").select("id", "text")
     left, right = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
@@ -286,29 +303,47 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         return [a[k] for k in keep], [b[k] for k in keep]
 
     found = _mapped(both, "a long, b long", ["a", "b"], [pa.int64()] * 2, make, at_a_time=200)
-    return settled(found.distinct())
+    found = scratch.settled(found.distinct())
+    scratch.drop(used)
+    return found
 
 
-def roots(edges: DataFrame) -> DataFrame:
+def roots(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(id, root): the smallest id reachable, for all ids of the edges (a, b) but the roots themselves.
 
     Stars alternate: each node's larger neighbours, then its smaller ones, move to its smallest neighbour, until every
-    edge leads from a node to its root. A round shuffles edges, never groups.
+    edge leads from a node to its root. A round shuffles edges, never groups, and the rounds before it go.
     """
-    now = settled(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
+    scratch = scratch or Scratch(edges.sparkSession)
+    now = scratch.settled(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
     before = None
     while True:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return now.toDF("id", "root")
-        before = state
+        before, last = state, now
         both = now.union(now.select("v", "u")).toDF("u", "v")
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(lowest, "u")
         small = moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = settled(small.union(lowest.select("u", F.col("m").alias("v"))).where("u > v").distinct())
+        now = scratch.settled(small.union(lowest.select("u", F.col("m").alias("v"))).where("u > v").distinct())
+        scratch.drop(last)
+
+
+def labels(edges: DataFrame, copies: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, root) of all ids that are not roots, by edges between documents and copies (rep, id) of the same set.
+
+    Copies are a star already: edges are drawn between representatives, and copies take the root of theirs at the end.
+    """
+    of = lambda c: copies.select(F.col("id").alias(c), F.col("rep").alias(f"rep_{c}"))
+    drawn = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("rep_a", "a").alias("a"), F.coalesce("rep_b", "b").alias("b")
+    )
+    found = roots(drawn, scratch)
+    own = copies.join(found.toDF("rep", "root"), "rep", "left").select("id", F.coalesce("root", "rep").alias("root"))
+    return scratch.settled(found.union(own))
 
 
 def _fits(a: str, b: str):
@@ -325,54 +360,71 @@ def _sketches_fit(a: str, b: str):
     return 7 * reduce(add, words_) <= F.col(f"{a}.n") + F.col(f"{b}.n")
 
 
-def links(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """Edges (a, b) between similar documents, enough to connect all that are connected.
+def _sketched(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches allow a link, of (a, a_n, b, b_n)."""
+    # Where an id comes with several texts of one size, its rows get the sketches of all.
+    side = lambda c: known.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), F.struct("n", "bits").alias(c + "_"))
+    met = pairs.join(side("a"), ["a", "a_n"]).join(side("b"), ["b", "b_n"])
+    return met.where(_sketches_fit("a_", "b_")).select("a", "b").distinct()
+
 
-    ``docs`` has (id, text), ``known`` their digests.
-    """
-    classes = settled(
+def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
+    """(key, n_shingles, component_id) of every row. The tables it reads are those left in ``scratch``."""
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    scratch = scratch or Scratch(docs.sparkSession)
+    known = scratch.settled(digests(rows))
+    found = _linked(rows, known, scratch)
+    return known.drop("bits").join(found, "id", "left").select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id")
+    )
+
+
+def _linked(docs: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, root) of the documents (id, text) that are linked with a smaller id; ``known`` are the documents' digests."""
+    classes = scratch.settled(
         known.where("n > 0 AND id IS NOT NULL").groupBy("set_key", "n").agg(F.min("id").alias("rep"), F.count("*").alias("count"))
     )
     n_classes, n_rows = classes.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
     limit = max(LARGE_CLASS, n_rows // 10_000)  # so there are at most 10,000 of them
     large = {r["set_key"]: r["rep"] for r in classes.where(F.col("count") > limit).collect()}
     several = classes.where("count > 1").select("set_key", "n", "rep")
-    copies = known.drop("bits").join(several, ["set_key", "n"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    copies = settled(copies)
-    rows = settled(_shared(_signature_rows(docs, _frequent(docs, classes, n_classes), large)))
+    members = known.drop("bits").join(several, ["set_key", "n"]).where("id <> rep").select("rep", "id").distinct()
+    # An id with several texts may be in several classes: its memberships are edges like others.
+    sets = known.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
+    many = scratch.settled(sets.where("low < high").select("id"))
+    copies = scratch.settled(members.join(many, "id", "left_anti"))
+    joined = members.join(many, "id", "left_semi").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    rows = scratch.settled(_shared(_signature_rows(docs, _frequent(docs, classes, n_classes), large)))
+    salted = rows.where("hub IS NULL").drop("hub")
+    hubs = salted.groupBy("signature").agg(F.min(F.struct("id", "n")).alias("hub"))
+    rows_ = rows.where("hub IS NOT NULL").unionByName(salted.join(hubs, "signature"))
     # First round: everyone with the smallest id of a signature.
-    hubs = rows.groupBy("signature").agg(F.min(F.struct("id", "n")).alias("hub"))
-    near = rows.join(hubs, "signature").where("id <> hub.id").where(
-        4 * F.least(F.col("n"), F.col("hub.n")) >= 3 * F.greatest(F.col("n"), F.col("hub.n"))
+    others = rows_.where(F.col("id") != F.col("hub.id"))
+    near = others.where(4 * F.least(F.col("n"), F.col("hub.n")) >= 3 * F.greatest(F.col("n"), F.col("hub.n")))
+    pairs = scratch.settled(
+        near.select(F.col("hub.id").alias("a"), F.col("hub.n").alias("a_n"), F.col("id").alias("b"), F.col("n").alias("b_n")).distinct()
     )
-    known_edges = copies
-    pairs = settled(near.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct())
-    first = verified(pairs.join(copies, ["a", "b"], "left_anti"), docs)
-    known_edges = known_edges.union(first)
-    # Second round: those whose groups still differ.
-    group = settled(roots(known_edges)).toDF("id", "root")
-    placed = rows.join(group, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    tried = pairs.select("a", "b").distinct()
+    likely = scratch.settled(_sketched(pairs, known))
+    first = verified(likely, docs, scratch).union(joined)
+    # Second round: those whose groups still differ, among the rest of each signature.
+    group = labels(first, copies, scratch)
+    placed = others.where("again").select("signature", "id", "n", "role").join(group, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    placed = scratch.settled(placed)
     mixed_ = placed.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_ = placed.join(mixed_.select("signature"), "signature", "left_semi")
-    # Where an id comes with several texts of one size, its rows get the sketches of all.
-    open_ = settled(open_.join(known.select("id", "n", "bits"), ["id", "n"]))
+    open_ = scratch.settled(open_.join(known.select("id", "n", "bits"), ["id", "n"]))
     a, b = open_.alias("a"), open_.alias("b")
     crossing = a.join(b, F.col("a.signature") == F.col("b.signature")).where(
         (F.col("a.id") < F.col("b.id")) & (F.col("a.root") != F.col("b.root")) & _fits("a", "b") & _sketches_fit("a", "b")
     )
-    more = settled(crossing.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
-    more = more.join(pairs, ["a", "b"], "left_anti")
-    return known_edges.union(verified(more, docs))
-
-
-def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id) of every row."""
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    known = settled(digests(rows))
-    found = roots(links(rows, known))
-    return known.drop("bits").join(found, "id", "left").select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id")
-    )
+    more = crossing.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    more = scratch.settled(more)
+    scratch.drop(rows, placed, open_, pairs)
+    found = labels(first.union(verified(more, docs, scratch)), copies, scratch)
+    # ``known`` and what is found are read by whoever asks; everything else has had its last reader.
+    scratch.drop(*[t for t, _ in scratch.kept if t is not known and t is not found])
+    return found
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -384,7 +436,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     content = F.xxhash64(*columns)
     made = content.bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
     rows = docs.withColumn(node, F.coalesce(F.col(key).cast("long"), made))
-    groups = settled(grouped(rows, node, text))
+    scratch = Scratch(docs.sparkSession)
+    groups = settled(grouped(rows, node, text, scratch))
+    scratch.drop(*[t for t, _ in scratch.kept])
     gone = groups.where(F.col("component_id") != F.col(node)).select(node).distinct()
     repeated = settled(groups.groupBy(node).count().where("count > 1").select(node))
     left = rows.join(gone, node, "left_anti")
