@@ -78,17 +78,13 @@ def client_time(spark: SparkSession, posts: str, ranges: str, site: str, out: st
 
 
 def hourly_table(spark: SparkSession, hours: Mapping[tuple[str, str], str], name: str, path: str | None = None) -> None:
-    """A table partitioned by ``date_`` and ``hour`` from raw posts, a path per (date, hour)."""
-    parts = [
-        files.with_constants(
-            spark.read.schema(schemas.RAW_POSTS).json(source), {"date_": F.lit(date_), "hour": F.lit(hour)}
-        )
-        for (date_, hour), source in hours.items()
-    ]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    files.write_table(table, name, ["date_", "hour"], path)
+    """A table partitioned by ``date_`` and ``hour`` from raw posts, a folder per (date, hour).
+
+    All hours are one scan. Hours that the table has already are replaced, others stay as they are.
+    """
+    folders = {source: {"date_": date_, "hour": hour} for (date_, hour), source in hours.items()}
+    rows = files.read_json_folders(spark, folders, schemas.RAW_POSTS)
+    files.replace_partitions(rows, name, ["date_", "hour"], path)
 
 
 # -- places ---------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clicklake import jobs
 from clicklake.functions.times import parse_second
 from clicklake.operators.aggregates import latest_by_key
 from clicklake.plans import query
@@ -132,6 +133,45 @@ def tbl_partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT date_, hour, count(1) AS n FROM {name} GROUP BY date_, hour")
 
 
+@query(_HOURS_SQL.format(rest="event_id::VARCHAR AS page_key, CASE WHEN hour(ts) = 7 THEN 'again' ELSE event_type END AS page_type"))
+def hourly_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw posts of hourly folders as a table, of which one hour of each week is then replaced."""
+    root = files.shared_dir(spark)
+    events = _weekly_hours(table(spark, sf_dir, "events"))
+    posts = events.select(F.col("event_id").cast("string").alias("page_key"), F.col("event_type").alias("page_type"), "date_", "hour")
+    files.write_json(posts, f"{root}/first", partition_by=["date_", "hour"])
+    files.write_json(posts.where("hour = '07'").withColumn("page_type", F.lit("again")), f"{root}/second", partition_by=["date_", "hour"])
+    name = f"replaced_{root.rsplit('-', 1)[-1]}"
+    weeks = [r[0] for r in events.select("date_").distinct().collect()]
+    for part, hours in (("first", range(24)), ("second", [7])):
+        folders = {(week, f"{hour:02d}"): f"{root}/{part}/date_={week}/hour={hour:02d}" for week in weeks for hour in hours}
+        jobs.hourly_table(spark, folders, name, f"{root}/table")
+    found = spark.table(name).select("page_key", "page_type", "date_", "hour")
+    # The files stay; the name has been resolved.
+    path = f"{root}/table"
+    spark.sql(f"DROP TABLE {name}")
+    schema = "page_key string, page_type string, date_ string, hour string"
+    return spark.read.schema(schema).parquet(path).select(found.columns)
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+def sink_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder written twice, each time as one file: the second time counts."""
+    path, nation = files.shared_dir(spark), table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    files.write_csv(nation.drop("n_regionkey"), path, single_file=True)
+    files.write_csv(nation.where("n_regionkey = 1").drop("n_regionkey"), path, single_file=True)
+    return files.read_csv(spark, path, nation.drop("n_regionkey").schema)
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderdate AS ts FROM orders")
+def src_csv_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times in ordinary text, as logs have them, by an explicit schema."""
+    path, orders = files.shared_dir(spark), table(spark, sf_dir, "orders")
+    plain = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("ts")
+    files.write_csv(orders.select("o_custkey", "o_orderkey", plain), path)
+    return files.read_csv(spark, path, "o_custkey bigint, o_orderkey bigint, ts timestamp_ntz")
+
+
 @query("SELECT event_id, event_type, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS half FROM events")
 def union_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.functions import text
 from clicklake.functions.user_agent import app_fallback, with_agent_json
-from clicklake.operators import visits as ops
+from clicklake.operators import agent_rules, visits as ops
 from clicklake.plans import query
 from clicklake.plans.inputs import (
-    AGENT_SQL, APP, CATEGORY_SQL, SITE, VISITS_SQL, events_with_agent, table, visits,
+    AGENT_SQL, APP, CATEGORY_SQL, FAMILY_SQL, SITE, VISITS_SQL, events_with_agent, events_with_family, table, visits,
 )
 from clicklake.sources.files import read_csv, shared_dir, write_csv
 from clicklake.sources.schemas import REGISTRATIONS
@@ -85,6 +85,23 @@ def ua_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched.select("event_id", *_FLAT.split(", "))
 
 
+_MAJOR = "split_part({0}, '.', 1)"
+
+
+@query(f"""WITH {FAMILY_SQL} SELECT *, {_MAJOR.format("agent_version")} AS agent_major, engine || ' ' || {_MAJOR.format("engine_version")} AS engine_name_major,
+       os_name || ' ' || os_version AS os_name_version FROM known""")
+def ua_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Families that the rule table tells apart, with all kinds of attributes."""
+    found = agent_rules.with_agent_attributes(events_with_family(spark, sf_dir), "user_agent", APP, agent_rules.rule_table(spark))
+    columns = {
+        "agent_name": "AgentName", "agent_version": "AgentVersion", "engine": "LayoutEngineName", "engine_version": "LayoutEngineVersion",
+        "os_name": "OperatingSystemName", "os_class": "OperatingSystemClass", "os_version": "OperatingSystemVersion", "cpu": "DeviceCpu",
+        "security": "AgentSecurity", "language": "AgentLanguageCode", "device_version": "DeviceVersion", "agent_major": "AgentVersionMajor",
+        "engine_name_major": "LayoutEngineNameVersionMajor", "os_name_version": "OperatingSystemNameVersion",
+    }
+    return found.select("event_id", *[F.col(f"agent.{of}").alias(name) for name, of in columns.items()])
+
+
 @query(
     f"""WITH {AGENT_SQL} SELECT event_id, CASE WHEN event_id % 10 IN (6, 7) THEN os_name END AS os_name,
        CASE WHEN event_id % 10 IN (6, 7) THEN os_version END AS os_version,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -94,6 +96,31 @@ def read_json_tree(spark: SparkSession, root, schema: str | StructType, **option
     return spark.read.schema(schema).options(**{"recursiveFileLookup": True, **options}).json(root)
 
 
+def read_json_folders(spark: SparkSession, folders: Mapping[str, Mapping[str, str]], schema: str | StructType) -> DataFrame:
+    """JSON lines of many folders in one scan, with constants of their own: ``{folder: {column: value}}``.
+
+    A file tells its folder by its own path, so neither the plan nor the number of scans grows with the folders. A folder has one set of constants.
+    Folders may be patterns, which are looked up first.
+    """
+    hadoop, known = spark._jsc.hadoopConfiguration(), {}
+    for folder, constants in folders.items():
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        for status in path.getFileSystem(hadoop).globStatus(path) or []:
+            known[status.getPath().toString()] = tuple(constants.values())
+    names = list(next(iter(folders.values())))
+    types = ", ".join(f"{name} string" for name in names)
+    values = spark.createDataFrame([(_plain(path), *constants) for path, constants in known.items()], f"_folder string, {types}")
+    # The scheme and its slashes are written in several ways.
+    of_file = F.regexp_replace(F.regexp_replace(F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")), "/[^/]*$", ""), "^[a-z0-9]+:/*", "/")
+    read = spark.read.schema(schema).json(list(known)).withColumn("_folder", of_file)
+    # As many rows as the caller named folders.
+    return read.join(F.broadcast(values), "_folder").drop("_folder")
+
+
+def _plain(path: str) -> str:
+    return re.sub("^[a-z0-9]+:/*", "/", path)
+
+
 def read_json_inferred(spark: SparkSession, path) -> DataFrame:
     return spark.read.json(path)
 
@@ -111,11 +138,12 @@ def read_partition_leafs(spark: SparkSession, root: str, leafs: Sequence[str]) -
 
 
 def _writer(df: DataFrame, single_file: bool = False, partition_by: Sequence[str] = ()):
-    # One file means one task for the last stage: only for results known to be small.
+    # One file means one task, for results known to be small. It gets the finished rows by a shuffle,
+    # so that what makes them still runs in as many tasks as before.
     # Rebalancing gives each partition few files of even size: Spark splits partitions
     # that got too much (a hot hour) and merges the small ones.
     if single_file:
-        df = df.coalesce(1)
+        df = df.repartition(1)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
     return df.write.mode("overwrite").partitionBy(*partition_by)
@@ -136,6 +164,28 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), si
     _writer(df, single_file, partition_by).parquet(path)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def replace_partitions(df: DataFrame, name: str, partition_by: Sequence[str], path: str | None = None) -> None:
+    """Replace those partitions of a table that the rows belong to; make the table if there is none."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        write_table(df, name, partition_by, path)
+        return
+    ordered = df.select(spark.table(name).columns).hint("rebalance", *partition_by)
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        ordered.write.mode("overwrite").insertInto(name)
+
+
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str], path: str | None = None) -> None:
     """Replace a partitioned table."""
     writer = _writer(df, False, partition_by)

@@ -18,7 +18,6 @@ sessions like events (``start_fragments``, ``streamed_sessions``).
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import timedelta
 
 import pandas as pd
@@ -29,6 +28,7 @@ from clicklake.functions.times import MICROSECOND
 from clicklake.operators.sessions import (
     CELL, cell_width, gap_sessions_from_fragments, sessions_from_fragments,
 )
+from clicklake.sources.files import setting
 
 
 def stream_fragments(stream: DataFrame, user: str, ts: str, page: str, gap: timedelta, delay: timedelta) -> DataFrame:
@@ -198,18 +198,8 @@ def session_stream(stream: DataFrame, user: str, ts: str, page: str, gap: timede
     )
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str):
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def start_sessions(sessions: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append the sessions closed by all data available now to a folder of parquet files; goes on from the checkpoint."""
     # A query keeps the store that is set when it starts.
-    with _setting(sessions.sparkSession, _STORE, _ROCKSDB):
+    with setting(sessions.sparkSession, _STORE, _ROCKSDB):
         return start_fragments(sessions, table, checkpoint)
