@@ -132,7 +132,7 @@ class Signer:
     @staticmethod
     def _in_band(k: int, own_band: bool, s: int, spread: np.ndarray, values: np.ndarray, frequency: np.ndarray):
         high = int(BANDS[k])
-        m, small = high * 2 // 5 + 2, high <= SMALL
+        m, small = high // 3 + 2, high <= SMALL
         needed = (s + min(high, s)) // 7 + 1
         segment = ((spread >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         counts = np.bincount(segment, minlength=m)
@@ -239,13 +239,16 @@ def _frequent(docs: DataFrame, classes: DataFrame, n_classes: int) -> tuple[np.n
 
 
 def _signature_rows(docs: DataFrame, frequent, large: dict[int, int]) -> DataFrame:
-    """(signature, salt, salts, id, n, role) of all documents but the further members of large classes."""
+    """(signature, salt, id, n, info) of all documents but the further members of large classes.
+
+    The info is 16 times the number of salts, which is one for all rows of a signature, plus the role.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((*frequent, large))
 
     def make(ids, texts):
         tokens, estimates, large = shared.value
         signer = Signer(tokens, estimates)
-        out = [[np.zeros(0, np.int64)] for _ in range(6)]
+        out = [[np.zeros(0, np.int64)] for _ in range(5)]
         for i, text in zip(ids, texts):
             own = shingles(text)
             if i is None or large.get(xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63), i) != i:
@@ -253,14 +256,13 @@ def _signature_rows(docs: DataFrame, frequent, large: dict[int, int]) -> DataFra
             mine = int(mixed(np.array([i & (1 << 63) - 1], np.uint64))[0] >> np.uint64(20))
             for signature, role, salts in signer.signatures(own):
                 n = len(signature)
-                parts = (_signed(signature), mine % salts, salts, np.full(n, i), np.full(n, len(own)), role)
+                parts = (_signed(signature), mine % salts, np.full(n, i), np.full(n, len(own)), salts << 4 | role)
                 for column, values in zip(out, parts):
                     column.append(values)
         return [np.concatenate(column) for column in out]
 
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
-    names = ["signature", "salt", "salts", "id", "n", "role"]
-    return _mapped(docs, "signature long, salt int, salts int, id long, n int, role int", names, kinds, make)
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+    return _mapped(docs, "signature long, salt int, id long, n int, info int", ["signature", "salt", "id", "n", "info"], kinds, make)
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -269,16 +271,16 @@ def _shared(rows: DataFrame) -> DataFrame:
     The hub is a signature's smallest id, with its size; ``again`` says that two other ids may have the signature.
     """
     one = Window.partitionBy("signature", "salt")
-    probes = F.col("role").bitwiseAND(PROBE | PROBE_LESS) > 0
+    # Plain columns as arguments: others would be worked out, and sent, before the shuffle.
     marked = rows.withColumns({
-        "hub": F.min(F.struct("id", "n")).over(one), "most": F.max("id").over(one), "any": F.max(probes).over(one),
-        "count": F.count("*").over(one),
+        "hub": F.min("id").over(one), "hub_n": F.min_by("n", "id").over(one), "most": F.max("id").over(one),
+        "infos": F.bit_or("info").over(one), "count": F.count("*").over(one),
     })
     # Salted groups hold part of a signature's rows, so that nothing can be said yet, also of those with salt 0.
-    kept = marked.where("salts > 1 OR (hub.id < most AND any)")
-    whole = F.col("salts") == 1
-    return kept.select(
-        "signature", "id", "n", "role", F.when(whole, F.col("hub")).alias("hub"), (~whole | (F.col("count") > 2)).alias("again")
+    whole, any_probes = F.col("infos") < 32, F.col("infos").bitwiseAND(PROBE | PROBE_LESS) > 0
+    return marked.where(~whole | ((F.col("hub") < F.col("most")) & any_probes)).select(
+        "signature", "id", "n", F.col("info").bitwiseAND(15).alias("role"),
+        F.when(whole, F.struct(F.col("hub").alias("id"), F.col("hub_n").alias("n"))).alias("hub"), (~whole | (F.col("count") > 2)).alias("again"),
     )
 
 
