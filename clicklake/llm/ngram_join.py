@@ -21,7 +21,7 @@ Rows with a null id are returned and linked with nothing; equal ids are one node
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import add
 
 import numpy as np
@@ -42,8 +42,9 @@ GROUP_ROWS = 4096
 SMALL = 160
 #: Slots of the filter that spares documents without candidates a shuffle, per candidate and at most; these are broadcast.
 SLOTS_EACH, MOST_SLOTS = 8, 1 << 21
-#: Classes of equal sets that are skipped before the join are larger than this and than 1/10,000 of all rows.
-LARGE_CLASS = 64
+#: So many documents are skipped because others have their sets, by a broadcast list of their ids. Where there are more,
+#: classes of equal sets are skipped that are larger than ``LARGE_CLASS`` and than 1/10,000 of all rows. Both steer costs only.
+SKIPPED, LARGE_CLASS = 1_000_000, 64
 #: Bits of a sketch, a power of two. Sets of more than about twice as many tokens gain nothing from it.
 SKETCH_BITS = 1024
 
@@ -132,7 +133,7 @@ class Signer:
     @staticmethod
     def _in_band(k: int, own_band: bool, s: int, spread: np.ndarray, values: np.ndarray, frequency: np.ndarray):
         high = int(BANDS[k])
-        m, small = high // 3 + 2, high <= SMALL
+        m, small = high * 2 // 5 + 2, high <= SMALL
         needed = (s + min(high, s)) // 7 + 1
         segment = ((spread >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         counts = np.bincount(segment, minlength=m)
@@ -140,7 +141,7 @@ class Signer:
         starts = (np.cumsum(counts) - counts)[full]
         sums = np.zeros(m, np.uint64)
         sums[full] = np.add.reduceat(values, starts)
-        base = np.uint64(k << 40) + np.arange(m, dtype=np.uint64)
+        base = _bases(k, m)
         # What a segment costs: how often its rarest token occurs; an empty one matches any other.
         cost = np.full(m, np.inf)
         cost[full] = np.minimum.reduceat(frequency, starts)
@@ -148,16 +149,22 @@ class Signer:
         role = np.where(chosen, PROBE, 0) | (INDEX if own_band else 0)
         take = role > 0
         salts = _salts(cost)
-        out = [(mixed(mixed(base) ^ sums)[take], role[take], salts[take])]
+        out = [(mixed(base[take] ^ sums[take]), role[take], salts[take])]
         if small:
             there = segment
             less = np.where(raised[there], PROBE_LESS, 0) | (INDEX_LESS if own_band else 0)
             on = less > 0
             left = sums[there] - values
-            out.append((mixed(mixed(base[there]) ^ left)[on], less[on], _salts_less(frequency, there, starts, counts[full])[on]))
+            out.append((mixed(base[there[on]] ^ left[on]), less[on], _salts_less(frequency, there, starts, counts[full])[on]))
         return out
 
 
+@lru_cache(maxsize=64)
+def _bases(k: int, m: int) -> np.ndarray:
+    """A number for each segment of a band."""
+    return mixed(np.uint64(k << 40) + np.arange(m, dtype=np.uint64))
+
+
 def _salts(cost: np.ndarray) -> np.ndarray:
     """Into how many parts the rows of a signature are dealt: all that have it must say the same."""
     return np.where(np.isinf(cost), 1, np.maximum(1, cost / GROUP_ROWS)).astype(np.int64)
@@ -387,8 +394,6 @@ def _linked(docs: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
         known.where("n > 0 AND id IS NOT NULL").groupBy("set_key", "n").agg(F.min("id").alias("rep"), F.count("*").alias("count"))
     )
     n_classes, n_rows = classes.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
-    limit = max(LARGE_CLASS, n_rows // 10_000)  # so there are at most 10,000 of them
-    large = {r["set_key"]: r["rep"] for r in classes.where(F.col("count") > limit).collect()}
     several = classes.where("count > 1").select("set_key", "n", "rep")
     members = known.drop("bits").join(several, ["set_key", "n"]).where("id <> rep").select("rep", "id").distinct()
     # An id with several texts may be in several classes: its memberships are edges like others.
@@ -396,7 +401,14 @@ def _linked(docs: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
     many = scratch.settled(sets.where("low < high").select("id"))
     copies = scratch.settled(members.join(many, "id", "left_anti"))
     joined = members.join(many, "id", "left_semi").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    rows = scratch.settled(_shared(_signature_rows(docs, _frequent(docs, classes, n_classes), large)))
+    # One document of each class is signed, as far as the list of the others is short; else one of each large class.
+    large, signed = {}, docs
+    if n_rows - n_classes <= SKIPPED:
+        signed = docs.join(F.broadcast(copies.select("id")), "id", "left_anti")
+    else:
+        limit = max(LARGE_CLASS, n_rows // 10_000)  # so there are at most 10,000 of them
+        large = {r["set_key"]: r["rep"] for r in classes.where(F.col("count") > limit).collect()}
+    rows = scratch.settled(_shared(_signature_rows(signed.select("id", "text"), _frequent(docs, classes, n_classes), large)))
     salted = rows.where("hub IS NULL").drop("hub")
     hubs = salted.groupBy("signature").agg(F.min(F.struct("id", "n")).alias("hub"))
     rows_ = rows.where("hub IS NOT NULL").unionByName(salted.join(hubs, "signature"))
