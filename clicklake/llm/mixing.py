@@ -9,11 +9,15 @@ All documents of a source expect the same number of copies, so the sum before a
 number, and ranks are whole numbers: the result does not depend on partitions. Ranks come from blocks of a source
 (length class, range of a hash), counted first, so a hot source is ranked by many tasks.
 
-Null texts have size 0, a null source is a source of its own and the last. Sources without words take nothing.
+Null texts have size 0, a null source is a source of its own and the last. Sources without words take nothing. Rows
+without an id, and those of an id that very many rows share, are placed by a hash of all their columns instead of their
+id; rows that are equal in all columns are neighbours and are ranked in one task. Repeated rows count each time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clicklake.llm.common import fresh, hash52
@@ -23,6 +27,8 @@ WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 SEED = "mix-1"
 BLOCK_ROWS = 1_000_000
+#: What is added to the rows: the words of a row's source, the words it should give, and the copies of the row.
+MIXED = ("mix_source_size", "mix_target", "mix_copies")
 
 
 def length_class(size: Column) -> Column:
@@ -64,15 +70,32 @@ def targets(sources: DataFrame) -> DataFrame:
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, size: str, key: str = "doc_id", source: str = "source", seed: str = SEED) -> DataFrame:
-    """All columns plus ``source_size``, ``target`` and ``copies``, in columns named ``mix_*``.
+def names_for(docs: DataFrame) -> tuple[str, str, str]:
+    """Names for what :func:`mix` adds that the frame does not use yet."""
+    return tuple(fresh(docs, name) for name in MIXED)
+
+
+def mix(
+    docs: DataFrame, size: str, key: str = "doc_id", source: str = "source", seed: str = SEED, names: Sequence[str] = MIXED
+) -> DataFrame:
+    """All columns plus a source's size and target and a row's copies, under ``names``, which must be new ones.
 
-    Reads ``docs`` twice: once to count blocks, once to rank within them.
+    Reads ``docs`` three times: for ids that many rows have, to count blocks, and to rank within them.
     """
+    if any(fresh(docs, n) != n for n in names):
+        raise ValueError(f"one of the columns {', '.join(names)} exists already")
+    source_size, target, copies_ = names
     name = lambda part: fresh(docs, f"__mix_{part}")
     cls, at, block = name("class"), name("hash"), name("block")
     blocks_per_class = -(-docs.count() // BLOCK_ROWS) or 1
-    rows = docs.withColumns({cls: length_class(F.col(size)), at: hash52(F.lit(seed), F.col(key))})
+    # Rows without an id, or with one that more rows have than a task should rank, are placed by what they hold. There
+    # are no more such ids than the table has multiples of that number.
+    often = docs.groupBy(F.col(key).alias("key")).count().where(F.col("count") > BLOCK_ROWS).select("key").collect()
+    often = [r["key"] for r in often if r["key"] is not None]
+    by_content = F.col(key).isNull() | (F.col(key).isin(often) if often else F.lit(False))
+    content = F.xxhash64(*[F.col(c) for c in docs.columns])
+    place = F.when(by_content, hash52(F.lit(seed), content)).otherwise(hash52(F.lit(seed), F.col(key)))
+    rows = docs.withColumns({cls: length_class(F.col(size)), at: place})
     # The blocks are ranges of the hash: the order (class, hash, id) does not depend on their number.
     rows = rows.withColumn(block, F.floor(F.col(at).cast("double") * blocks_per_class / float(1 << 52)).cast("int"))
     blocks = settled(
@@ -84,25 +107,26 @@ def mix(docs: DataFrame, size: str, key: str = "doc_id", source: str = "source",
     starts = blocks.select("source", "cls", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rank_before"))
     named = aims.withColumnRenamed("source", "aim_source")
     starts = settled(starts.join(named, F.col("source").eqNullSafe(F.col("aim_source"))).drop("aim_source"))
-    starts = starts.toDF("__s", "__c", "__b", "__rank", "mix_source_size", "mix_target")
+    s_, c_, b_, rank_ = (name(part) for part in ("s", "c", "b", "rank"))
+    starts = starts.toDF(s_, c_, b_, rank_, source_size, target)
     order = Window.partitionBy(source, cls, block).orderBy(at, key)
     row = name("row")
     ranked = rows.withColumn(row, F.row_number().over(order))
-    on = F.col(source).eqNullSafe(F.col("__s")) & (F.col(cls) == F.col("__c")) & (F.col(block) == F.col("__b"))
+    on = F.col(source).eqNullSafe(F.col(s_)) & (F.col(cls) == F.col(c_)) & (F.col(block) == F.col(b_))
     out = ranked.join(starts, on)
-    rate = F.col("mix_target") / F.nullif(F.col("mix_source_size"), F.lit(0)).cast("double")
+    rate = F.col(target) / F.nullif(F.col(source_size), F.lit(0)).cast("double")
     # 16 bits of offset keep the sums below exact for far more documents than a source has.
     offset = F.floor(hash52(F.lit(f"{seed}-offset"), F.col(source)).cast("double") / float(1 << 36)) / float(1 << 16)
     up_to = lambda rank: F.floor(rate * rank.cast("double") + offset)
-    rank = F.col("__rank") + F.col(row)
+    rank = F.col(rank_) + F.col(row)
     copies = F.least(up_to(rank) - up_to(rank - 1), F.ceil(rate))
-    out = out.withColumn("mix_copies", F.coalesce(copies, F.lit(0)).cast("int"))
-    return out.drop(cls, at, block, row, "__s", "__c", "__b", "__rank")
+    out = out.withColumn(copies_, F.coalesce(copies, F.lit(0)).cast("int"))
+    return out.drop(cls, at, block, row, s_, c_, b_, rank_)
 
 
-def emitted(mixed: DataFrame) -> DataFrame:
+def emitted(mixed: DataFrame, names: Sequence[str] = MIXED) -> DataFrame:
     """One row per copy, without the columns that :func:`mix` added."""
     n = fresh(mixed, "__copy")
-    copies = F.sequence(F.lit(1), F.col("mix_copies"))
-    out = mixed.where("mix_copies > 0").withColumn(n, F.explode(copies))
-    return out.drop(n, "mix_source_size", "mix_target", "mix_copies")
+    copies = F.sequence(F.lit(1), F.col(names[2]))
+    out = mixed.where(F.col(names[2]) > 0).withColumn(n, F.explode(copies))
+    return out.drop(n, *names)

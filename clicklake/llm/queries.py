@@ -135,7 +135,7 @@ shapes AS (SELECT host, shape, count(l.bad) AS labelled, coalesce(sum(l.bad), 0)
 {", ".join(steps)},
 prior AS (SELECT coalesce(sum(bad)::DOUBLE / nullif(sum(labelled), 0), 0) AS p FROM shapes),
 judged AS (SELECT host, node FROM t{url_filters.DEPTH - 1}, prior GROUP BY host, node
-           HAVING (sum(bad) + {url_filters.STRENGTH} * max(p)) / (sum(labelled) + {url_filters.STRENGTH}) >= {url_filters.BAD_SHARE}),
+           HAVING sum(labelled) > 0 AND (sum(bad) + {url_filters.STRENGTH} * max(p)) / (sum(labelled) + {url_filters.STRENGTH}) >= {url_filters.BAD_SHARE}),
 out AS (SELECT DISTINCT t.host, t.shape FROM t{url_filters.DEPTH - 1} t JOIN judged j USING (host, node))
 SELECT page_id, r.host, path, rule, coalesce(action, CASE WHEN o.host IS NULL THEN 'allow' ELSE 'block' END) AS verdict
 FROM r LEFT JOIN out o ON r.host = o.host AND r.shape = o.shape
@@ -157,7 +157,12 @@ e AS (SELECT *, length(t) + length(regexp_replace(t, '[^\\<\[]', '', 'g'))
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
        coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(n)::BIGINT AS formatted_chars FROM e GROUP BY conv_id
+       sum(n)::BIGINT AS formatted_chars, valid, first_bad FROM e JOIN (SELECT conv_id AS c, first_bad IS NULL AS valid, first_bad FROM (
+         SELECT conv_id, min(i) FILTER (coalesce(before, 'start') || ' ' || role NOT IN
+             ('start system', 'start user', 'system user', 'user assistant', 'assistant user')) AS first_bad
+         FROM (SELECT *, row_number() OVER w - 1 AS i, lag(role) OVER w AS before FROM c
+               WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, t)) GROUP BY conv_id)) m ON m.c IS NOT DISTINCT FROM conv_id
+GROUP BY conv_id, valid, first_bad
 """)
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = "</s>[INST] ok [/INST]"
@@ -165,14 +170,15 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     done = chat_format.formatted(rows)
     read = done.select(
-        "conv_id", chat_format.parsed(F.col("formatted")).alias("turns"), chat_format.loss_text(F.col("segments")).alias("loss"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+        "conv_id", chat_format.parsed(F.col("formatted")).alias("turns"), chat_format.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "valid", "first_bad",
     )
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     digest = lambda text: F.sha2(text.cast("binary"), 256)
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), digest(F.array_join(lines, "")).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), digest(F.col("loss")).alias("loss_sha256"), "formatted_chars",
+        "valid", F.col("first_bad").cast("long").alias("first_bad"),
     )
 
 

@@ -188,7 +188,7 @@ class Encoder:
             of = self.known.__getitem__
             out += [list(chain.from_iterable(map(of, chunks))) for chunks in chunked]
             for c in new:
-                if len(c) > LONGEST_REMEMBERED:
+                if len(c) > LONGEST_REMEMBERED or self.held > REMEMBERED:
                     del self.known[c]
                 else:
                     self.held += _bytes(c, self.known[c])

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clicklake.llm.common import filled, uniform
+from clicklake.llm.common import filled, fresh, uniform
 from clicklake.sources.files import settled
 
 RANGES_PER_SHARD = 16
@@ -21,10 +21,11 @@ SAMPLES_PER_RANGE = 64
 WHOLE_GROUP = 64
 
 
-def records(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Id, size, checksum and range key of every row: all that sharding needs."""
+def records(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
+    """Id, size, checksum and range key of every row: all that sharding needs. With ``carry`` also the ``whole_row``."""
     whole = filled(F.col(text))
     return docs.select(
+        *([F.struct(*[F.col(c) for c in docs.columns]).alias("whole_row")] if carry else []),
         F.col(key).alias("id"),
         (F.octet_length(whole) + 8).cast("long").alias("size"),
         F.crc32(whole.cast("binary")).alias("crc"),
@@ -79,7 +80,11 @@ def in_ranges(rows: DataFrame, keys: list[int], overfull: dict[int, list[int]])
 
 
 def assign(rows: DataFrame, n_shards: int) -> DataFrame:
-    """Shard and slot for each of the ``records``; slots are gapless from 0 in each shard, in the order of (key, id)."""
+    """Shard and slot for each of the ``records``; slots are gapless from 0 in each shard, in the order of (key, id).
+
+    A carried row comes along.
+    """
+    carried = [c for c in rows.columns if c == "whole_row"]
     n_ranges = n_shards * RANGES_PER_SHARD
     ranged = settled(in_ranges(rows, *sampled_splitters(rows, n_ranges)))
     # At most three ranges per quantile: one row each.
@@ -110,17 +115,23 @@ def assign(rows: DataFrame, n_shards: int) -> DataFrame:
     shard = F.least(F.lit(n_shards - 1), F.expr(f"({n_shards} * m) div (2 * total)")).cast("int")
     placed = settled(
         placed.withColumn("m", middle).select(
-            "id", "size", "crc", shard.alias("shard"), (F.col("rows_before") + F.col("row")).alias("rank")
+            *carried, "id", "size", "crc", shard.alias("shard"), (F.col("rows_before") + F.col("row")).alias("rank")
         )
     )
     firsts = placed.groupBy("shard").agg(F.min("rank").alias("first"))  # one row per shard
     return placed.join(F.broadcast(firsts), "shard").select(
-        "id", "size", "crc", "shard", (F.col("rank") - F.col("first")).cast("long").alias("slot")
+        *carried, "id", "size", "crc", "shard", (F.col("rank") - F.col("first")).cast("long").alias("slot")
     )
 
 
-def write_shards(docs: DataFrame, path: str, n_shards: int, key: str = "doc_id", text: str = "text") -> None:
-    """The rows as one folder per shard, sorted by slot within each file. Needs unique ids."""
-    placed = assign(records(docs, key, text), n_shards).select(F.col("id").alias(key), "shard", "slot")
-    out = docs.drop("shard", "slot").join(placed, key).hint("rebalance", "shard")
-    out.sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, n_shards: int, key: str = "doc_id", text: str = "text") -> tuple[str, str]:
+    """The rows, all of them and with all their columns, as one folder per shard, sorted by slot within each file.
+
+    Returns the names of the columns for shard and slot, which are others than ``shard`` and ``slot`` where those exist.
+    Rows travel with their record, so repeated and missing ids make no difference.
+    """
+    shard, slot = fresh(docs, "shard"), fresh(docs, "slot")
+    placed = assign(records(docs, key, text, carry=True), n_shards)
+    named = placed.select(*[F.col("whole_row")[c].alias(c) for c in docs.columns], F.col("shard").alias(shard), F.col("slot").alias(slot))
+    named.hint("rebalance", shard).sortWithinPartitions(shard, slot).write.mode("overwrite").partitionBy(shard).parquet(path)
+    return shard, slot

@@ -5,9 +5,9 @@ a child stays a branch only if its labelled pages differ from its siblings' beyo
 one wildcard. A template is rejected when its smoothed share of bad pages reaches a threshold. The tree works on counts
 per host and path shape, never on pages.
 
-A url that is null or has no ``://`` has an empty host and path. The tree goes as deep as the
-longest path.
-Pages whose templates have no labels are allowed.
+A url that is null or has no ``://`` has an empty host and path. Levels are decided as long as some node has enough
+labelled pages below it for a branch; what is deeper, however long a path may be, is all wildcards. Pages whose
+templates have no labels are allowed. Repeated page ids are judged row by row.
 """
 
 from __future__ import annotations
@@ -56,12 +56,16 @@ def shape(path: Column) -> Column:
 def templates(shapes: DataFrame) -> DataFrame:
     """The template of every (host, shape), from rows (host, shape, labelled, bad).
 
-    Levels are decided from the root downwards, each from the counts below the nodes of the level above.
+    Levels are decided from the root downwards, each from the counts below the nodes of the level above, until no node has
+    the labels that a branch and a sibling of it need. Segments below that are wildcards, all at once.
     """
     parts = F.split("shape", "/")
     rows = shapes.select("host", "shape", "labelled", "bad", parts.alias("parts"), F.lit("").alias("node"))
-    ended = []
-    for level in range(rows.agg(F.max(F.size("parts"))).first()[0] or 0):
+    ended, level = [], 0
+    while True:
+        below = rows.groupBy("host", "node").agg(F.sum("labelled").alias("n"))
+        if (below.agg(F.max("n")).first()[0] or 0) <= MIN_LABELLED:
+            break
         segment = F.get("parts", F.lit(level))
         below = rows.where(segment.isNotNull()).groupBy("host", "node", segment.alias("segment"))
         counts = below.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
@@ -79,8 +83,9 @@ def templates(shapes: DataFrame) -> DataFrame:
         node = F.concat("node", step)
         rows = settled(rows.select("host", "shape", "labelled", "bad", "parts", node.alias("node")))
         ended.append(rows.where(F.size("parts") == level + 1))
-        rows = rows.where(F.size("parts") > level + 1)
-    rows = together(*ended, rows)
+        level += 1
+        rows = rows.where(F.size("parts") > level)
+    rows = together(*ended, rows.withColumn("node", F.concat("node", F.repeat(F.lit("/*"), F.size("parts") - level))))
     return rows.select("host", "shape", "labelled", "bad", F.col("node").alias("template"))
 
 
@@ -92,7 +97,7 @@ def rejected(shapes: DataFrame) -> DataFrame:
     rows = templates(shapes)
     judged = rows.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
     share = (F.col("b") + STRENGTH * prior) / (F.col("n") + STRENGTH)
-    return rows.join(judged.where(share >= BAD_SHARE).select("host", "template"), ["host", "template"]).select("host", "shape")
+    return rows.join(judged.where((F.col("n") > 0) & (share >= BAD_SHARE)).select("host", "template"), ["host", "template"]).select("host", "shape")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], key: str = "page_id", url: str = "url") -> DataFrame:

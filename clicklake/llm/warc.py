@@ -1,12 +1,14 @@
 """WARC archives from a deterministic sharded writer, and their reader.
 
-Records are sorted by id over ranges of ids. A task writes one range as a run of files, each begun anew once its
-compressed size reaches ``roll_bytes``. Headers and digests are made here, from the payload alone. A file is written
+Records are sorted by id over ranges of ids. The borders of ranges come from a sample that a hash of the record picks,
+so they depend on the records alone and not on how the session dealt them. A task writes a range as a run of files, each
+begun anew once its compressed size reaches ``roll_bytes``. Headers and digests are made here, from the payload alone. A file is written
 under a temporary name and then renamed; what was committed is what the manifest lists, which is itself written as a
-table after all files are there. A task that runs again writes the same bytes under the same names.
+table after all files are there. A task that runs again, or another session, writes the same bytes under the same names.
 
 Of records with equal payloads of at least ``MIN_SHARED`` bytes, the one with the smallest id is a response and the
 others revisit it, without the payload. Null payloads count as empty, null urls as ``urn:unknown``, null ids sort last.
+Repeated ids are records of their own; records that are equal in id and payload share a range. One payload is held at a time.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clicklake.llm.common import filled
 from clicklake.sources.files import settled, shared_dir
@@ -28,6 +30,8 @@ MIN_SHARED = 100
 ROLL_BYTES = 16 << 20
 #: Payload bytes that one range of records should have; several files, also once compressed.
 RANGE_BYTES = 128 << 20
+#: Sampled records per range, from which its border is chosen.
+SAMPLES_PER_RANGE = 200
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 MANIFEST = "file string, records long, bytes long, sha256 string"
@@ -106,21 +110,57 @@ class _File:
         return self.name, self.records, self.bytes, self.sha.hexdigest()
 
 
+def borders(rows: DataFrame, ranges: int) -> list[tuple[bool, int, str]]:
+    """The first records (no id, id, digest) of all ranges but the first, so that ranges hold about as many bytes each.
+
+    About ``ranges * SAMPLES_PER_RANGE`` records, picked by a hash of what they hold, reach the driver.
+    """
+    n = rows.count()
+    if ranges < 2 or not n:
+        return []
+    share = min(1.0, ranges * SAMPLES_PER_RANGE / n)
+    spot = F.pmod(F.xxhash64("id", "digest"), F.lit(1 << 40)) / float(1 << 40)
+    picked = rows.where(spot < share).groupBy(*_place()).agg(F.sum(F.col("size") + 512).alias("bytes")).collect()
+    picked.sort(key=lambda r: r[:3])
+    whole, seen, out = sum(r["bytes"] for r in picked), 0, []
+    for r in picked:
+        if len(out) < ranges - 1 and seen * ranges >= whole * (len(out) + 1):
+            out.append(tuple(r[:3]))
+        seen += r["bytes"]
+    return out
+
+
+def _place() -> list[Column]:
+    return [F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("number"), F.col("digest").alias("sum")]
+
+
+def _range_of(bounds: list[tuple[bool, int, str]]) -> Column:
+    """How many borders lie at or before a record, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    one = lambda b: F.struct(F.lit(b[0]).alias("no_id"), F.lit(b[1]).cast("long").alias("number"), F.lit(b[2]).alias("sum"))
+    array, steps = F.array(*map(one, bounds)), F.array(*[F.lit(1 << s) for s in reversed(range(len(bounds).bit_length()))])
+    value = F.struct(*_place())
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(array, low + step - 1) <= value, low + step).otherwise(low))
+
+
 def write(rows: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, ranges: int | None = None) -> DataFrame:
     """Write ``records`` below ``root``; returns the manifest, which is also kept there."""
     if ranges is None:
         ranges = -(-(rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]) // RANGE_BYTES) or 1
-    from pyspark import TaskContext
-
     filesystem, path = pa.fs.FileSystem.from_uri(root)
     filesystem.create_dir(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, path = pa.fs.FileSystem.from_uri(root)
-        shard, number, now, done = TaskContext.get().partitionId(), 0, None, []
+        shard, number, now, done = None, 0, None, []
         for batch in batches:
             columns = [batch.column(n) for n in ("id", "url", "payload", "size", "digest", "refers_to")]
-            for i in range(batch.num_rows):
+            for i, own in enumerate(batch.column("range").to_pylist()):
+                if own != shard:
+                    if now is not None:
+                        done.append(now.commit())
+                    shard, number, now = own, 0, None
                 if now is None:
                     now = _File(filesystem, path, f"part-{shard:06d}-{number:05d}.warc.gz")
                     number += 1
@@ -137,7 +177,8 @@ def write(rows: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, ranges: int
 
     # The digest and the url order records without an id, so that a task that runs again sees the same order.
     order = [F.col("id").asc_nulls_last(), F.col("digest").asc(), F.col("url").asc()]
-    placed = rows.repartitionByRange(ranges, *order[:2]).sortWithinPartitions(*order)
+    placed = rows.withColumn("range", _range_of(borders(rows, ranges)))
+    placed = placed.repartitionByRange(ranges, "range").sortWithinPartitions("range", *order)
     placed.mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(f"{root}/_manifest")
     return rows.sparkSession.read.parquet(f"{root}/_manifest")
 

@@ -248,7 +248,7 @@ def test_chat_reads_back_hostile_texts(spark):
     rows = [(1, i, r, t) for i, (r, t) in enumerate(zip(roles, texts))] + [(2, 0, "user", "hi"), (2, 1, "assistant", "yo")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     out = chat_format.formatted(frame).withColumn("turns", chat_format.parsed(F.col("formatted")))
-    got = {r.conv_id: r for r in out.withColumn("loss", chat_format.loss_text(F.col("segments"))).collect()}
+    got = {r.conv_id: r for r in out.withColumn("loss", chat_format.loss_text(F.col("formatted"), F.col("loss_spans"))).collect()}
     assert [(t.role, t.text) for t in got[1].turns] == [(r or "", t or "") for r, t in zip(roles, texts)]
     assert got[1].loss == "\\" and got[2].loss == "yo" and got[2].valid and not got[1].valid
 
