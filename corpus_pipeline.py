@@ -35,7 +35,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as its source's target asks for, at most three, often none or one."""
     size = fresh(docs, "__size")
     sized = docs.withColumn(size, F.size(words(F.col("text"))).cast("long"))
-    return mixing.emitted(mixing.mix(sized, size)).drop(size)
+    names = mixing.names_for(sized)
+    return mixing.emitted(mixing.mix(sized, size, names=names), names).drop(size)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
