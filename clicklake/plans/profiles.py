@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.operators import profile as ops
+from clicklake.operators import profile as ops, spans
 from clicklake.operators.aggregates import distinct_per_column as count_distinct_per_column
 from clicklake.plans import query
 from clicklake.plans.inputs import table
 from clicklake.sources.files import append_metrics, settled, shared_dir
+from clicklake.sources.runs import append_run, read_runs
 
 
 def _rounded(metrics: DataFrame) -> DataFrame:
@@ -100,3 +101,57 @@ def distinct_per_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.nullif(F.col("event_id") % 10, F.lit(3))
     events = table(spark, sf_dir, "events").withColumn("kind", kind)
     return count_distinct_per_column(events, ["kind", "event_type", "user_id", "props"])
+
+
+_WEEK = "strftime(date_trunc('week', ts), '%Y-%m-%d')"
+
+
+def _by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("week")
+    return table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), week, "user_id", "event_type", "value")
+
+
+@query(f"""
+SELECT {_WEEK} AS week, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS deviation, min(value) AS low,
+       max(value) AS high, true AS median_fits FROM events GROUP BY 1""")
+def profile_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of weeks from what was kept of each day; the median's rank is held against the values."""
+    root, events = shared_dir(spark), _by_day(spark, sf_dir)
+    append_run(spans.daily_moments(events, "day", "value"), root, "days", "all")
+    days = read_runs(spark, root, "days").withColumn("week", F.date_format(F.date_trunc("week", "day"), "yyyy-MM-dd"))
+    weeks = spans.merged_moments(days, ["week"])
+    ranks = events.join(weeks.select("week", "`q0.5`"), "week").groupBy("week").agg(
+        (F.count(F.when(F.col("value") < F.col("`q0.5`"), 1)) / F.count("value")).alias("under"),
+        (F.count(F.when(F.col("value") <= F.col("`q0.5`"), 1)) / F.count("value")).alias("upto"),
+    )
+    fits = (F.col("under") <= 0.5 + 0.005) & (F.col("upto") >= 0.5 - 0.005)
+    return weeks.join(ranks, "week").select(
+        "week", "n", F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"), "low", "high", fits.alias("median_fits")
+    )
+
+
+@query(f"SELECT {_WEEK} AS week, event_type AS bin, count(*) AS n FROM events GROUP BY ALL")
+def histogram_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of weeks from bins of days."""
+    days = settled(spans.daily_bins(_by_day(spark, sf_dir), "day", "event_type"))
+    week = F.date_format(F.date_trunc("week", "day"), "yyyy-MM-dd")
+    return spans.merged_bins(days.withColumn("week", week), ["week"]).select("week", "bin", "n")
+
+
+@query(f"SELECT {_WEEK} AS week, count(DISTINCT user_id) AS distinct_ids FROM events GROUP BY 1")
+def distinct_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of weeks from bitmaps of days."""
+    days = settled(spans.daily_ids(_by_day(spark, sf_dir), "day", "user_id"))
+    week = F.date_format(F.date_trunc("week", "day"), "yyyy-MM-dd")
+    return spans.distinct_ids(days.withColumn("week", week), ["week"]).select("week", "distinct_ids")
+
+
+@query(f"{_moments_sql('part', 'size', 'p_size')}\nUNION ALL {_moments_sql('supplier', 'balance', 's_acctbal')}")
+def profile_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics appended in runs, one of which is made twice and counts once."""
+    root = shared_dir(spark)
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    append_run(ops.profile_column(part, "p_size", "size"), root, "metrics", "size")
+    for rows in (supplier.limit(3), supplier):
+        append_run(ops.profile_column(rows, "s_acctbal", "balance"), root, "metrics", "balance")
+    return _rounded(read_runs(spark, root, "metrics"))

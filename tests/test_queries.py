@@ -31,8 +31,12 @@ def test_entry_has_rows(spark):
     assert df.limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
+# Streams may run Python in their state; operators of training data have tests of their own.
+NATIVE = sorted(n for n in QUERIES if not n.startswith(("stream_", "op")) and n != "pipeline")
+
+
+@pytest.mark.parametrize("name", NATIVE)
 def test_no_python_in_plans(spark, name):
     text = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in text and "Pandas" not in text
+    assert not any(word in text for word in ("Python", "Pandas", "InArrow"))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
