@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.operators import profile as ops, spans
+from clicklake.operators import isolation, profile as ops, spans
 from clicklake.operators.aggregates import distinct_per_column as count_distinct_per_column
 from clicklake.plans import query
 from clicklake.plans.inputs import table
@@ -155,3 +155,12 @@ def profile_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     for rows in (supplier.limit(3), supplier):
         append_run(ops.profile_column(rows, "s_acctbal", "balance"), root, "metrics", "balance")
     return _rounded(read_runs(spark, root, "metrics"))
+
+
+@query(None)
+def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How easily events are told apart by value, time of day and length of what they carry."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "value", (F.hour("ts") + F.minute("ts") / 60.0).alias("hour"), F.length("props").alias("length")
+    )
+    return isolation.anomaly_scores(events, ["value", "hour", "length"])
