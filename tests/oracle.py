@@ -8,6 +8,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -68,6 +69,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.codegen.fallback", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clicklake-"))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
