@@ -36,7 +36,7 @@ SPACE = "▁"
 #: Characters of distinct chunks that are indexed at a time.
 INDEXED = 250_000
 #: Bytes of chunks and their ids that a task remembers for sure; up to twice as many are kept.
-REMEMBERED = 24_000_000
+REMEMBERED = 60_000_000
 #: Longer chunks are not remembered.
 LONGEST_REMEMBERED = 128
 #: Bytes of texts (or ids) that a worker turns into lists at a time; a single text may be longer.
@@ -155,6 +155,8 @@ class Matcher:
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.ids = np.array(vocabulary.ids, np.int64)
+        # One number object per id, that all remembered chunks share; the last one says that there is no piece.
+        self.shared = np.array([*range(max(vocabulary.ids, default=0) + 1), -1], object)
         self.scores = np.array(vocabulary.scores, np.float64)
         self.matcher = Matcher(vocabulary.pieces)
         if self.matcher.longest >= SPAN:
@@ -211,7 +213,7 @@ class Encoder:
         ids = np.where(has, self.ids[pieces[at]], -1)
         owner = np.searchsorted(starts, begin, side="right") - 1
         cuts = np.searchsorted(owner, np.arange(len(chunks) + 1)).tolist()
-        flat = ids.tolist()
+        flat = self.shared[ids].tolist()
         out = [tuple(flat[a:b]) for a, b in zip(cuts, cuts[1:])]
         for i in set(owner[~has].tolist()):
             symbols = enumerate(out[i], cuts[i])
@@ -293,7 +295,7 @@ class Encoder:
 
 def _bytes(chunk: str, ids: tuple[int, ...]) -> int:
     """What an entry takes, with its place in the table."""
-    return sys.getsizeof(chunk) + sys.getsizeof(ids) + 28 * len(ids) + 100
+    return sys.getsizeof(chunk) + sys.getsizeof(ids) + 100
 
 
 class Decoder:
