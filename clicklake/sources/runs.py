@@ -69,7 +69,7 @@ def read_runs(spark: SparkSession, root: str, table: str, schema: str | None = N
     reader = spark.read.option("basePath", f"{root}/{table}")
     rows = (reader.schema(schema) if schema else reader).parquet(f"{root}/{table}")
     # A semi join by partition: folders of other attempts are not read.
-    return rows.join(F.broadcast(runs.select("attempt")), "attempt", "left_semi").drop("attempt")
+    return rows.join(runs.select("attempt"), "attempt", "left_semi").drop("attempt")
 
 
 def append_run(df: DataFrame, root: str, table: str, run: str) -> None:
