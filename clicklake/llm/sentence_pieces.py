@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import heapq
 import re
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -36,7 +35,9 @@ SPACE = "▁"
 #: Characters of distinct chunks that are indexed at a time.
 INDEXED = 250_000
 #: Bytes of chunks and their ids that a task remembers for sure; up to twice as many are kept.
-REMEMBERED = 60_000_000
+REMEMBERED = 32_000_000
+#: What a remembered chunk takes besides its characters and ids: two objects and a place in the table.
+ENTRY = 240
 #: Longer chunks are not remembered.
 LONGEST_REMEMBERED = 128
 #: Bytes of texts (or ids) that a worker turns into lists at a time; a single text may be longer.
@@ -178,8 +179,8 @@ class Encoder:
                 chunks = self.chunk.findall(SPACE + text.replace(" ", SPACE)) if text else []
                 for c in set(chunks).difference(self.known):
                     if c in self.older:
-                        self.known[c] = self.older[c]
-                        self.held += _bytes(c, self.known[c])
+                        ids = self.known[c] = self.older[c]
+                        self.held += ENTRY + 2 * len(c) + 8 * len(ids)
                     elif c not in new:
                         new[c] = None
                         size += len(c)
@@ -189,11 +190,13 @@ class Encoder:
                 self.known.update(zip(new, self.encode_chunks(list(new))))
             of = self.known.__getitem__
             out += [list(chain.from_iterable(map(of, chunks))) for chunks in chunked]
+            held = self.held
             for c in new:
-                if len(c) > LONGEST_REMEMBERED or self.held > REMEMBERED:
+                if len(c) > LONGEST_REMEMBERED or held > REMEMBERED:
                     del self.known[c]
                 else:
-                    self.held += _bytes(c, self.known[c])
+                    held += ENTRY + 2 * len(c) + 8 * len(self.known[c])
+            self.held = held
             if self.held > REMEMBERED:
                 self.known, self.older, self.held = {}, self.known, 0
         return out
@@ -293,19 +296,19 @@ class Encoder:
         return begin + start, np.array([end[i] for i in begin.tolist()], np.int64) + start
 
 
-def _bytes(chunk: str, ids: tuple[int, ...]) -> int:
-    """What an entry takes, with its place in the table."""
-    return sys.getsizeof(chunk) + sys.getsizeof(ids) + 100
+class _Bytes(dict):
+    def __missing__(self, _: int) -> bytes:
+        return b""
 
 
 class Decoder:
     def __init__(self, vocabulary: Vocabulary):
-        self.bytes = dict(zip(vocabulary.ids, (p.encode() for p in vocabulary.pieces)))
-        self.bytes |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+        self.bytes = _Bytes(zip(vocabulary.ids, (p.encode() for p in vocabulary.pieces)))
+        self.bytes.update({i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)})
 
     def decode(self, ids: list[int]) -> str:
         """Ids that are no piece decode to nothing, bytes that are no character to the replacement character."""
-        text = b"".join([self.bytes.get(i, b"") for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
     def decode_all(self, rows: list[list[int]]) -> list[str]:
