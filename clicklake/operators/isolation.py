@@ -2,8 +2,9 @@
 
 Each tree is grown from a sample of rows that a hash picks, level by level: a node's rows are split at a random point of
 a random feature until they are alone, alike, or as deep as the sample's depth allows. All trees grow together as one
-table of at most ``trees * sample`` rows, and so the forest is small whatever the table's size. Scoring walks the trees
-by native expressions over that forest and shuffles no rows. Rows that are told apart after few splits score near 1.
+table of at most ``trees * sample`` rows, and so the forest is small whatever the table's size. Scoring sends that
+forest to the tasks, which walk a batch of rows through a tree at a time as arrays, and shuffles no rows. Rows that are
+told apart after few splits score near 1.
 
 Null features count as the feature's least value. Equal rows get equal scores; the same table gets the same forest.
 """
@@ -11,8 +12,10 @@ Null features count as the feature's least value. Equal rows get equal scores; t
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clicklake.sources.files import settled
@@ -66,6 +69,46 @@ def grown(samples: DataFrame, n_features: int, depth: int, seed: int) -> DataFra
     return nodes
 
 
+class Forest:
+    """All trees as arrays, a node at its number. A leaf is its own left child, and nothing lies right of it."""
+
+    def __init__(self, nodes: Iterable[tuple], depth: int) -> None:
+        nodes = list(nodes)
+        self.depth, self.numbers = depth, {tree: i for i, tree in enumerate(sorted({n[0] for n in nodes}))}
+        shape = len(self.numbers), 2 ** (depth + 1)
+        self.feature, self.split = np.zeros(shape, np.int64), np.full(shape, np.nan)
+        self.child, self.end = np.tile(np.arange(shape[1]), (shape[0], 1)), np.zeros(shape)
+        for tree, node, feature, split, left in nodes:
+            at = self.numbers[tree], node
+            self.end[at] = node.bit_length() - 1 + left
+            if feature is not None:
+                self.feature[at], self.split[at], self.child[at] = feature, split, 2 * node
+
+    def mean_depths(self, x: np.ndarray) -> np.ndarray:
+        """Of rows that are the columns of ``x``; a number that is none lies right of every other."""
+        x = np.ascontiguousarray(x, float)
+        total, rows, flat = np.zeros(x.shape[1]), np.arange(x.shape[1]), x.ravel()
+        odd = np.isnan(flat).any()
+        for feature, split, child, end in zip(self.feature * x.shape[1], self.split, self.child, self.end):
+            node = np.ones(x.shape[1], np.int64)
+            for _ in range(self.depth):
+                value, border = flat[feature[node] + rows], split[node]
+                right = value > border
+                if odd:
+                    right |= np.isnan(value) & ~np.isnan(border)
+                node = child[node] + right
+            total += end[node]
+        return total / max(len(self.numbers), 1)
+
+
+def _fresh(df: DataFrame) -> str:
+    """A column name that the frame does not use yet."""
+    name, taken = "_mean", {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def anomaly_scores(
     df: DataFrame, features: Sequence[str], trees: int = TREES, sample: int = SAMPLE, contamination: float = CONTAMINATION, seed: int = 1,
 ) -> DataFrame:
@@ -74,24 +117,23 @@ def anomaly_scores(
     least = df.agg(*[F.coalesce(F.min(F.col(f).cast("double")), F.lit(0.0)).alias(f) for f in features]).first()
     values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(least[f])) for f in features])
     rows = df.select(F.xxhash64(*df.columns).alias("row"), values.alias("f"))
-    nodes = settled(grown(sampled(rows, trees, sample, seed), len(features), depth, seed))
-    # One array per tree, a node at its number: trees * 2 * sample places, not more.
-    places = 2 ** (depth + 1)
-    by_number = F.map_from_entries(F.collect_list(F.struct("node", F.struct("feature", "split", "size"))))
-    forest = nodes.groupBy("tree").agg(F.transform(F.sequence(F.lit(0), F.lit(places - 1)), lambda i: F.try_element_at(by_number, i)).alias("nodes"))
-    sizes = nodes.where("node = 1").agg(F.avg("size")).first()[0]
-    whole = settled(forest).agg(F.collect_list("nodes")).scalar()
-
-    def depth_in(tree: Column, f: Column) -> Column:
-        def step(node, _):
-            at = F.get(tree, node)
-            return F.when(at["feature"].isNull(), node).otherwise(2 * node + (F.get(f, at["feature"]) > at["split"]).cast("int"))
-        end = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(1), step)
-        return F.floor(F.log2(end.cast("double"))) + mean_depth(F.get(tree, end)["size"].cast("double"))
-
-    walked = F.aggregate(F.col("_forest"), F.lit(0.0), lambda total, tree: total + depth_in(tree, F.col("_f")))
-    usual = 2.0 * (math.log(max(sizes or 2, 3) - 1.0) + _EULER) - 2.0 * (max(sizes or 2, 3) - 1.0) / max(sizes or 2, 3)
-    scored = df.withColumns({"_forest": whole, "_f": values}).withColumn("_mean", walked / F.greatest(F.size("_forest"), F.lit(1)))
-    scored = settled(scored.withColumn("score", F.pow(F.lit(2.0), -F.col("_mean") / usual)).drop("_forest", "_f", "_mean"))
+    nodes = grown(sampled(rows, trees, sample, seed), len(features), depth, seed)
+    # At most trees * 2 * sample nodes, whatever the table's size.
+    known = nodes.withColumn("left", mean_depth(F.col("size").cast("double"))).collect()
+    forest = Forest([(r["tree"], r["node"], r["feature"], r["split"], r["left"]) for r in known], depth)
+    sizes = [r["size"] for r in known if r["node"] == 1]
+    size = max(sum(sizes) / len(sizes) if sizes else 2, 3)
+    usual = 2.0 * (math.log(size - 1.0) + _EULER) - 2.0 * (size - 1.0) / size
+    mean, place = _fresh(df), len(df.columns)
+    shared = df.sparkSession.sparkContext.broadcast(forest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(place).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).T
+            result = pa.array(shared.value.mean_depths(x), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:place], result], names=[*batch.schema.names[:place], mean])
+
+    walked = df.withColumn(mean, values).mapInArrow(run, df.withColumn(mean, F.lit(0.0)).schema)
+    scored = settled(walked.withColumn("score", F.pow(F.lit(2.0), -F.col(mean) / usual)).drop(mean))
     bound = scored.agg(F.percentile_approx("score", 1.0 - contamination, 10_000)).first()[0]
     return scored.withColumn("outlier", (F.col("score") > F.lit(bound)).cast("int"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
+
 from clicklake.operators import isolation
 
 
@@ -58,3 +60,12 @@ def test_nulls_equal_rows_and_no_rows(spark):
     assert isolation.anomaly_scores(df.limit(0), ["x", "y"], trees=5, sample=8).count() == 0
     same = spark.createDataFrame([(i, 1.0) for i in range(50)], "id long, x double")
     assert len({r.score for r in isolation.anomaly_scores(same, ["x"], trees=5, sample=8).collect()}) == 1
+
+
+def test_forest_of_arrays_walks_like_its_nodes():
+    """Borders go left, numbers that are none go right of all others, leaves keep their rows."""
+    nodes = [(4, 1, 0, 2.0, 0.0), (4, 2, None, None, 0.5), (4, 3, 1, 0.0, 0.0), (4, 6, None, None, 0.0), (4, 7, None, None, 2.0), (9, 1, None, None, 3.0)]
+    forest = isolation.Forest(nodes, 3)
+    x = np.array([[2.0, 2.5, 2.5, math.nan, 1.0], [9.0, 0.0, math.nan, math.inf, math.nan]])
+    assert forest.mean_depths(x).tolist() == [(d + 3.0) / 2 for d in (1.5, 2.0, 4.0, 4.0, 1.5)]
+    assert isolation.Forest([], 3).mean_depths(x).tolist() == [0.0] * 5
