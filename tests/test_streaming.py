@@ -2,11 +2,11 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from clicklake.operators.sessions import gap_sessions, sessionize
 from clicklake.streaming.sessions import (
-    session_stream, start_fragments, start_sessions, stream_fragments, streamed_gap_sessions, streamed_sessions,
+    SessionFold, session_stream, start_fragments, start_sessions, stream_fragments, streamed_gap_sessions, streamed_sessions,
 )
 
 GAP, DELAY = timedelta(hours=12), timedelta(days=2)
@@ -86,3 +86,51 @@ def test_state_of_a_hot_user_stays_small(spark, tmp_path):
     (sessions,) = run_in_parts(spark, tmp_path, events, [later])
     hot = {r.user_id: r.events for r in sessions.collect()}
     assert hot[99] == events.where("user_id = 99 AND ts < '2024-01-28'").count() and len(hot) == 8
+
+
+class _Store:
+    """State in memory that counts its calls."""
+
+    def __init__(self):
+        self.held, self.value, self.calls = {}, None, []
+
+    def __getattr__(self, name):
+        def call(*given):
+            self.calls.append(name)
+            if name == "get":
+                return self.value
+            if name == "update":
+                self.value = given[0]
+            elif name == "updateValue":
+                self.held[given[0]] = given[1]
+            elif name == "getValue":
+                return self.held.get(given[0])
+            elif name == "clear":
+                self.held.clear()
+            elif name == "exists":
+                return self.value is not None
+            elif name == "containsKey":
+                return given[0] in self.held
+        return call
+
+
+def test_a_batch_asks_the_store_once_per_page():
+    """Forty cells in four sessions: the store hears of the pages of the last session, each once."""
+    fold = SessionFold(10, 10)
+    fold.open, fold.pages, fold.handle = _Store(), _Store(), _Store()
+
+    def batch(cells, pages="ab"):
+        rows = [Row(cell=c * 10, first=c * 10, last=c * 10 + 1, page=p, views=1, began=c * 10, events=1) for c in cells for p in pages]
+        fold.open.calls, fold.pages.calls = [], []
+        return [tuple(r) for r in fold.handleInputRows((False, 7), iter(rows[::-1]), None)]
+
+    cells = [c + 20 * s for s in range(4) for c in range(10)]
+    closed = batch(cells)
+    assert closed == [(False, 7, s, 200 * s, 200 * s + 101, 200 * s + 91, 20) for s in range(3)]
+    assert fold.pages.calls == ["updateValue"] * 2 and fold.open.calls == ["get", "update"]
+    assert fold.pages.held == {(False, "a"): (2,), (False, "b"): (2,)}
+    # The session goes on with the pages that the store has, and with one that is new.
+    assert batch([70], "ac") == [] and fold.pages.calls == ["getValue"] * 2 + ["updateValue"]
+    assert fold.pages.held[False, "c"] == (1,) and fold.open.value[:2] == (3, 600)
+    assert batch([90], "a") == [(False, 7, 3, 600, 711, 701, 22)]
+    assert fold.pages.calls == ["clear", "updateValue"] and fold.pages.held == {(False, "a"): (1,)}
