@@ -16,7 +16,7 @@ from clicklake.functions.times import day, day_hour, minute, parse_second
 from clicklake.functions.user_agent import AppNames
 from clicklake.operators import geo, outliers, profile, sessions, visits
 from clicklake.operators.aggregates import distinct_per_column, distinct_values, latest_by_key, pivot_counts
-from clicklake.operators.joins import join_using
+from clicklake.operators.joins import broadcast_if_small, join_using
 from clicklake.operators.projection import values_table
 from clicklake.operators.templates import fill_templates
 from clicklake.sources import files, schemas
@@ -142,7 +142,7 @@ def view_outliers(
             "referrer_": F.coalesce("referrer_domain", F.substring("url", 1, 16)),
         }
     )
-    enriched = visits.enrich_agents(join_using(read, articles, ["content_id"]), "user_agent", app)
+    enriched = visits.enrich_agents(join_using(read, broadcast_if_small(articles), ["content_id"]), "user_agent", app)
     columns = ["os_name", "agent_name", "agent_version", "user_id", "date_", "hour_", "minute_", "content_id",
                "title", "referrer_", "referrer", "referrer_domain", "country_geo"]
     files.write_parquet(enriched.select(columns), out_views)

@@ -130,7 +130,8 @@ def join_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the titles of a literal dimension table."""
     titles = values_table(spark, _TITLES, "event_type string, title string")
     events = table(spark, sf_dir, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("date_"))
-    return joins.join_using(events, titles, ["event_type"]).groupBy("date_", "title").agg(
+    # A few event types hold all rows: without a hint, each would be sorted by one task.
+    return joins.join_using(events, joins.broadcast_if_small(titles), ["event_type"]).groupBy("date_", "title").agg(
         F.count("*").alias("page_views")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clicklake.operators import aggregates, geo, joins, outliers, profile, projection, templates, visits
 from clicklake.operators.templates import fill_templates
+from clicklake.plans import relational
 
 
 def rows(df):
@@ -284,3 +285,9 @@ def test_first_visit_is_no_way_back(spark):
     assert [(r.id, r.session_key, r.is_back, r.has_source_param) for r in got.orderBy("id").collect()] == [
         (1, "c", 0, 0), (2, "c", 1, 1), (3, "c", 0, 0), (4, None, 0, 0),
     ]
+
+
+def test_literal_tables_do_not_shuffle_what_they_join(spark, no_broadcast):
+    """An event type with all rows would be sorted by one task."""
+    text = plan(relational.join_values(spark, "/root/testdata/sf0.001"))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning(event_type" not in text
