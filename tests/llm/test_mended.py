@@ -156,3 +156,31 @@ def test_toxicity_learns_from_one_text_per_key(spark):
     scores = toxicity.Scorer(network).scores(texts)
     assert scores[0] > 0.5 > scores[1]
     assert toxicity.trained(spark.createDataFrame(rows, DOCS).limit(0), labels) is None
+
+
+def test_toxicity_learns_from_all_labelled_texts(spark, monkeypatch):
+    """More than the 3,000 texts of a kind that were once drawn; whole sums over several shards."""
+    seen, start = [], toxicity.Network.start
+    monkeypatch.setattr(toxicity.Network, "start", lambda self, counts: (seen.append(counts), start(self, counts)))
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    rows = [(i, "foul words" if i % 40 == 0 else f"kind w{i % 7}", "en", "s") for i in range(9000)]
+    labels = spark.createDataFrame([(i, 0, int(i % 40 == 0)) for i in range(9000)], "doc_id long, quality int, toxic int")
+    network = toxicity.trained(spark.createDataFrame(rows, DOCS), labels)
+    learnt = labels.where(~toxicity.held_out(F.col("doc_id"))).where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) != 0)
+    clean, toxic = (learnt.where(f"toxic = {k}").count() for k in (0, 1))
+    (counts,) = seen
+    assert clean > 4000 and counts[:, 0].tolist() == [clean, toxic]
+    assert counts[:, toxicity.buckets("foul")[0]].tolist() == [0, toxic]
+    scores = toxicity.Scorer(network).scores(["foul words", "kind w3"])
+    assert scores[0] > toxicity.THRESHOLD > scores[1]
+
+
+def test_toxicity_learns_from_long_texts_in_stretches(monkeypatch):
+    """Maxima of a text do not depend on where it is cut."""
+    network, reader = toxicity.Network(3), toxicity.Reader()
+    pad = np.zeros((max(toxicity.WIDTHS), 1 + len(toxicity.BEGINNINGS)), np.int32)
+    texts = [np.concatenate([reader.rows(t), pad]) for t in ("", "one", " ".join(f"w{i * i % 89}x" for i in range(500)))]
+    whole = network.strongest(texts)
+    monkeypatch.setattr(toxicity, "STRETCH", 7)
+    cut = network.strongest(texts)
+    assert np.allclose(whole[0], cut[0]) and (whole[1] == cut[1]).all()
