@@ -35,7 +35,7 @@ SPACE = "▁"
 #: Characters of distinct chunks that are indexed at a time.
 INDEXED = 250_000
 #: Bytes of chunks and their ids that a task remembers for sure; up to twice as many are kept.
-REMEMBERED = 32_000_000
+REMEMBERED = 16_000_000
 #: What a remembered chunk takes besides its characters and ids: two objects and a place in the table.
 ENTRY = 240
 #: Longer chunks are not remembered.
