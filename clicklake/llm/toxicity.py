@@ -20,7 +20,7 @@ import math
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import groupby, islice
+from itertools import chain, groupby, islice
 from operator import itemgetter
 
 import numpy as np
@@ -81,20 +81,20 @@ class Network:
         self.p["embedding"][0] = 0
         self.shift: dict[int, float] = {}
     
-    def pooled(self, projected: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Maxima per text and filter, and where they are. ``projected`` has one column block per offset.
+    def pooled(self, across: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Maxima per text and filter, and where they are. ``across`` has one block of rows per offset, a column a word.
 
         Texts lie between ``starts`` and ``ends``, with as many empty rows behind each as the widest filter needs.
         """
         best, where, block = [], [], 0
         for width in WIDTHS:
-            n = len(projected) - max(WIDTHS) + 1
-            total = sum(projected[k : k + n, (block + k) * FILTERS : (block + k + 1) * FILTERS] for k in range(width))
+            n = across.shape[1] - max(WIDTHS) + 1
+            total = sum(across[(block + k) * FILTERS : (block + k + 1) * FILTERS, k : k + n] for k in range(width))
             block += width
             for a, b in zip(starts, ends):
-                i = total[a : max(b, a + 1)].argmax(0) + a
+                i = total[:, a : max(b, a + 1)].argmax(1) + a
                 where.append(i)
-                best.append(total[i, np.arange(FILTERS)])
+                best.append(total[np.arange(FILTERS), i])
         shape = (len(WIDTHS), len(starts), FILTERS)
         return np.array(best).reshape(shape), np.array(where).reshape(shape)
 
@@ -108,16 +108,18 @@ class Network:
 
     def strongest(self, texts: list[np.ndarray]):
         """Maxima per filter and text, and where they are, over stretches of a text; texts end in empty rows."""
-        flat, best, where = self.p["filters"].transpose(1, 0, 2).reshape(DIM, -1), [], []
+        flat = self.p["filters"].transpose(1, 0, 2).reshape(DIM, -1).T.astype(np.float32)
+        embedding, best, where = self.p["embedding"].astype(np.float32), [], []
         for rows in texts:
             size, found = len(rows) - max(WIDTHS), []
             for start in range(0, size, STRETCH):
                 part = rows[start : start + STRETCH + max(WIDTHS)]
-                x, at = self.pooled(self.words(part) @ flat, [0], [len(part) - max(WIDTHS)])
+                words = sum(embedding[column] for column in part.T)
+                x, at = self.pooled(flat @ words.T, [0], [len(part) - max(WIDTHS)])
                 found.append((x[:, 0], at[:, 0] + start))
             x, at = (np.array(v) for v in zip(*found))
             top = x.argmax(0)[None]
-            best.append(np.take_along_axis(x, top, 0)[0])
+            best.append(np.take_along_axis(x, top, 0)[0].astype(float))
             where.append(np.take_along_axis(at, top, 0)[0])
         return np.stack(best, 1), np.stack(where, 1)
 
@@ -140,10 +142,8 @@ class Network:
             touched.append(won.reshape(-1, pad.shape[1]))
             values.append((back[w][:, :, None] * p["filters"][o].T[None]).reshape(-1, DIM))
         ids, inverse = np.unique(np.concatenate(touched), return_inverse=True)
-        g = np.zeros((len(ids), DIM))
-        inverse = inverse.reshape(-1, pad.shape[1])
-        for column in inverse.T:
-            np.add.at(g, column, np.concatenate(values))
+        spread = np.repeat(np.concatenate(values), pad.shape[1], 0)
+        g = np.stack([np.bincount(inverse.ravel(), own, len(ids)) for own in spread.T], 1)
         for k, d, place in [(k, v, slice(None)) for k, v in grad.items()] + [("embedding", g, ids)]:
             m, v = state.setdefault(k, (np.zeros_like(p[k]), np.zeros_like(p[k])))
             m[place] = 0.9 * m[place] + 0.1 * d
@@ -204,13 +204,14 @@ class Reader:
         words = tokens(text)
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        for word in dict.fromkeys(w for w in words if w not in self.known):
-            at = self.known[word] = len(self.known) + 1
-            if at >= len(self.table):
+        new = list(set(words).difference(self.known))
+        if new:
+            start, parts = len(self.known) + 1, [buckets(w) for w in new]
+            while start + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            own = buckets(word)
-            self.table[at] = own + [0] * (self.table.shape[1] - len(own))
-        return self.table[[self.known[w] for w in words] or [0]]
+            self.table[start : start + len(new)] = [own + [0] * (self.table.shape[1] - len(own)) for own in parts]
+            self.known.update(zip(new, range(start, start + len(new))))
+        return self.table[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) if words else [0]]
 
 
 class Scorer:
@@ -252,7 +253,7 @@ class Scorer:
                 i += 1
             if len(self.known) > REMEMBERED:
                 self.clear()
-            new = {w: None for words in part for w in words if w not in self.known}
+            new = set(chain.from_iterable(part)).difference(self.known)
             if new:
                 self.learn(list(new))
             a, b = self._part(part)
@@ -267,11 +268,11 @@ class Scorer:
         starts, ends = [], []
         for words in part:
             starts.append(len(rows))
-            rows += [self.known[w] for w in words]
+            rows.extend(map(self.known.__getitem__, words))
             ends.append(len(rows))
             rows += pad
         projected = self.table[np.array(rows, np.int64)]
-        best, _ = self.network.pooled(projected[:, :width], np.array(starts), np.array(ends))
+        best, _ = self.network.pooled(np.ascontiguousarray(projected[:, :width].T), np.array(starts), np.array(ends))
         votes = np.array([projected[a:b, width:].sum(0) for a, b in zip(starts, ends)])
         language = np.where(votes.max(1) > 0, votes.argmax(1), len(FUNCTION_WORDS))
         return self.network.logits(best)[0], language
@@ -303,7 +304,7 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     # Rows of a shard come together and in the order of a hash, so that a rerun learns the same.
     shards = math.ceil(size / SHARD)
     dealt = one.where(~F.col("checked")).withColumn("shard", F.pmod(F.xxhash64("key", F.lit(5)), F.lit(shards)).cast("int"))
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("key", F.lit(11)), "key")
+    dealt = dealt.repartitionByRange(shards, "shard").sortWithinPartitions("shard", F.xxhash64("key", F.lit(11)), "key")
     dealt = dealt.select("shard", "text", "label").persist(StorageLevel.DISK_ONLY)
     network = Network()
     network.start(_summed(dealt, _counted, 2 * BUCKETS).reshape(2, BUCKETS))

@@ -163,7 +163,7 @@ def test_toxicity_learns_from_all_labelled_texts(spark, monkeypatch):
     seen, start = [], toxicity.Network.start
     monkeypatch.setattr(toxicity.Network, "start", lambda self, counts: (seen.append(counts), start(self, counts)))
     monkeypatch.setattr(toxicity, "EPOCHS", 1)
-    rows = [(i, "foul words" if i % 40 == 0 else f"kind w{i % 7}", "en", "s") for i in range(9000)]
+    rows = [(i, "foul words" if i % 40 == 0 else f"kind w{i % 7}", "s") for i in range(9000)]
     labels = spark.createDataFrame([(i, 0, int(i % 40 == 0)) for i in range(9000)], "doc_id long, quality int, toxic int")
     network = toxicity.trained(spark.createDataFrame(rows, DOCS), labels)
     learnt = labels.where(~toxicity.held_out(F.col("doc_id"))).where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) != 0)
