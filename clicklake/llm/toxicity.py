@@ -353,11 +353,12 @@ def _summed(dealt: DataFrame, work: Callable[[Iterator[tuple[str, int]]], np.nda
     cuts = [size * i // SLICES for i in range(SLICES + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
+        parts = (batch.slice(i, BATCH) for batch in batches for i in range(0, batch.num_rows, BATCH))
+        rows = (row for part in parts for row in zip(*[c.to_pylist() for c in part.columns]))
         for shard, own in groupby(rows, key=itemgetter(0)):
             numbers = work((text, label) for _, text, label in own)
-            parts = [numbers[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard] * SLICES, pa.int32()), "slice": pa.array(range(SLICES), pa.int32()), "numbers": pa.array(parts, pa.binary())})
+            slices = [numbers[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard] * SLICES, pa.int32()), "slice": pa.array(range(SLICES), pa.int32()), "numbers": pa.array(slices, pa.binary())})
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
