@@ -29,7 +29,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clicklake.llm.common import filled, fresh
-from clicklake.sources.files import settled
+from clicklake.sources.files import Scratch
 
 #: Texts that a task learns from between two averages, about.
 SHARD = 3000
@@ -295,9 +295,11 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     known = known.groupBy(F.col(key).alias("key")).agg((F.max(label) > 0).cast("int").alias("label"))
     wanted = docs.select(F.col(key).alias("key"), filled(F.col(text)).alias("text")).join(known, "key")
     checked = F.pmod(F.xxhash64("key", F.lit(7)), F.lit(4)) == 0
-    one = settled(wanted.groupBy("key", "label").agg(F.min("text").alias("text")).withColumn("checked", checked))
+    scratch = Scratch(docs.sparkSession)
+    one = scratch.settled(wanted.groupBy("key", "label").agg(F.min("text").alias("text")).withColumn("checked", checked))
     counts = {(r["checked"], r["label"]): r["count"] for r in one.groupBy("checked", "label").count().collect()}
     if len(counts) < 4:
+        scratch.drop(one)
         return None
     size = counts[False, 0] + counts[False, 1]
     weight = np.array([size / (2 * counts[False, 0]), size / (2 * counts[False, 1])])
@@ -327,6 +329,7 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     network.calibrate(judgements.groupBy("language", place.alias("range")).agg(
         F.min("logit").alias("low"), F.max("logit").alias("high"), F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"),
     ).collect())
+    scratch.drop(one)
     return network
 
 

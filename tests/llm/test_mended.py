@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 import zlib
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clicklake.llm import chat_format, mixing, sentence_pieces, sharding, toxicity, url_filters, warc
+from clicklake.llm import chat_format, mixing, quality_rules, sentence_pieces, sharding, toxicity, url_filters, warc
 
 DOCS = "doc_id long, text string, source string"
 
@@ -184,3 +185,18 @@ def test_toxicity_learns_from_long_texts_in_stretches(monkeypatch):
     monkeypatch.setattr(toxicity, "STRETCH", 7)
     cut = network.strongest(texts)
     assert np.allclose(whole[0], cut[0]) and (whole[1] == cut[1]).all()
+
+
+def test_rules_and_training_leave_no_copies_of_texts(spark):
+    """Folders of a stage that stay fill the disk while later stages run."""
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    kept = lambda: {f for f in os.listdir(folder) if f.startswith("clicklake-") and os.listdir(f"{folder}/{f}")}
+    before = kept()
+    rows = [(i, f"{'vile slur' if i % 2 else 'kind note'} " + " ".join(f"w{i}x{k}" for k in range(60 if i % 3 else 9)), "s") for i in range(120)]
+    frame, labels = spark.createDataFrame(rows + [(None, None, None)], DOCS), spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    accepted = quality_rules.keep(frame)
+    assert accepted.columns == frame.columns and {r.doc_id for r in accepted.collect()} == {i for i in range(120) if i % 3}
+    # Every text is measured once: windows are hashed in one place of the plan.
+    assert accepted._jdf.queryExecution().optimizedPlan().toString().count("xxhash64") == 1
+    assert toxicity.trained(frame, labels) is not None and toxicity.trained(frame, labels.where("toxic = 1")) is None
+    assert kept() == before
