@@ -19,8 +19,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Callable, Iterator
-from itertools import chain, groupby, islice
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, count, groupby, islice, repeat
 from operator import itemgetter
 
 import numpy as np
@@ -58,8 +59,17 @@ _VOTES = {w: i for i, ws in enumerate(FUNCTION_WORDS.values()) for w in ws.split
 OFFSETS = [(w, k) for w in WIDTHS for k in range(w)]
 
 
+# Latin-1 with spaces for all that no word has, and CRC32's steps from byte to byte.
+_LETTERS = bytes(c if WORD.match(chr(c)) else 32 for c in range(256))
+_STEPS = np.array([zlib.crc32(bytes([c]), 0xFFFFFFFF) ^ 0xFFFFFFFF for c in range(256)], np.uint32)
+
+
 def tokens(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    lower = (text or "").lower()
+    try:
+        return lower.encode("latin-1").translate(_LETTERS).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return WORD.findall(lower)
 
 
 def buckets(word: str) -> list[int]:
@@ -68,6 +78,24 @@ def buckets(word: str) -> list[int]:
     return [1 + zlib.crc32(p.encode()) % (BUCKETS - 1) for p in parts]
 
 
+def bucket_rows(words: list[str]) -> np.ndarray:
+    """The buckets of each word in a row, with 0 for beginnings that it is too short for."""
+    rows = np.zeros((len(words), 1 + len(BEGINNINGS)), np.int64)
+    encoded = "\n".join(words).encode().split(b"\n")
+    rows[:, 0] = 1 + np.fromiter(map(zlib.crc32, encoded, repeat(zlib.crc32(b"="))), np.int64, len(words)) % (BUCKETS - 1)
+    sizes, most = np.fromiter(map(len, words), np.int64, len(words)), max(BEGINNINGS)
+    codes = np.array(words, f"U{most}").view(np.uint32).reshape(-1, most)
+    crc = np.full(len(words), 0xFFFFFFFF, np.uint32)
+    for n in range(1, most + 1):
+        crc = _STEPS[(crc ^ codes[:, n - 1]) & 255] ^ (crc >> 8)
+        if n in BEGINNINGS:
+            rows[:, 1 + BEGINNINGS.index(n)] = np.where(sizes >= n, 1 + (~crc).astype(np.int64) % (BUCKETS - 1), 0)
+    for i in np.flatnonzero((codes > 127).any(1)):  # letters of several bytes
+        own = buckets(words[i])
+        rows[i, : len(own)] = own
+    return rows
+
+
 class Network:
     def __init__(self, seed: int = 1):
         r = np.random.default_rng(seed)
@@ -196,22 +224,47 @@ class Reader:
     """Buckets of the words of texts; remembers those of each word."""
 
     def __init__(self) -> None:
-        self.known: dict[str, int] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = numbered()
         self.table = np.zeros((1024, 1 + len(BEGINNINGS)), np.int32)
 
     def rows(self, text: str | None) -> np.ndarray:
         """One row a word; one row of nothing for an empty text."""
-        words = tokens(text)
+        return self.each([text])[0]
+
+    def each(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The rows of each of some texts."""
+        part = [tokens(text) for text in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set(words).difference(self.known))
+            self.clear()
+        ends = np.cumsum([len(words) for words in part])
+        at, new = places(self.known, chain.from_iterable(part), int(ends[-1]))
         if new:
-            start, parts = len(self.known) + 1, [buckets(w) for w in new]
-            while start + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[start : start + len(new)] = [own + [0] * (self.table.shape[1] - len(own)) for own in parts]
-            self.known.update(zip(new, range(start, start + len(new))))
-        return self.table[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) if words else [0]]
+            start = len(self.known) - len(new) + 1
+            self.table = roomy(self.table, start + len(new))
+            self.table[start : start + len(new)] = bucket_rows(new)
+        return [self.table[own if len(own) else [0]] for own in np.split(at, ends[:-1])]
+
+
+def numbered() -> defaultdict[str, int]:
+    """Words by numbers from 1, given as they come."""
+    return defaultdict(count(1).__next__)
+
+
+def places(known: defaultdict[str, int], words: Iterable[str], size: int) -> tuple[np.ndarray, list[str]]:
+    """The numbers of so many words, and those that are new, in the order of their numbers."""
+    before = len(known)
+    at = np.fromiter(map(known.__getitem__, words), np.int64, size)
+    return at, list(islice(reversed(known), len(known) - before))[::-1]
+
+
+def roomy(table: np.ndarray, rows: int) -> np.ndarray:
+    """The table, longer if it has fewer rows."""
+    while rows > len(table):
+        table = np.concatenate([table, np.zeros_like(table)])
+    return table
 
 
 class Scorer:
@@ -224,23 +277,18 @@ class Scorer:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = numbered()
         votes = len(FUNCTION_WORDS)
         self.table = np.zeros((1024, self.flat.shape[1] + votes), np.float32)
 
     def learn(self, new: list[str]) -> None:
-        start = len(self.known) + 1  # row 0 is no word
-        while start + len(new) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        parts = [buckets(w) for w in new]
-        rows = np.zeros((len(new), 1 + len(BEGINNINGS)), np.int64)
-        for i, p in enumerate(parts):
-            rows[i, : len(p)] = p
-        self.table[start : start + len(new), : self.flat.shape[1]] = self.embedding[rows].sum(1) @ self.flat
+        """Fill in the words that were numbered last."""
+        start = len(self.known) - len(new) + 1  # row 0 is no word
+        self.table = roomy(self.table, start + len(new))
+        self.table[start : start + len(new), : self.flat.shape[1]] = self.embedding[bucket_rows(new)].sum(1) @ self.flat
         for i, w in enumerate(new):
             if w in _VOTES:
                 self.table[start + i, self.flat.shape[1] + _VOTES[w]] = 1
-            self.known[w] = start + i
 
     def raw(self, texts: list[str | None], most: int = 60_000) -> tuple[np.ndarray, np.ndarray]:
         """Logits and languages, some tens of thousands of words at a time."""
@@ -253,26 +301,24 @@ class Scorer:
                 i += 1
             if len(self.known) > REMEMBERED:
                 self.clear()
-            new = set(chain.from_iterable(part)).difference(self.known)
-            if new:
-                self.learn(list(new))
-            a, b = self._part(part)
+            a, b = self._part(part, size)
             logits.append(a)
             languages.append(b)
         return np.concatenate(logits or [np.zeros(0)]), np.concatenate(languages or [np.zeros(0, int)])
 
-    def _part(self, part: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        width = self.flat.shape[1]
-        pad = [0] * max(WIDTHS)
-        rows: list[int] = []
-        starts, ends = [], []
-        for words in part:
-            starts.append(len(rows))
-            rows.extend(map(self.known.__getitem__, words))
-            ends.append(len(rows))
-            rows += pad
-        projected = self.table[np.array(rows, np.int64)]
-        best, _ = self.network.pooled(np.ascontiguousarray(projected[:, :width].T), np.array(starts), np.array(ends))
+    def _part(self, part: list[list[str]], size: int) -> tuple[np.ndarray, np.ndarray]:
+        width, pad = self.flat.shape[1], max(WIDTHS)
+        at, new = places(self.known, chain.from_iterable(part), size)
+        if new:
+            self.learn(new)
+        sizes = np.fromiter(map(len, part), np.int64, len(part))
+        text = np.arange(len(part))
+        ends = np.cumsum(sizes) + pad * text
+        starts = ends - sizes
+        rows = np.zeros(size + pad * len(part), np.int64)
+        rows[np.arange(size) + np.repeat(pad * text, sizes)] = at
+        projected = self.table[rows]
+        best, _ = self.network.pooled(np.ascontiguousarray(projected[:, :width].T), starts, ends)
         votes = np.array([projected[a:b, width:].sum(0) for a, b in zip(starts, ends)])
         language = np.where(votes.max(1) > 0, votes.argmax(1), len(FUNCTION_WORDS))
         return self.network.logits(best)[0], language
@@ -336,8 +382,11 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 def _counted(rows: Iterator[tuple[str, int]]) -> np.ndarray:
     """Texts of each kind that have a bucket."""
     seen, reader = np.zeros((2, BUCKETS)), Reader()
-    for text, label in rows:
-        seen[label, np.unique(np.append(reader.rows(text), 0))] += 1
+    while part := list(islice(rows, BATCH)):
+        for own, (_, label) in zip(reader.each([text for text, _ in part]), part):
+            there = np.zeros(BUCKETS, bool)
+            there[own], there[0] = True, True
+            seen[label] += there
     return seen.ravel()
 
 
@@ -347,7 +396,7 @@ def _learnt(rows: Iterator[tuple[str, int]], network: Network, weight: np.ndarra
     while part := list(islice(rows, BATCH)):
         t, n = t + 1, n + len(part)
         labels = np.array([label for _, label in part])
-        own.step([reader.rows(text) for text, _ in part], labels.astype(float), weight[labels], state, t)
+        own.step(reader.each([text for text, _ in part]), labels.astype(float), weight[labels], state, t)
     return np.append(own.flat() * n, float(n))
 
 

@@ -200,3 +200,23 @@ def test_rules_and_training_leave_no_copies_of_texts(spark):
     assert accepted._jdf.queryExecution().optimizedPlan().toString().count("xxhash64") == 1
     assert toxicity.trained(frame, labels) is not None and toxicity.trained(frame, labels.where("toxic = 1")) is None
     assert kept() == before
+
+
+def test_toxicity_finds_words_and_buckets_without_a_call_for_each(monkeypatch):
+    """Whole texts and lists of words at a time, with the words and buckets of the plain way."""
+    every = "".join(f"a{chr(c)}B" for c in range(0x600)) + " ÀÉß ß²x µm Straße_noch 12ab34 İi \u2028x 漢字 ﬁn"
+    texts = [None, "", " ", every[: every.index(chr(0x100))], every, "the slur " * 9, "don't re-do x1y"]
+    assert [toxicity.tokens(t) for t in texts] == [toxicity.WORD.findall((t or "").lower()) for t in texts]
+    words = sorted({w for t in texts for w in toxicity.tokens(t)} | {"abcdefgh"[:n] for n in range(1, 9)} | {"abcdefü", "übcdefgh"})
+    plain = [toxicity.buckets(w) for w in words]
+    assert [[b for b in row if b] for row in toxicity.bucket_rows(words).tolist()] == plain
+    reader = toxicity.Reader()
+    for text, rows in zip(texts, reader.each(texts)):
+        assert [[b for b in row if b] for row in rows.tolist()] == ([toxicity.buckets(w) for w in toxicity.tokens(text)] or [[]])
+    calls = []
+    monkeypatch.setattr(toxicity, "buckets", lambda w: calls.append(w) or [])
+    toxicity.Reader().rows("only plain words here")
+    network = toxicity.Network()
+    network.shift = dict.fromkeys(range(5), 0.0)
+    toxicity.Scorer(network).scores(["only plain words here"])
+    assert not calls
